@@ -32,44 +32,52 @@ MIN_TOKENS = 5
 Rule = Callable[[Column], Column]
 
 
-def may_hold(text: Column, words: Iterable[str]) -> Column:
-    """Cheap test before a case-insensitive pattern.
+# The letters outside ASCII that a case-insensitive pattern takes for ASCII ones.
+ODD_LETTERS = ["\u0130", "\u0131", "\u017f", "\u212a"]
 
-    Letters of other alphabets that fold to ASCII ones can only occur where the text is not ASCII.
-    """
-    folded_holds = T.let(F.lower(text), lambda folded: T.contains_any(folded, list(words)))
-    return T.has_non_ascii(text) | folded_holds
+
+def may_hold(text: Column, folded: Column, words: Iterable[str]) -> Column:
+    """Cheap test before a case-insensitive pattern; ``folded`` is the text in lower case."""
+    return T.contains_any(folded, list(words)) | T.contains_any(text, ODD_LETTERS)
 
 
 def keep_reply(text: Column) -> Column:
     """What follows the first whole word ``assistant``."""
     reply = T.strip(F.regexp_replace(text, r"(?siU)\A.*?\bassistant\b", ""))
-    return F.when(F.contains(F.lower(text), F.lit("assistant")), reply).otherwise(text)
+    return F.when(F.lower(text).contains("assistant"), reply).otherwise(text)
 
 
 def drop_marker_tail(text: Column) -> Column:
     tail_off = T.strip(T.cut_from(text, r"<\|[^|]*\|>"))
-    return F.when(F.contains(text, F.lit("<|")), tail_off).otherwise(text)
+    return F.when(text.contains("<|"), tail_off).otherwise(text)
 
 
 def drop_role_tail(text: Column) -> Column:
     """Cut at a whole word ``system`` or ``user``, also where it names a table."""
     tail_off = T.strip(T.cut_from(text, r"\b(?:system|user)\b", "siU"))
-    return F.when(may_hold(text, ["system", "user"]), tail_off).otherwise(text)
+    possible = T.let(F.lower(text), lambda folded: may_hold(text, folded, ["system", "user"]))
+    return F.when(possible, tail_off).otherwise(text)
 
 
 def drop_fences(text: Column) -> Column:
     fences_off = T.strip(F.regexp_replace(text, "(?iu)```(?:sql)?", ""))
-    return F.when(F.contains(text, F.lit("```")), fences_off).otherwise(text)
+    return F.when(text.contains("```"), fences_off).otherwise(text)
 
 
 def drop_talk_tail(text: Column) -> Column:
     """Cut at the first pattern of the list that occurs anywhere in the text."""
-    cut = text
-    for pattern, _ in reversed(TAIL_PATTERNS):
-        tail_off = T.strip(T.cut_from(text, pattern, "siU"))
-        cut = F.when(F.rlike(text, F.lit(f"(?iU){pattern}")), tail_off).otherwise(cut)
-    return F.when(may_hold(text, [word for _, word in TAIL_PATTERNS]), cut).otherwise(text)
+
+    def cut(folded: Column) -> Column:
+        result = text
+        for pattern, word in reversed(TAIL_PATTERNS):
+            found = may_hold(text, folded, [word]) & text.rlike(f"(?iU){pattern}")
+            tail_off = T.strip(T.cut_from(text, pattern, "siU"))
+            result = F.when(found, tail_off).otherwise(result)
+        possible = may_hold(text, folded, [word for _, word in TAIL_PATTERNS])
+        return F.when(possible, result).otherwise(text)
+
+    # Nearly all SQL holds "where", which is no "here" at a word boundary and hides none.
+    return T.let(F.replace(F.lower(text), F.lit("where"), F.lit("")), cut)
 
 
 def drop_non_ascii_tail(text: Column) -> Column:
@@ -83,7 +91,7 @@ def first_statement(text: Column) -> Column:
     for separator in ["\n\n", "\n---\n", "\n###"]:
         paragraph = T.strip(T.before(paragraph, separator))
     statement = F.concat(T.strip(T.before(text, ";")), F.lit(";"))
-    return F.when(F.contains(text, F.lit(";")), statement).otherwise(paragraph)
+    return F.when(text.contains(";"), statement).otherwise(paragraph)
 
 
 RULES: list[Rule] = [

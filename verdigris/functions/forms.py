@@ -41,16 +41,16 @@ def without_comments(sql: Column) -> Column:
 
 def until_stop(part: Column, stops: Sequence[str]) -> Column:
     """Cut at the first stop word of the list that occurs anywhere in the part."""
-    cut = part
-    for stop in reversed(stops):
-        cut = F.when(F.contains(part, F.lit(stop)), T.before(part, stop)).otherwise(cut)
-    return cut
+    return T.let(
+        T.first_literal_found(part, stops),
+        lambda stop: F.when(stop.isNull(), part).otherwise(F.split_part(part, stop, F.lit(1))),
+    )
 
 
 def clause(text: Column, word: str, stops: Sequence[str]) -> Column:
     """Text between the first and the second clause word, cut at a stop; null without the word."""
     part = T.let(T.after_first(text, word), lambda rest: until_stop(rest, stops))
-    return F.when(F.contains(text, F.lit(word)), part)
+    return F.when(text.contains(word), part)
 
 
 def clause_items(text: Column, word: str, stops: Sequence[str]) -> Column:
@@ -162,3 +162,18 @@ def compare_forms(predicted_form: Column, truth_form: Column) -> Column:
 
     matches = T.let(predicted_form, lambda mine: T.let(truth_form, lambda theirs: flags(mine, theirs)))
     return T.let(matches, verdict)
+
+
+def compare_sql(predicted: Column, truth: Column) -> Column:
+    """``compare_forms`` of two texts; equal texts have equal forms, which then stay unbuilt."""
+    all_equal = F.struct(
+        *[F.lit(True).alias(f"{name}_match") for name in WEIGHTS],
+        F.lit(True).alias("exact"),
+        F.lit(sum(WEIGHTS.values())).alias("hundredths"),
+    )
+    return T.let(
+        predicted,
+        lambda mine: F.when((mine == truth) & (T.strip(truth) != ""), all_equal).otherwise(
+            compare_forms(logical_form(mine), logical_form(truth))
+        ),
+    )

@@ -50,12 +50,16 @@ def relaxed_form(sql: Column) -> Column:
 
 
 def strict_match(predicted: Column, truth: Column) -> Column:
-    return strict_form(predicted) == strict_form(truth)
+    return T.let(
+        predicted, lambda mine: (mine == truth) | (strict_form(mine) == strict_form(truth))
+    )
 
 
 def relaxed_match(predicted: Column, truth: Column) -> Column:
     """Neither implies nor follows from ``strict_match``."""
-    return relaxed_form(predicted) == relaxed_form(truth)
+    return T.let(
+        predicted, lambda mine: (mine == truth) | (relaxed_form(mine) == relaxed_form(truth))
+    )
 
 
 def looks_like_sql(sql: Column) -> Column:
@@ -64,7 +68,7 @@ def looks_like_sql(sql: Column) -> Column:
 
 
 def structure_flags(upper_sql: Column) -> dict[str, Column]:
-    return {name: F.contains(upper_sql, F.lit(word)) for name, word in STRUCTURE_FLAGS.items()}
+    return {name: upper_sql.contains(word) for name, word in STRUCTURE_FLAGS.items()}
 
 
 def structure(sql: Column) -> Column:
@@ -80,14 +84,16 @@ def structure(sql: Column) -> Column:
 def structural_agreement(predicted: Column, truth: Column) -> Column:
     """Number of the six flags on which both texts agree."""
 
-    def count(upper_predicted: Column, upper_truth: Column) -> Column:
-        mine, theirs = structure_flags(upper_predicted), structure_flags(upper_truth)
-        agreement = F.lit(0)
-        for name in STRUCTURE_FLAGS:
-            agreement = agreement + (mine[name] == theirs[name]).cast("int")
-        return agreement
+    def count(mine: Column, theirs: Column) -> Column:
+        agreed = F.filter(
+            F.lit(list(STRUCTURE_FLAGS.values())),
+            lambda word: F.contains(mine, word) == F.contains(theirs, word),
+        )
+        return F.when(mine == theirs, len(STRUCTURE_FLAGS)).otherwise(F.size(agreed))
 
-    return T.let(F.upper(predicted), lambda mine: T.let(F.upper(truth), lambda theirs: count(mine, theirs)))
+    return T.let(
+        F.upper(predicted), lambda mine: T.let(F.upper(truth), lambda theirs: count(mine, theirs))
+    )
 
 
 def structural_similarity(agreement: Column) -> Column:

@@ -62,23 +62,17 @@ def has_non_ascii(text: Column) -> Column:
 
 
 def contains_any(text: Column, literals: Sequence[str]) -> Column:
-    found = F.lit(False)
-    for literal in reversed(literals):
-        found = F.contains(text, F.lit(literal)) | found
-    return found
+    return F.exists(F.lit(list(literals)), lambda literal: F.contains(text, literal))
 
 
 def literals_found(text: Column, literals: Sequence[str]) -> Column:
     """The literals that occur in the text, in the order given."""
-    return F.filter(
-        F.array(*[F.lit(literal) for literal in literals]),
-        lambda literal: F.contains(text, literal),
-    )
+    return F.filter(F.lit(list(literals)), lambda literal: F.contains(text, literal))
 
 
 def first_literal_found(text: Column, literals: Sequence[str]) -> Column:
     """The first literal of the list that occurs in the text, else null."""
-    return F.coalesce(*[F.when(F.contains(text, F.lit(item)), F.lit(item)) for item in literals])
+    return F.get(literals_found(text, literals), F.lit(0))
 
 
 def comma_items(text: Column) -> Column:

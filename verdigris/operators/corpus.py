@@ -80,7 +80,7 @@ def first_schema(messages: Column) -> Column:
     return T.let(
         part,
         lambda text: F.when(
-            F.contains(text, F.lit("CREATE TABLE")), F.concat(T.before(text, ";"), F.lit(";"))
+            text.contains("CREATE TABLE"), F.concat(T.before(text, ";"), F.lit(";"))
         ),
     )
 

@@ -31,7 +31,7 @@ def score(df: DataFrame, predicted: str = "predicted_sql", truth: str = "ground_
         }
     )
     valid = F.col("parsing_error").isNull()
-    comparison = forms.compare_forms(forms.logical_form(p), forms.logical_form(t))
+    comparison = forms.compare_sql(p, t)
     scored = scored.withColumns(
         {
             "parsing_valid": valid,

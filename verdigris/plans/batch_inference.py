@@ -14,6 +14,7 @@ from verdigris.operators.prediction import BATCH_SIZE, Predictor, predict
 from verdigris.operators.requests import (
     CACHE_KEY, answer_from_cache, distinct_requests,
 )
+from verdigris.sources.storage import stored
 
 
 def answer_distinct(
@@ -45,10 +46,14 @@ def answer_requests(
 ) -> DataFrame:
     """Requests with their statement and the screens on it.
 
-    ``requests`` has (question, context, ground_truth) and a column to spread hot requests by.
+    ``requests`` has (question, context, ground_truth) and a column to spread hot requests by. The
+    distinct requests and their answers are written to shared storage on the way: both are used
+    more than once, and no answer should be asked of the predictor twice.
     """
-    distinct = distinct_requests(requests)
-    answers = answer_distinct(distinct, make_predictor, template, batch_size, partitions)
+    distinct = stored(distinct_requests(requests), "distinct")
+    answers = stored(
+        answer_distinct(distinct, make_predictor, template, batch_size, partitions), "answers"
+    )
     answered = answer_from_cache(requests, answers, distinct, spread_by)
     return answered.withColumns(
         {

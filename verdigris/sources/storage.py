@@ -22,6 +22,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to shared storage and read back.
+
+    For results that are used more than once or are costly to make again: lost executors take
+    nothing with them, and the lineage ends at the files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Deal a table with fewer splits than cores out to all of them.
 

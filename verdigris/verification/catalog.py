@@ -20,7 +20,7 @@ from verdigris.plans.preparation import prepare_corpus
 from verdigris.sources import corpus as corpus_files
 from verdigris.sources import requests as request_files
 from verdigris.sources import runs
-from verdigris.sources.storage import scratch_path, spread
+from verdigris.sources.storage import scratch_path, spread, stored
 from verdigris.streaming import monitoring
 from verdigris.verification.fixtures import generations, pairs
 from verdigris.verification.predictors import schema_reader
@@ -131,9 +131,7 @@ def q_logical_form(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_logical_form_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    comparison = forms.compare_forms(
-        forms.logical_form(F.col("predicted_sql")), forms.logical_form(F.col("ground_truth"))
-    )
+    comparison = forms.compare_sql(F.col("predicted_sql"), F.col("ground_truth"))
     return (
         predictions(spark, sf_dir)
         .select("row_id", "model_id", comparison.alias("c"))
@@ -157,7 +155,8 @@ def q_improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_comparison_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reporting.comparison_table(q_model_summary(spark, sf_dir), BASELINE, TUNED)
+    table = reporting.comparison_table(q_model_summary(spark, sf_dir), BASELINE, TUNED)
+    return table.fillna(0, ["baseline_total", "tuned_total"])
 
 
 def q_rank_models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +367,7 @@ def q_write_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_document(spark: SparkSession, sf_dir: str, run_id: str) -> DataFrame:
-    table = evaluation.stored(spark, scored(spark, sf_dir), "scored")
+    table = stored(scored(spark, sf_dir), "scored")
     config = evaluation.RunConfig(run_id, EVAL_ROWS, BASELINE, TUNED, settings=(("seed", str(SEED)),))
     return evaluation.run_document(table, config, BASELINE, TUNED, "2025-01-01T00:00:00")
 
@@ -391,7 +390,7 @@ def q_run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run of today's shape and one that lacks the later figures, read together."""
     path = scratch_path(spark, "history")
-    document = evaluation.stored(spark, _run_document(spark, sf_dir, "new"), "document")
+    document = stored(_run_document(spark, sf_dir, "new"), "document")
     runs.append_run(document, path)
 
     def older(side: str) -> Column:

@@ -311,27 +311,27 @@ def _first_rows(where: str, k: int, columns: str) -> str:
 
 
 COMPARISON = [
-    ("Accuracy (strict)", "accuracy * 100", "NULL"),
-    ("Accuracy (relaxed)", "relaxed_accuracy * 100", "NULL"),
+    ("Accuracy (strict)", "accuracy * 100", "0"),
+    ("Accuracy (relaxed)", "relaxed_accuracy * 100", "0"),
     ("Correct predictions", "num_correct", "num_samples"),
-    ("Incorrect predictions", "num_incorrect", "NULL"),
-    ("Parsing valid %", "parsing_valid_rate * 100", "NULL"),
+    ("Incorrect predictions", "num_incorrect", "0"),
+    ("Parsing valid %", "parsing_valid_rate * 100", "0"),
     ("Parsing valid count", "parsing_valid_count", "num_samples"),
-    ("Parsing invalid count", "parsing_invalid_count", "NULL"),
-    ("Logical form accuracy", "logical_form_accuracy * 100", "NULL"),
+    ("Parsing invalid count", "parsing_invalid_count", "0"),
+    ("Logical form accuracy", "logical_form_accuracy * 100", "0"),
     ("Logical form exact matches", "logical_form_exact_matches", "parsing_valid_count"),
-    ("Avg logical form similarity", "avg_logical_form_similarity * 100", "NULL"),
-    ("Valid SQL %", "valid_sql_percentage * 100", "NULL"),
-    ("Avg structural similarity", "avg_structural_similarity * 100", "NULL"),
+    ("Avg logical form similarity", "avg_logical_form_similarity * 100", "0"),
+    ("Valid SQL %", "valid_sql_percentage * 100", "0"),
+    ("Avg structural similarity", "avg_structural_similarity * 100", "0"),
 ]
 
 
 def _comparison() -> str:
     rows = " UNION ALL ".join(
         f"SELECT {i} AS position, '{label}' AS metric, CAST(b.{value} AS DOUBLE) AS baseline, "
-        f"CAST({'NULL' if total == 'NULL' else 'b.' + total} AS BIGINT) AS baseline_total, "
+        f"CAST({'0' if total == '0' else 'b.' + total} AS BIGINT) AS baseline_total, "
         f"CAST(t.{value} AS DOUBLE) AS tuned, "
-        f"CAST({'NULL' if total == 'NULL' else 't.' + total} AS BIGINT) AS tuned_total "
+        f"CAST({'0' if total == '0' else 't.' + total} AS BIGINT) AS tuned_total "
         "FROM summary b JOIN summary t ON b.model_id = 'base' AND t.model_id = 'tuned'"
         for i, (label, value, total) in enumerate(COMPARISON, start=1)
     )
