@@ -175,8 +175,8 @@ def first_valid_attempt(
 ) -> DataFrame:
     """Per request the first of its first attempts that passes the parse screen.
 
-    (request_id, attempt, predicted_sql, n_attempts, failed). A minimum per request needs no sort
-    and is combined in every task before the shuffle.
+    (request_id, attempt, predicted_sql, n_attempts, failed). The minimum is combined in every task
+    before the shuffle, so a request with very many attempts sends one row per task.
     """
     tried = attempts.filter(F.col("attempt") <= max_attempts).withColumn(
         "_valid", F.when(P.parse_error(F.col(sql)).isNull(), F.col("attempt"))
