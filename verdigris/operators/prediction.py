@@ -39,10 +39,11 @@ def predict(
 
     ``make_predictor`` runs once per task, so a model is loaded once for all rows of the task. Only
     the prompt travels to Python; the other columns wait in the JVM. With ``partitions`` the rows are
-    dealt out first, which keeps few slow rows from being coalesced into one task.
+    dealt out in turn first, so that neither a frequent prompt nor the coalescing of small
+    partitions puts most of the slow work into one task.
     """
     if partitions is not None:
-        df = df.repartition(partitions, prompt)
+        df = df.repartition(partitions)
 
     @F.pandas_udf("text string, error string")
     def run(prompts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
