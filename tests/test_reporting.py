@@ -96,13 +96,25 @@ def test_example_limit_runs_before_the_shuffle(scored):
     assert "Partial" in plan and "WindowGroupLimit" in plan
 
 
+def test_examples_of_unscored_rows_are_the_same(scored):
+    texts = ["model_id", "sample_rank", "question", "predicted_sql", "ground_truth"]
+    late = reporting.error_examples(scored.select(*texts)).orderBy("model_id", "position").collect()
+    early = reporting.error_examples(scored).orderBy("model_id", "position").collect()
+    assert [r.asDict() for r in late] == [r.asDict() for r in early]
+    raw = scored.withColumnRenamed("predicted_sql", "raw_text").drop("strict_match")
+    from_raw = reporting.sample_predictions(raw.filter("model_id = 'tuned'")).orderBy("position").collect()
+    assert [r.predicted_sql for r in from_raw] == [row[2] for row in ROWS if row[0] == "tuned"]
+
+
 def test_random_examples_repeat(scored):
+    raw = scored.withColumnRenamed("predicted_sql", "raw_text").drop("strict_match")
+
     def draw(df, seed):
         rows = reporting.random_examples(df, 3, seed, ["model_id", "sample_rank"]).collect()
-        return {(r.model_id, r.sample_rank) for r in rows}
+        return {(r.model_id, r.sample_rank, r.strict_match) for r in rows}
 
-    assert draw(scored, 1) == draw(scored.repartition(7), 1)
-    assert len(draw(scored, 1)) == 3
+    assert draw(raw, 1) == draw(raw.repartition(7), 1)
+    assert len(draw(raw, 1)) == 3
 
 
 def test_rank_models(scored):

@@ -160,7 +160,7 @@ def compare_forms(predicted_form: Column, truth_form: Column) -> Column:
             hundredths.alias("hundredths"),
         )
 
-    matches = T.let(predicted_form, lambda mine: T.let(truth_form, lambda theirs: flags(mine, theirs)))
+    matches = T.let(F.array(predicted_form, truth_form), lambda two: flags(two[0], two[1]))
     return T.let(matches, verdict)
 
 
@@ -171,9 +171,10 @@ def compare_sql(predicted: Column, truth: Column) -> Column:
         F.lit(True).alias("exact"),
         F.lit(sum(WEIGHTS.values())).alias("hundredths"),
     )
-    return T.let(
-        predicted,
-        lambda mine: F.when((mine == truth) & (T.strip(truth) != ""), all_equal).otherwise(
-            compare_forms(logical_form(mine), logical_form(truth))
-        ),
-    )
+
+    def compare(two: Column) -> Column:
+        built = T.let(F.transform(two, logical_form), lambda both: compare_forms(both[0], both[1]))
+        same_text = (two[0] == two[1]) & (T.strip(two[1]) != "")
+        return F.when(same_text, all_equal).otherwise(built)
+
+    return T.let(F.array(predicted, truth), compare)

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdigris.functions.predicates import STRUCTURE_FLAGS
+from verdigris.functions.predicates import STRUCTURE_FLAGS, strict_match
 from verdigris.functions.text import md5_key
+from verdigris.operators.scoring import add_prediction, score
 
 
 def accuracy_by_model(matched: DataFrame, by: str = "model_id") -> DataFrame:
@@ -210,21 +211,39 @@ _ERROR_COLUMNS = [
 ]
 
 
-def error_examples(scored: DataFrame, k: int = ERROR_EXAMPLES, by: str = "model_id") -> DataFrame:
-    """First k strict mismatches per model in sample order."""
-    wrong = scored.filter(~F.col("strict_match"))
-    return first_per_model(wrong.select(by, "sample_rank", *_ERROR_COLUMNS), k, by)
+def error_examples(rows: DataFrame, k: int = ERROR_EXAMPLES, by: str = "model_id") -> DataFrame:
+    """First k strict mismatches per model in sample order.
+
+    Takes scored rows, or rows with ``predicted_sql`` only: then the measures are worked out for the
+    examples alone.
+    """
+    if set(_ERROR_COLUMNS) <= set(rows.columns):
+        wrong = rows.filter(~F.col("strict_match"))
+        return first_per_model(wrong.select(by, "sample_rank", *_ERROR_COLUMNS), k, by)
+    wrong = rows.filter(~strict_match(F.col("predicted_sql"), F.col("ground_truth")))
+    texts = [by, "sample_rank", "question", "predicted_sql", "ground_truth"]
+    examples = first_per_model(wrong.select(*texts), k, by)
+    return score(examples).select(by, "sample_rank", *_ERROR_COLUMNS, "position")
 
 
 def sample_predictions(
-    predictions: DataFrame, k: int = SAMPLE_PREDICTIONS, by: str = "model_id"
+    rows: DataFrame, k: int = SAMPLE_PREDICTIONS, by: str = "model_id"
 ) -> DataFrame:
-    """First k predictions with their truths per model in sample order."""
-    columns = [by, "sample_rank", "predicted_sql", "ground_truth"]
-    return first_per_model(predictions.select(*columns), k, by)
+    """First k predictions with their truths per model in sample order.
+
+    Takes rows with ``predicted_sql``, or with ``raw_text`` only: then no other text is cleaned.
+    """
+    text = "predicted_sql" if "predicted_sql" in rows.columns else "raw_text"
+    firsts = first_per_model(rows.select(by, "sample_rank", text, "ground_truth"), k, by)
+    return firsts if text == "predicted_sql" else add_prediction(firsts).drop("raw_text")
+
 
+def random_examples(rows: DataFrame, k: int, seed: int, keys: list[str]) -> DataFrame:
+    """k rows in seeded order, without replacement and the same on every run, with a match flag.
 
-def random_examples(matched: DataFrame, k: int, seed: int, keys: list[str]) -> DataFrame:
-    """k rows in seeded order, without replacement and the same on every run."""
+    ``rows`` has ``raw_text`` and ``ground_truth``; only the rows drawn are cleaned and compared.
+    """
     key = F.concat_ws("|", *[F.col(name).cast("string") for name in keys])
-    return matched.withColumn("_hash", md5_key(seed, key)).orderBy("_hash").limit(k).drop("_hash")
+    drawn = rows.withColumn("_hash", md5_key(seed, key)).orderBy("_hash").limit(k).drop("_hash")
+    match = strict_match(F.col("predicted_sql"), F.col("ground_truth"))
+    return add_prediction(drawn).withColumn("strict_match", match)

@@ -40,11 +40,14 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_prediction(generations(spark, sf_dir))
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored generations with the question and a rank in seeded order over the whole corpus."""
+def ranked(spark: SparkSession, sf_dir: str, generated: DataFrame) -> DataFrame:
+    """Generated rows with the question and a rank in seeded order over the whole corpus."""
     sample = pairs(spark, sf_dir).select("row_id", "question")
-    ranked = sampling.with_sample_rank(sample, SEED)
-    return score(predictions(spark, sf_dir)).join(ranked, "row_id")
+    return generated.join(sampling.with_sample_rank(sample, SEED), "row_id")
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(spark, sf_dir, score(predictions(spark, sf_dir)))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,19 +176,17 @@ def q_improvement_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_error_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reporting.error_examples(scored(spark, sf_dir))
+    return reporting.error_examples(ranked(spark, sf_dir, predictions(spark, sf_dir)))
 
 
 def q_sample_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reporting.sample_predictions(scored(spark, sf_dir))
+    return reporting.sample_predictions(ranked(spark, sf_dir, generations(spark, sf_dir)))
 
 
 def q_random_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matched = predictions(spark, sf_dir).select(
-        "row_id", "model_id", "predicted_sql", "ground_truth",
-        P.strict_match(F.col("predicted_sql"), F.col("ground_truth")).alias("strict_match"),
-    )
-    return reporting.random_examples(matched, 3, SEED, ["row_id", "model_id"])
+    rows = generations(spark, sf_dir)
+    drawn = reporting.random_examples(rows, 3, SEED, ["row_id", "model_id"])
+    return drawn.select("row_id", "model_id", "predicted_sql", "ground_truth", "strict_match")
 
 
 def q_evaluate_models(spark: SparkSession, sf_dir: str) -> DataFrame:
