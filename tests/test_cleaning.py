@@ -30,6 +30,9 @@ GOLDEN = [
     ("SELECT a FROM tſer", "SELECT a FROM t"),
     ("SELECT a FROM ſystem x", "SELECT a FROM"),
     ("SELECT a FROM uſer", "SELECT a FROM"),
+    ("SELECT a Marİlyn b", "SELECT a"),
+    ("SELECT a thıs ı am b", "SELECT a th"),
+    ("SELECT a WhİcH b", "SELECT a"),
     ("　SELECT a\x1f", "SELECT a"),
     ("SELECT a FROM t The QUERY is", "SELECT a FROM t"),
     ("SELECT a FROM t Theory", "SELECT a FROM t Theory"),

@@ -32,13 +32,14 @@ MIN_TOKENS = 5
 Rule = Callable[[Column], Column]
 
 
-# The letters outside ASCII that a case-insensitive pattern takes for ASCII ones.
-ODD_LETTERS = ["\u0130", "\u0131", "\u017f", "\u212a"]
+def fold(text: Column) -> Column:
+    """Lower case, with the letters that a case-insensitive pattern takes for ASCII ones made ASCII.
 
-
-def may_hold(text: Column, folded: Column, words: Iterable[str]) -> Column:
-    """Cheap test before a case-insensitive pattern; ``folded`` is the text in lower case."""
-    return T.contains_any(folded, list(words)) | T.contains_any(text, ODD_LETTERS)
+    These are the dotless i, the long s, the Kelvin sign and the dotted capital I, the last of which
+    lowers to an i and a combining dot.
+    """
+    folded = F.translate(F.lower(text), "\u0131\u017f\u0307", "is")
+    return F.when(T.has_non_ascii(text), folded).otherwise(F.lower(text))
 
 
 def keep_reply(text: Column) -> Column:
@@ -55,7 +56,7 @@ def drop_marker_tail(text: Column) -> Column:
 def drop_role_tail(text: Column) -> Column:
     """Cut at a whole word ``system`` or ``user``, also where it names a table."""
     tail_off = T.strip(T.cut_from(text, r"\b(?:system|user)\b", "siU"))
-    possible = T.let(F.lower(text), lambda folded: may_hold(text, folded, ["system", "user"]))
+    possible = T.let(fold(text), lambda folded: T.contains_any(folded, ["system", "user"]))
     return F.when(possible, tail_off).otherwise(text)
 
 
@@ -70,14 +71,14 @@ def drop_talk_tail(text: Column) -> Column:
     def cut(folded: Column) -> Column:
         result = text
         for pattern, word in reversed(TAIL_PATTERNS):
-            found = may_hold(text, folded, [word]) & text.rlike(f"(?iU){pattern}")
+            found = folded.contains(word) & text.rlike(f"(?iU){pattern}")
             tail_off = T.strip(T.cut_from(text, pattern, "siU"))
             result = F.when(found, tail_off).otherwise(result)
-        possible = may_hold(text, folded, [word for _, word in TAIL_PATTERNS])
+        possible = T.contains_any(folded, [word for _, word in TAIL_PATTERNS])
         return F.when(possible, result).otherwise(text)
 
     # Nearly all SQL holds "where", which is no "here" at a word boundary and hides none.
-    return T.let(F.replace(F.lower(text), F.lit("where"), F.lit("")), cut)
+    return T.let(F.replace(fold(text), F.lit("where"), F.lit("")), cut)
 
 
 def drop_non_ascii_tail(text: Column) -> Column:

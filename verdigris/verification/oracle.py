@@ -1,6 +1,7 @@
 """DuckDB SQL per query, written against the same tables and independent of the Spark code.
 
-Patterns are spelled for RE2: word boundaries are ASCII there, which the derived texts allow.
+Patterns are spelled for RE2: word boundaries are ASCII there, which the derived texts allow. Word
+lists, weights, labels and prompt texts are the same fixed values as in the package, written out again.
 """
 
 from __future__ import annotations
