@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdigris.llm import exact_dedup, packing, token_counts, token_files
+from verdigris.llm import chat, exact_dedup, mixing, packing, pii, quality, token_counts, token_files
 from verdigris.llm.common import table
 from verdigris.sources.storage import scratch_path
 
@@ -30,11 +30,31 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark.read.parquet(path))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.train_quality_model(documents, table(spark, sf_dir, "labels"))
+    return quality.score_quality(documents, model).drop("p_good")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return token_counts.count_tokens(documents, public_tokenizers.path(BYTE_VOCABULARY), TOKEN_LIMIT)
 
 
+def op6_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = chat.gather_turns(table(spark, sf_dir, "conversations"))
+    formatted = chat.format_preferences(chat.weakened_pairs(conversations), ["conv_id"])
+
+    def trained(name: str) -> Column:
+        return F.aggregate(name, F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
+
+    return formatted.select(
+        "conv_id", "n_prompt_turns", F.sha2("prompt", 256).alias("prompt_sha256"),
+        F.sha2("chosen_text", 256).alias("chosen_sha256"), F.sha2("rejected_text", 256).alias("rejected_sha256"),
+        trained("chosen_spans").alias("chosen_loss_chars"), trained("rejected_spans").alias("rejected_loss_chars"), "usable",
+    )
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     pieces = packing.token_pieces(documents, public_tokenizers.path(BYTE_VOCABULARY), BYTE_END, SEQUENCE)
@@ -42,6 +62,27 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    copies = mixing.replicate(documents, mixing.source_rates(documents))
+    # The digest stands above the shuffle: whole rows are dealt out.
+    return copies.select(
+        "row.doc_id", "row.source", "copy", "n_copies", "shuffle_key", F.md5(F.coalesce("row.text", F.lit(""))).alias("text_md5")
+    )
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda span: span["base"])
+    counts = [
+        F.size(F.filter(base, lambda span: span["kind"] == number)).cast("long").alias(f"n_{kind}")
+        for number, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
 _NORM = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')"
 
 OP1_SQL = f"""
@@ -50,10 +91,58 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY {_NORM})
 """
 
+_WRITTEN = "'<|turn|>' || coalesce(t.role, '') || chr(10) || coalesce(t.text, '') || '<|end|>' || chr(10)"
+_LOSS = "list_sum([0] || [length(coalesce(t.text, '')) + 8 for t in {} if t.role = 'assistant'])::BIGINT"
+
+OP6_SQL = f"""
+WITH gathered AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn, role, text) AS turns FROM conversations GROUP BY conv_id
+), replies AS (
+  SELECT *, [i for i in range(1, len(turns) + 1) if turns[i].role = 'assistant'] AS spots FROM gathered
+), chosen AS (
+  SELECT *, CASE WHEN len(spots) = 0 THEN turns ELSE turns[1:spots[-1]] END AS chosen FROM replies
+), sides AS (
+  SELECT conv_id, chosen, CASE WHEN len(spots) = 0 THEN chosen ELSE chosen[1:len(chosen) - 1] || [{{'role': 'assistant', 'text':
+    CASE WHEN turns[spots[1]].text IS NOT DISTINCT FROM turns[spots[-1]].text THEN '' ELSE coalesce(turns[spots[1]].text, '') END}}] END AS rejected
+  FROM chosen
+), shared AS (
+  SELECT *, coalesce(list_min([i for i in range(1, least(len(chosen), len(rejected)) + 1) if chosen[i] IS DISTINCT FROM rejected[i]]) - 1,
+    least(len(chosen), len(rejected)))::INTEGER AS n_prompt_turns FROM sides
+), cut AS (
+  SELECT conv_id, n_prompt_turns, chosen[1:n_prompt_turns] AS p, chosen[n_prompt_turns + 1:] AS c, rejected[n_prompt_turns + 1:] AS r FROM shared
+)
+SELECT conv_id, n_prompt_turns, sha256(array_to_string([{_WRITTEN} for t in p], '')) AS prompt_sha256,
+  sha256(array_to_string([{_WRITTEN} for t in c], '')) AS chosen_sha256, sha256(array_to_string([{_WRITTEN} for t in r], '')) AS rejected_sha256,
+  {_LOSS.format('c')} AS chosen_loss_chars, {_LOSS.format('r')} AS rejected_loss_chars,
+  len([t for t in c if t.role = 'assistant']) > 0 AND len([t for t in r if t.role = 'assistant']) > 0 AS usable
+FROM cut
+"""
+
+OP9_SQL = """
+WITH sizes AS (
+  SELECT source, sum(length(coalesce(text, '')) + 1)::DOUBLE AS size FROM documents GROUP BY source
+), rates AS (
+  SELECT source, pow(size, 0.7) / (SELECT sum(pow(size, 0.7)) FROM sizes) * (SELECT sum(size) FROM sizes) / size AS rate FROM sizes
+), parts AS (
+  SELECT d.doc_id, d.source, md5(coalesce(d.text, '')) AS text_md5, rate / greatest(ceil(rate / 8.0), 1) AS mean,
+    unnest(range(greatest(ceil(rate / 8.0), 1)::BIGINT)) AS part
+  FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
+), levels AS (
+  SELECT *, ('0x' || substr(md5('0|' || doc_id || '|' || part), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS level FROM parts
+), counted AS (
+  SELECT doc_id, source, text_md5, list_reduce(range(1, 65), lambda s, k: CASE WHEN s.total > level THEN s ELSE
+    {'term': s.term * mean / k, 'total': s.total + s.term * mean / k, 'k': s.k + 1} END,
+    {'term': exp(-mean), 'total': exp(-mean), 'k': 0}).k AS n FROM levels
+), totals AS (
+  SELECT doc_id, source, text_md5, sum(n)::INTEGER AS n_copies FROM counted GROUP BY ALL
+), copies AS (SELECT *, unnest(range(1, n_copies + 1))::INTEGER AS copy FROM totals)
+SELECT doc_id, source, copy, n_copies, md5('0|shuffle|' || doc_id || '|' || copy) AS shuffle_key, text_md5 FROM copies
+"""
+
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: found for name, found in globals().items() if name.startswith("op") and callable(found)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op6_chat_preferences": OP6_SQL, "op9_mixing": OP9_SQL}
