@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdigris.llm import chat, exact_dedup, mixing, packing, pii, quality, token_counts, token_files
+from verdigris.llm import chat, exact_dedup, jaccard, mixing, packing, pii, quality, token_counts, token_files
 from verdigris.llm.common import table
 from verdigris.sources.storage import scratch_path
 
@@ -16,6 +16,7 @@ from verdigris.sources.storage import scratch_path
 WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
 BYTE_VOCABULARY, BYTE_END = "byte_bpe_50k.json", 0
 TOKEN_LIMIT, SEQUENCE = 1024, 2048
+JOIN_WORDS, JOIN_PERCENT = 3, 90
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +56,10 @@ def op6_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), JOIN_WORDS, JOIN_PERCENT)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     pieces = packing.token_pieces(documents, public_tokenizers.path(BYTE_VOCABULARY), BYTE_END, SEQUENCE)
