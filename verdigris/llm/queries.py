@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdigris.llm import chat, exact_dedup, jaccard, mixing, packing, pii, quality, token_counts, token_files
+from verdigris.llm import chat, exact_dedup, jaccard, mixing, packing, pii, quality, suffix_dedup, token_counts, token_files
 from verdigris.llm.common import table
 from verdigris.sources.storage import scratch_path
 
@@ -16,6 +16,7 @@ from verdigris.sources.storage import scratch_path
 WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
 BYTE_VOCABULARY, BYTE_END = "byte_bpe_50k.json", 0
 TOKEN_LIMIT, SEQUENCE = 1024, 2048
+REPEATED_BYTES = 400
 JOIN_WORDS, JOIN_PERCENT = 3, 90
 
 
@@ -31,6 +32,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark.read.parquet(path))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), REPEATED_BYTES)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality.train_quality_model(documents, table(spark, sf_dir, "labels"))
