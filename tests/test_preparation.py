@@ -127,3 +127,37 @@ def test_read_corpus_declares_its_schema(spark, sf_dir, tmp_path):
     corpus_rows = files.read_corpus(spark, path)
     assert corpus_rows.columns == ["row_id", "context", "question", "answer"]
     assert corpus_rows.count() == 1500
+
+
+def test_malformed_prepared_record_fails(spark, tmp_path):
+    folder = tmp_path / "split=test"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"row_id": 1, "messages": []}\n{"row_id": 2, "mess')
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_prepared(spark, str(tmp_path)).collect()
+
+
+def test_strict_sample_fails_on_repeated_keys(spark):
+    keys = spark.createDataFrame([(1,), (1,), (1,), (2,), (2,), (2,)], "row_id int")
+    with pytest.raises(Exception, match="repeated keys"):
+        sampling.sample_exact(keys, 2, strict=True).collect()
+    unique = spark.range(50).select(F.col("id").alias("row_id"))
+    assert sampling.sample_exact(unique, 20, strict=True).count() == 20
+    assert sampling.sample_exact(unique, 20, digits=1).count() == 20
+
+
+def test_ranks_of_a_few(spark):
+    keys = spark.range(3_000).select(F.col("id").alias("row_id"))
+    all_ranks = {r.row_id: r.sample_rank for r in sampling.with_sample_rank(keys, 7).collect()}
+    few = keys.filter("row_id % 500 = 3")
+    assert {r.row_id: r.sample_rank for r in sampling.ranks_of(keys, few, 7).collect()} == {
+        k: v for k, v in all_ranks.items() if k % 500 == 3
+    }
+
+
+def test_turns_in_order(spark):
+    from verdigris.operators.corpus import group_turns
+
+    rows = [(1, 2, "user", None), (1, 0, "system", "s"), (1, 1, "user", "q"), (2, 0, "user", "é")]
+    got = {r.conv_id: [tuple(m) for m in r.messages] for r in group_turns(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()}
+    assert got == {1: [("system", "s"), ("user", "q"), ("user", None)], 2: [("user", "é")]}

@@ -42,3 +42,31 @@ def test_length_profile(spark):
     got = texts.length_profile(df).collect()[0]
     assert (got.n_texts, got.total_tokens, got.min_tokens, got.max_tokens) == (3, 3006, 1, 3000)
     assert (got.p50_tokens, got.n_over_limit) == (5.0, 1)
+
+
+def test_null_parts_keep_their_turn(spark):
+    df = spark.createDataFrame([(1, [("system", None), (None, "q"), ("user", "r")])], SCHEMA)
+    row = df.select(R.CHATML.render(F.col("messages")).alias("text"), texts.null_parts().alias("n")).first()
+    assert row.text == "<|im_start|>system\n<|im_end|>\n<|im_start|>\nq<|im_end|>\n<|im_start|>user\nr<|im_end|>\n" and row.n == 2
+
+
+def test_packed_tokens_are_all_there(spark):
+    from verdigris.operators.packing import pack_sequences
+
+    rows = [(i, "w " * n) for i, n in enumerate([0, 1, 5, 7, 30, 64, 3, 9, 100, 2] * 5)] + [(99, None)]
+    df = spark.createDataFrame(rows, "row_id int, text string")
+    spans = pack_sequences(df, limit=16, shard_tokens=200).collect()
+    assert len({s.shard for s in spans}) > 3
+    by_text, by_pack = {}, {}
+    for s in spans:
+        by_text.setdefault(s.row_id, []).append((s.token_start, s.token_end))
+        by_pack.setdefault((s.shard, s.pack), []).append((s.pack_offset, s.pack_offset + s.token_end - s.token_start))
+    for number, text in rows:
+        ends = sorted(by_text.get(number, [(0, 0)]))
+        assert ends[0][0] == 0 and ends[-1][1] == len((text or "").split()) and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    for key, places in by_pack.items():
+        places = sorted(places)
+        assert places[0][0] == 0 and all(a[1] == b[0] for a, b in zip(places, places[1:]))
+        last = max(pack for shard, pack in by_pack if shard == key[0])
+        assert places[-1][1] == 16 or key[1] == last
+    assert pack_sequences(df.filter("row_id = 99")).count() == 0

@@ -120,3 +120,23 @@ def test_random_examples_repeat(scored):
 def test_rank_models(scored):
     ranked = reporting.rank_models(reporting.accuracy_by_model(scored), 1).collect()
     assert [(r.model_id, r.position) for r in ranked] == [("base", 1)]
+
+
+def test_examples_of_the_corpus_are_those_of_its_ranking(spark, sf_dir):
+    """Found by hash first and ranked afterwards, they are the first rows of the ranked corpus."""
+    from verdigris.operators.sampling import with_sample_rank
+    from verdigris.operators.scoring import add_prediction
+    from verdigris.verification.fixtures import generations, pairs
+
+    corpus, made = pairs(spark, sf_dir), generations(spark, sf_dir)
+    ranked = add_prediction(made).join(with_sample_rank(corpus.select("row_id", "question")), "row_id")
+    key = lambda rows: sorted(str(tuple(r)) for r in rows)
+    assert key(reporting.corpus_error_examples(made, corpus).collect()) == key(reporting.error_examples(ranked).collect())
+    firsts = reporting.sample_predictions(ranked)
+    assert key(reporting.corpus_sample_predictions(made, corpus).select(*firsts.columns).collect()) == key(firsts.collect())
+
+
+def test_custom_rating(spark):
+    rows = spark.createDataFrame([(0.5, 0.45), (0.61, 0.5), (0.75, 0.5), (0.85, 0.5), (None, 0.5)], "a double, b double")
+    found = [r[0] for r in rows.select(reporting.custom_rating(F.col("a"), F.col("b"))).collect()]
+    assert found == [None, "good", "excellent", "state_of_the_art", None]

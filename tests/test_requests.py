@@ -168,3 +168,43 @@ def test_first_valid_attempt(spark):
     assert [(r.attempt, r.predicted_sql, r.n_attempts, r.failed) for r in got] == [
         (2, "SELECT 2", 3, False), (None, None, 3, True),
     ]
+
+
+@pytest.mark.parametrize("text", ['{"question": "a"}\n{"question": "b"}\n{"question": "c"}', '[{"question": "a"}] [{"question": "b"}]', '[{"question": "a"}] rest', '[{"question": "a"'])
+def test_array_layout_fails_on_what_it_would_lose(spark, tmp_path, text):
+    path = tmp_path / "requests.json"
+    path.write_text(text)
+    with pytest.raises(Exception, match="MALFORMED|more than one JSON value"):
+        files.read_requests(spark, str(path), "array").collect()
+
+
+def test_malformed_result_fails(spark, tmp_path):
+    (tmp_path / "results.json").write_text('{"question": "a"}\n{"question": \n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_results(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize(
+    ("question", "rejected"),
+    [("0", True), ("0.0", True), ("false", True), ("[]", True), ("{}", True), ('""', True), ("null", True), ('"0"', False), ('"false"', False), ("1", False), ("true", False), ('"[]"', False), ("[0]", False)],
+)
+def test_a_question_without_truth_is_blank(spark, question, rejected):
+    lines = spark.createDataFrame([(f'{{"question": {question}}}',)], "line string")
+    row = requests.parse_requests(lines.select(files.parse_line(F.col("line")).alias("r")).select("r.*")).first()
+    assert (row.reject_reason == "blank_question") == rejected
+
+
+def test_salts_follow_the_size_of_a_request(spark):
+    """A third of the rows ask one thing, the others are many small ones: no key and salt gets more than a target."""
+    rows = spark.range(60_000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("q"), F.col("id") % 2_000)).alias("question"),
+        F.lit("c").alias("context"),
+    )
+    sizes = requests.distinct_requests(rows)
+    hot = requests.hot_requests(sizes, 500)
+    assert {r._salts for r in hot.collect()} == {40}
+    loads = requests.salted(rows, hot, "id").groupBy("question", "_salt").count().agg(F.max("count")).first()[0]
+    assert loads < 650
+    answers = sizes.select(*requests.CACHE_KEY, F.col("question").alias("answer"))
+    answered = requests.answer_from_cache(rows, answers, sizes, "id", 500)
+    assert answered.count() == 60_000 and answered.filter("answer <> question").count() == 0

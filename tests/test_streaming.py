@@ -82,3 +82,20 @@ def test_first_requests_on_a_stream(spark, tmp_path):
     firsts = monitoring.first_requests(source, "ts", "question", "context")
     got = run_stream(spark, firsts, "append", tmp_path, "firsts")
     assert sorted(row[1] for row in got) == ["a", "b"]
+
+
+def test_percentiles_hold_at_size(spark):
+    """66,700 values in a window: the least bound that so many of them do not exceed, exactly."""
+    import math
+    import random
+
+    pick = random.Random(1)
+    values = [round(pick.expovariate(0.03), 3) for _ in range(66_700)]
+    events = spark.createDataFrame([(v,) for v in values], "d double").withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    no = F.lit(False)
+    got = monitoring.service_metrics(events, "ts", "d", no, no, no, F.lit(1)).first()
+    for name, percent in monitoring.PERCENTILES.items():
+        at_rank = sorted(values)[math.ceil(len(values) * percent / 100) - 1]
+        assert got[name] == min(b for b in monitoring.LATENCY_BOUNDS if b >= at_rank)
+    beyond = monitoring.service_metrics(events.withColumn("d", F.lit(1e9)), "ts", "d", no, no, no, F.lit(1)).first()
+    assert beyond.p50 is None and beyond.n_requests == 66_700

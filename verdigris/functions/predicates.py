@@ -21,6 +21,7 @@ STRUCTURE_FLAGS = {
     "has_group_by": "GROUP BY",
     "has_order_by": "ORDER BY",
 }
+# The reasons.
 EMPTY_REASON = "Empty SQL string"
 NO_KEYWORD_REASON = "No SQL keywords found"
 

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class ChatTemplate:
-    """Text around each message: ``prefix``, then open + role + middle + content + close each."""
+    """Text around each message: ``prefix``, then open + role + middle + content + close each.
+
+    A message keeps its turn when its role or content is null; the null part is empty text.
+    """
 
     prefix: str
     open: str
@@ -21,7 +24,8 @@ class ChatTemplate:
         turns = F.transform(
             messages,
             lambda m: F.concat(
-                F.lit(self.open), m["role"], F.lit(self.middle), m["content"], F.lit(self.close)
+                F.lit(self.open), F.coalesce(m["role"], F.lit("")), F.lit(self.middle),
+                F.coalesce(m["content"], F.lit("")), F.lit(self.close),
             ),
         )
         reply_open = f"{self.open}assistant{self.middle}" if add_generation_prompt else ""

@@ -53,6 +53,19 @@ def to_conversations(
     return df.select(*keep, conversation(style).alias("messages"))
 
 
+def group_turns(
+    turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text"
+) -> DataFrame:
+    """(key, messages): a table with one row per turn as chat records, turns in order.
+
+    A record is one row, as it is everywhere else; equal numbers are put in order by role and text.
+    """
+    in_order = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(role), F.col(text))))
+    return turns.groupBy(key).agg(
+        F.transform(in_order, lambda t: F.struct(t[role].alias("role"), t[text].alias("content"))).alias("messages")
+    )
+
+
 def unpack_messages(df: DataFrame, messages: str = "messages") -> DataFrame:
     """Add ``system``, ``question`` and ``ground_truth``: first, last but one and last message.
 
@@ -67,6 +80,7 @@ def unpack_messages(df: DataFrame, messages: str = "messages") -> DataFrame:
     )
 
 
+# Fixed value: shown where no schema is found.
 EXAMPLE_SCHEMA = "CREATE TABLE example (id INT, name VARCHAR(100));"
 
 
@@ -86,6 +100,7 @@ def first_schema(messages: Column) -> Column:
 
 
 def size_class(n_rows: Column) -> Column:
+    """Label of a corpus size. The labels and their limits."""
     return (
         F.when(n_rows < 1_000, "n<1K")
         .when(n_rows < 10_000, "1K<n<10K")

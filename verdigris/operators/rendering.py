@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdigris.functions import text as T
@@ -34,6 +34,11 @@ def format_check(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("ends_open", F.endswith(T.strip(F.col(text)), F.lit("assistant")))
 
 
+def null_parts(messages: str = "messages") -> Column:
+    """Number of messages whose role or content is null, which render as empty text."""
+    return F.size(F.filter(messages, lambda m: m["role"].isNull() | m["content"].isNull()))
+
+
 def format_report(df: DataFrame, text: str = "text") -> DataFrame:
     """One row: texts checked, texts that end open."""
     return format_check(df, text).agg(

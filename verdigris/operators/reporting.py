@@ -7,9 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verdigris.functions.cleaning import extract_sql
 from verdigris.functions.predicates import STRUCTURE_FLAGS, strict_match
 from verdigris.functions.text import md5_key
+from verdigris.operators.sampling import ranks_of
 from verdigris.operators.scoring import add_prediction, score
+from verdigris.sources.storage import stored
 
 
 def accuracy_by_model(matched: DataFrame, by: str = "model_id") -> DataFrame:
@@ -62,6 +65,17 @@ def _of(model: str, value: str | Column, by: str) -> Column:
     return F.max(F.when(F.col(by) == model, F.col(value) if isinstance(value, str) else value))
 
 
+def gains(before: Column, after: Column, correct_before: Column, correct_after: Column) -> dict[str, Column]:
+    """Absolute gain, gain in percent of the baseline (0 when that is 0), correct gain; null without both sides."""
+    gain = after - before
+    relative = F.when(before > 0, gain / before * 100).otherwise(0.0)
+    return {
+        "absolute_improvement": gain,
+        "relative_improvement_pct": F.when(gain.isNotNull(), relative),
+        "correct_gain": correct_after - correct_before,
+    }
+
+
 def improvement(summary: DataFrame, baseline: str, tuned: str, by: str = "model_id") -> DataFrame:
     """One row: absolute gain, gain in percent of the baseline (0 when that is 0), correct gain."""
     sides = summary.filter(F.col(by).isin(baseline, tuned)).agg(
@@ -70,13 +84,8 @@ def improvement(summary: DataFrame, baseline: str, tuned: str, by: str = "model_
         _of(baseline, "num_correct", by).alias("correct_before"),
         _of(tuned, "num_correct", by).alias("correct_after"),
     )
-    gain = F.col("after") - F.col("before")
-    relative = F.when(F.col("before") > 0, gain / F.col("before") * 100).otherwise(0.0)
-    return sides.select(
-        gain.alias("absolute_improvement"),
-        F.when(gain.isNotNull(), relative).alias("relative_improvement_pct"),
-        (F.col("correct_after") - F.col("correct_before")).alias("correct_gain"),
-    )
+    figures = gains(F.col("before"), F.col("after"), F.col("correct_before"), F.col("correct_after"))
+    return sides.select(*[value.alias(name) for name, value in figures.items()])
 
 
 def improvement_band(improved: DataFrame) -> DataFrame:
@@ -108,6 +117,19 @@ def rating(accuracy: Column, benchmark: str) -> Column:
     )
 
 
+# Gains over the baseline, in percentage points, that earn the same ratings on other data.
+CUSTOM_GAINS = (10, 20, 30)
+
+
+def custom_rating(accuracy: Column, baseline: Column) -> Column:
+    """Rating of an accuracy on data of one's own, by its gain over the baseline; null below ``good``."""
+    good, excellent, top = CUSTOM_GAINS
+    points = (accuracy - baseline) * 100
+    return F.when(points >= top, "state_of_the_art").when(points >= excellent, "excellent").when(
+        points >= good, "good"
+    )
+
+
 @dataclass(frozen=True)
 class Metric:
     """Line of the comparison table: rates are shown in percent, counts next to their total."""
@@ -193,16 +215,17 @@ def rank_models(summary: DataFrame, k: int, by: str = "model_id") -> DataFrame:
     return best.select(by, "accuracy", "num_correct", "num_samples", position.alias("position"))
 
 
-def first_per_model(rows: DataFrame, k: int, by: str = "model_id") -> DataFrame:
+def first_per_model(rows: DataFrame, k: int, by: str = "model_id", order_by: str = "sample_rank") -> DataFrame:
     """First k rows per model in sample order.
 
     The rank filter is applied in every task before the shuffle, so at most k rows per task and
     model move, however many rows one model has.
     """
-    order = Window.partitionBy(by).orderBy("sample_rank")
+    order = Window.partitionBy(by).orderBy(order_by)
     return rows.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= k)
 
 
+# Examples and samples per model.
 ERROR_EXAMPLES = 5
 SAMPLE_PREDICTIONS = 10
 _ERROR_COLUMNS = [
@@ -238,6 +261,42 @@ def sample_predictions(
     return firsts if text == "predicted_sql" else add_prediction(firsts).drop("raw_text")
 
 
+def _cleaned_once(rows: DataFrame) -> DataFrame:
+    """Add ``predicted_sql``. A filter on it is not pushed below, so no text is cleaned twice."""
+    return rows.select("*", F.inline(F.array(F.struct(extract_sql(F.col("raw_text")).alias("predicted_sql")))))
+
+
+def _placed(examples: DataFrame, corpus: DataFrame, seed: int, key: str) -> DataFrame:
+    """Rank in seeded order and question for the few examples; the corpus is neither ranked nor shuffled."""
+    few = stored(examples, "examples")
+    ranks = ranks_of(corpus, few, seed, key)
+    questions = corpus.select(key, "question").join(F.broadcast(few.select(key).distinct()), key)
+    return few.join(F.broadcast(ranks), key).join(F.broadcast(questions), key)
+
+
+def corpus_error_examples(
+    generations: DataFrame, corpus: DataFrame, k: int = ERROR_EXAMPLES, seed: int = 42, key: str = "row_id", by: str = "model_id"
+) -> DataFrame:
+    """First k strict mismatches per model in the seeded order of the whole corpus, with every measure.
+
+    The order is that of a hash of the key, so the k rows are found first, in one pass over the raw
+    texts, and only these get rank, question and measures.
+    """
+    rows = _cleaned_once(generations.select(by, key, "raw_text", "ground_truth")).drop("raw_text")
+    wrong = rows.filter(~strict_match(F.col("predicted_sql"), F.col("ground_truth")))
+    firsts = first_per_model(wrong.withColumn("_hash", md5_key(seed, F.col(key))), k, by, "_hash").drop("_hash")
+    return score(_placed(firsts, corpus, seed, key)).select(by, "sample_rank", *_ERROR_COLUMNS, "position")
+
+
+def corpus_sample_predictions(
+    generations: DataFrame, corpus: DataFrame, k: int = SAMPLE_PREDICTIONS, seed: int = 42, key: str = "row_id", by: str = "model_id"
+) -> DataFrame:
+    """First k predictions with their truths per model in the seeded order of the whole corpus."""
+    rows = generations.select(by, key, "raw_text", "ground_truth").withColumn("_hash", md5_key(seed, F.col(key)))
+    firsts = _placed(first_per_model(rows, k, by, "_hash").drop("_hash"), corpus, seed, key)
+    return add_prediction(firsts).select(by, "sample_rank", "predicted_sql", "ground_truth", "position")
+
+
 def random_examples(rows: DataFrame, k: int, seed: int, keys: list[str]) -> DataFrame:
     """k rows in seeded order, without replacement and the same on every run, with a match flag.
 

@@ -57,11 +57,16 @@ def _read_messages(messages: Column) -> Column:
     return F.aggregate(messages, nothing, step)
 
 
+def _is_variant(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType.typeName() == "variant"
+
+
 def parse_requests(requests: DataFrame) -> DataFrame:
     """Add ``request`` (question, context, ground_truth) and ``reject_reason``.
 
     A record with a ``question`` key is of the first format whatever else it holds, so a blank
-    question rejects it. Rejected records stay, with a reason.
+    question rejects it. Blank is what has no truth by the type of the value: null, false, 0, an empty
+    text, list or object; the text ``"0"`` is a question. Rejected records stay, with a reason.
     """
     plain_question = F.col("question").cast("string")
     context = F.when(F.col("context").isNull(), F.lit("")).otherwise(
@@ -75,7 +80,16 @@ def parse_requests(requests: DataFrame) -> DataFrame:
     parsed = requests.withColumn(
         "request", F.when(is_plain, plain).otherwise(_read_messages(F.col("messages")))
     )
-    blank = F.coalesce(F.col("request.question"), F.lit("")) == ""
+    kind = F.schema_of_variant(F.col("question")) if _is_variant(requests, "question") else F.lit("STRING")
+    plain_text = F.coalesce(plain_question, F.lit(""))
+    untrue = (
+        F.when(kind == "STRING", plain_text == "")
+        .when(kind == "BOOLEAN", plain_text == "false")
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), plain_text.isin("[]", "{}", ""))
+        .when(kind == "VOID", True)
+        .otherwise(plain_text.cast("double") == 0)
+    )
+    blank = F.when(is_plain, untrue).otherwise(F.coalesce(F.col("request.question"), F.lit("")) == "")
     reason = (
         F.when(~is_plain & F.col("messages").isNull(), NO_KNOWN_KEY)
         .when(~is_plain & (F.size("messages") < 2), TOO_FEW_MESSAGES)
@@ -132,41 +146,46 @@ def cache_report(requests: DataFrame) -> DataFrame:
     )
 
 
-# A request is hot when it makes up more than this share of all rows, so fewer than 1,024 are.
-HOT_SHARE = 1024
-SALTS = 64
+# A request is hot when it makes up more than this share of all rows, so fewer than 65,536 are.
+HOT_SHARE = 1 << 16
+# Rows of one request that a salt should get.
+ROWS_PER_SALT = 100_000
+
+
+def hot_requests(sizes: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """(cache key, _salts): requests whose rows are dealt over several salts, as many as their size asks for.
+
+    Fewer than ``HOT_SHARE`` rows by the definition of hot. A request below that share has so few rows
+    that adaptive execution can split them: 15 million at 10^12.
+    """
+    total = sizes.agg(F.sum("n_requests")).scalar()
+    salts = F.ceil(F.col("n_requests") / rows_per_salt).cast("int")
+    hot = (F.col("n_requests") * HOT_SHARE > total) & (salts > 1)
+    return sizes.filter(hot).select(*CACHE_KEY, salts.alias("_salts"))
+
+
+def salted(requests: DataFrame, hot: DataFrame, spread_by: str) -> DataFrame:
+    """Requests with their cache key and ``_salt``: the hash of ``spread_by`` over the salts of the request."""
+    salt = F.pmod(F.xxhash64(spread_by), F.coalesce("_salts", F.lit(1)).cast("bigint")).cast("int")
+    keyed = with_cache_key(requests).join(F.broadcast(hot), CACHE_KEY, "left")
+    return keyed.withColumn("_salt", salt).drop("_salts")
 
 
 def answer_from_cache(
-    requests: DataFrame, answers: DataFrame, sizes: DataFrame, spread_by: str
+    requests: DataFrame, answers: DataFrame, sizes: DataFrame, spread_by: str, rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
     """Give every request the answer of its distinct form.
 
-    ``sizes`` is the output of ``distinct_requests``. The rows of a hot request are dealt out over 64
-    salts by the hash of ``spread_by``, and its one answer is copied to each; every other request
-    has one salt. The list of hot requests has fewer than 1,024 rows by the definition of hot,
-    which is what allows the broadcast.
+    ``sizes`` is the output of ``distinct_requests``. The rows of a hot request are dealt over its
+    salts and its one answer is copied to each; every other request has one salt.
     """
-    total = sizes.agg(F.sum("n_requests")).scalar()
-    hot = sizes.filter(F.col("n_requests") * HOT_SHARE > total).select(
-        *CACHE_KEY, F.lit(True).alias("_hot")
-    )
-    all_salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-    salted_requests = (
-        with_cache_key(requests)
-        .join(F.broadcast(hot), CACHE_KEY, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0))
-        .drop("_hot")
-    )
-    salted_answers = (
-        answers.join(F.broadcast(hot), CACHE_KEY, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return salted_requests.join(salted_answers, [*CACHE_KEY, "_salt"]).drop("_salt")
+    hot = hot_requests(sizes, rows_per_salt)
+    all_salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copied = answers.join(F.broadcast(hot), CACHE_KEY, "left").withColumn("_salt", F.explode(all_salts)).drop("_salts")
+    return salted(requests, hot, spread_by).join(copied, [*CACHE_KEY, "_salt"]).drop("_salt")
 
 
+# Fixed value: attempts at a request.
 MAX_ATTEMPTS = 3
 
 

@@ -52,23 +52,30 @@ def before_cut(
 ) -> Column:
     """Condition that holds for exactly n keys; for all of them when there are fewer.
 
-    With ``strict`` a table with fewer than n keys fails the query instead.
+    With ``strict`` a table with fewer than n keys fails the query instead, and so does a key that
+    stands twice at the cut, which would make the sample larger than n.
     """
     if n < 0:
         raise ValueError(f"sample size must not be negative: {n}")
     if n == 0:
         return F.lit(False)
     cut = _cut_hash(keys.select(key), key, n, seed, digits).scalar()
-    too_few = F.raise_error(F.lit(f"fewer than {n} rows to sample from")).cast("string")
-    limit = F.coalesce(cut, too_few if strict else F.lit(AFTER_EVERY_HASH))
-    return md5_key(seed, F.col(key)) <= limit
+    if not strict:
+        return md5_key(seed, F.col(key)) <= F.coalesce(cut, F.lit(AFTER_EVERY_HASH))
+    up_to = keys.filter(md5_key(seed, F.col(key)) <= F.coalesce(cut, F.lit(AFTER_EVERY_HASH)))
+    found = up_to.agg(F.count(F.lit(1))).scalar()
+    wrong = F.raise_error(F.concat(F.lit(f"fewer than {n} rows to sample from, or repeated keys: found "), found.cast("string")))
+    return md5_key(seed, F.col(key)) <= F.when(found == n, cut).otherwise(wrong.cast("string"))
 
 
 def sample_exact(
-    df: DataFrame, n: int, seed: int = 42, key: str = "row_id", strict: bool = False
+    df: DataFrame, n: int, seed: int = 42, key: str = "row_id", strict: bool = False, digits: int = PREFIX_DIGITS
 ) -> DataFrame:
-    """Exactly n rows, the same for every partitioning."""
-    return df.filter(before_cut(df, key, n, seed, strict))
+    """Exactly n rows, the same for every partitioning. Keys must be unique; ``strict`` fails where they are not.
+
+    More ``digits`` make the one bucket that is ranked smaller: rows / 16^digits on average.
+    """
+    return df.filter(before_cut(df, key, n, seed, strict, digits))
 
 
 def with_sample_rank(
@@ -90,15 +97,33 @@ def with_sample_rank(
     )
 
 
+def ranks_of(
+    keys: DataFrame, wanted: DataFrame, seed: int = 42, key: str = "row_id", digits: int = PREFIX_DIGITS
+) -> DataFrame:
+    """(key, sample_rank) of a few wanted keys in the seeded order of ``keys``.
+
+    Only the key column is read. Rows before each hash prefix are counted, and only the prefixes that
+    the wanted keys fall into are ranked. ``wanted`` is broadcast: examples of a report, not a table.
+    """
+    few = wanted.select(key).distinct()
+    buckets = few.select(F.substring(md5_key(seed, F.col(key)), 1, digits).alias("bucket")).distinct()
+    hashes = keys.select(key, md5_key(seed, F.col(key)).alias("_hash"))
+    offsets = _bucket_offsets(hashes, digits).select("bucket", "offset")
+    near = hashes.withColumn("bucket", F.substring("_hash", 1, digits)).join(F.broadcast(buckets), "bucket")
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("_hash"))
+    ranked = near.withColumn("_place", place).join(F.broadcast(offsets), "bucket")
+    return ranked.join(F.broadcast(few), key).select(key, (F.col("offset") + F.col("_place")).alias("sample_rank"))
+
+
 def split_train_test(
-    df: DataFrame, test_size: int, seed: int = 42, key: str = "row_id"
+    df: DataFrame, test_size: int, seed: int = 42, key: str = "row_id", digits: int = PREFIX_DIGITS
 ) -> DataFrame:
     """Add ``split``: exactly ``test_size`` rows are ``test``, the others ``train``.
 
     The split draws with its own seed text, so that it does not repeat the order of the sample.
     """
     salted = df.select(F.concat(F.lit("split|"), F.col(key).cast("string")).alias("_key"))
-    condition = before_cut(salted, "_key", test_size, seed)
+    condition = before_cut(salted, "_key", test_size, seed, digits=digits)
     return (
         df.withColumn("_key", F.concat(F.lit("split|"), F.col(key).cast("string")))
         .withColumn("split", F.when(condition, "test").otherwise("train"))

@@ -49,9 +49,10 @@ class RunConfig:
     temperature: float = 0.0
     settings: tuple[tuple[str, str], ...] = ()
 
-    def struct(self) -> Column:
+    def struct(self, num_samples: Column) -> Column:
+        """``num_samples`` is what was scored; the number asked for stands in when nothing was."""
         return F.struct(
-            F.lit(self.num_samples).cast("bigint").alias("num_samples"),
+            F.coalesce(num_samples, F.lit(self.num_samples)).cast("bigint").alias("num_samples"),
             F.lit(self.batch_size).cast("bigint").alias("batch_size"),
             F.lit(self.temperature).alias("temperature"),
             F.lit(self.base_model).alias("base_model"),
@@ -106,18 +107,16 @@ def run_document(
         return F.any_value(F.when(F.col("model_id") == (model or ""), F.col("side")), True)
 
     document = per_model.agg(of(baseline).alias("baseline"), of(tuned).alias("fine_tuned"))
-    before, after = F.col("baseline.accuracy"), F.col("fine_tuned.accuracy")
-    gain = after - before
-    improvement = F.struct(
-        gain.alias("absolute_improvement"),
-        F.when(before > 0, gain / before * 100).otherwise(0.0).alias("relative_improvement_pct"),
-        (F.col("fine_tuned.num_correct") - F.col("baseline.num_correct")).alias("correct_gain"),
+    figures = reporting.gains(
+        F.col("baseline.accuracy"), F.col("fine_tuned.accuracy"),
+        F.col("baseline.num_correct"), F.col("fine_tuned.num_correct"),
     )
+    improvement = F.struct(*[value.alias(name) for name, value in figures.items()])
     return document.select(
         F.lit(config.run_id).alias("run_id"),
-        config.struct().alias("evaluation_config"),
+        config.struct(F.coalesce("baseline.num_samples", "fine_tuned.num_samples")).alias("evaluation_config"),
         "baseline",
         "fine_tuned",
-        F.when(gain.isNotNull(), improvement).alias("improvement"),
+        F.when(figures["absolute_improvement"].isNotNull(), improvement).alias("improvement"),
         config.settings_map().alias("config"),
     )

@@ -27,7 +27,8 @@ def write_prepared(df: DataFrame, path: str, fmt: str = "json") -> None:
 def read_prepared(
     spark: SparkSession, path: str, split: str | None = None, fmt: str = "json"
 ) -> DataFrame:
-    """Prepared records; naming a split reads the files of that folder only."""
+    """Prepared records; naming a split reads the files of that folder only. A malformed line fails."""
     schema = f"{PREPARED_SCHEMA}, split string"
-    records = spark.read.schema(schema).format(fmt).load(path)
+    options = {"mode": "FAILFAST"} if fmt == "json" else {}
+    records = spark.read.schema(schema).options(**options).format(fmt).load(path)
     return records if split is None else records.filter(records.split == split)

@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verdigris.sources.documents import whole_values
+
 # A variant tells an absent key (null) from a key that holds null (a variant of null).
 REQUEST_SCHEMA = (
     "question variant, context variant, query string, "
     "messages array<struct<role: string, content: string>>"
 )
+# The same fields as the members of a struct type.
+REQUEST_FIELDS = (
+    "question: variant, context: variant, query: string, "
+    "messages: array<struct<role: string, content: string>>"
+)
 LAYOUTS = ("lines", "array")
 
 
@@ -17,17 +24,15 @@ def read_requests(spark: SparkSession, path: str, layout: str = "lines") -> Data
     """Requests from JSON lines, or from files that hold one JSON array each.
 
     Lines are read in splits, blank ones skipped; an array on one line works too. The ``array``
-    layout is for arrays spread over many lines, which Spark reads one task per file. A malformed
-    record fails the query.
+    layout is for arrays spread over many lines: one task per file, so one file must fit a task. A
+    malformed record fails the query, and so does anything behind the array.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}: {layout}")
-    return (
-        spark.read.schema(REQUEST_SCHEMA)
-        .option("mode", "FAILFAST")
-        .option("multiLine", layout == "array")
-        .json(path)
-    )
+    if layout == "array":
+        record = f"struct<{REQUEST_FIELDS}>"
+        return whole_values(spark, path, f"array<{record}>").select(F.inline("value"))
+    return spark.read.schema(REQUEST_SCHEMA).option("mode", "FAILFAST").json(path)
 
 
 def parse_line(line: Column) -> Column:
@@ -46,4 +51,5 @@ RESULT_SCHEMA = "question string, context string, predicted_sql string, ground_t
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RESULT_SCHEMA).json(path)
+    """Results as written; a malformed line fails the query."""
+    return spark.read.schema(RESULT_SCHEMA).option("mode", "FAILFAST").json(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verdigris.sources.documents import whole_values
+
 _SUMMARY = (
     "struct<accuracy: double, relaxed_accuracy: double, num_samples: bigint, num_correct: bigint, "
     "num_relaxed_correct: bigint, num_incorrect: bigint, valid_sql_count: bigint, "
@@ -32,20 +34,37 @@ LATER_FIGURES = [
 ]
 
 
+LAYOUTS = ("lines", "document")
+
+
 def append_run(document: DataFrame, path: str) -> None:
-    """Append documents to the history, one folder per ``run_id``."""
-    document.write.mode("append").partitionBy("run_id").json(path)
+    """Add documents to the history, one folder per ``run_id``; a run that is there is replaced."""
+    document.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").json(path)
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Documents below a path or glob with all fields, old or new, and ``source_file``."""
-    documents = spark.read.schema(RUN_SCHEMA).option("multiLine", True).json(path)
-    return documents.select("*", F.col("_metadata.file_path").alias("source_file"))
+def read_runs(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+    """Documents below a path with all fields, old or new, ``run_id`` and ``source_file``.
+
+    ``lines`` is the layout of ``append_run``: any number of documents per file, one per line.
+    ``document`` is for files that hold one document over many lines, as others write them; there the
+    run is null unless the folder names it. A malformed document, or more of them in a file than the
+    layout allows, fails the query.
+    """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}: {layout}")
+    if layout == "lines":
+        documents = spark.read.schema(f"{RUN_SCHEMA}, run_id string").option("mode", "FAILFAST").json(path)
+        return documents.select("*", F.col("_metadata.file_path").alias("source_file"))
+    struct = spark.createDataFrame([], RUN_SCHEMA).schema.simpleString()
+    folder = F.regexp_extract("source_file", "/run_id=([^/]+)/", 1)
+    return whole_values(spark, path, struct).select(
+        "value.*", F.when(folder != "", folder).alias("run_id"), "source_file"
+    )
 
 
 def improvement_history(runs: DataFrame) -> DataFrame:
-    """(source_file, absolute_improvement, relative_improvement_pct, correct_gain) per run."""
-    return runs.select("source_file", "improvement.*")
+    """(run_id, source_file, absolute_improvement, relative_improvement_pct, correct_gain) per run; null where it has none."""
+    return runs.select("run_id", "source_file", "improvement.*")
 
 
 def summary_history(runs: DataFrame, side: str) -> DataFrame:
@@ -53,7 +72,7 @@ def summary_history(runs: DataFrame, side: str) -> DataFrame:
     present = runs.filter(F.col(side).isNotNull())
     kept = ["accuracy", "num_samples", "num_correct", "num_incorrect"]
     return present.select(
-        "source_file",
+        "run_id", "source_file",
         *[F.col(f"{side}.{name}") for name in kept],
         *[F.coalesce(F.col(f"{side}.{name}"), F.lit(0)).alias(name) for name in LATER_FIGURES],
     )

@@ -2,41 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHARED = "spark.checkpoint.dir"
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table, under ``spark.checkpoint.dir``.
 
-    Only a local session may do without that setting; it then gets a temporary folder. On a cluster
-    no machine-local folder would be seen by every executor.
+    A session that does not name the folder uses its warehouse, which executors share as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="verdigris-")
+    shared = spark.conf.get(SHARED, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The table written to shared storage and read back.
+    """The table written to shared storage and read back, under the schema it was written with.
 
     For results that are used more than once or are costly to make again: lost executors take
     nothing with them, and the lineage ends at the files.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a table with fewer splits than cores out to all of them.
-
-    A large table has more splits than cores and is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.sparkSession.read.schema(df.schema).parquet(path)

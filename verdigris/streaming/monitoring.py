@@ -80,7 +80,22 @@ def generation_histogram(
     )
 
 
-PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+# Percentiles in percent.
+PERCENTILES = {"p50": 50, "p95": 95, "p99": 99}
+# Bounds between which latencies are counted: ten to a decade, from a thousandth to ten thousand.
+LATENCY_BOUNDS = [
+    step / 10 * 10**decade / 1000 for decade in range(7) for step in (10, 12, 16, 20, 25, 32, 40, 50, 63, 80)
+] + [10_000.0]
+
+
+def _percentile(counts: Column, n: Column, percent: int, bounds: Sequence[float]) -> Column:
+    """Least bound that ``percent`` of the values do not exceed; null when it lies above all bounds."""
+    rank = F.floor((n * percent + 99) / 100)
+    enough = F.filter(
+        F.arrays_zip(F.lit(list(bounds)).alias("bound"), counts.alias("count")), lambda c: (c["count"] >= rank) & (n > 0)
+    )
+    return F.get(enough, F.lit(0))["bound"]
+
 
 
 def service_metrics(
@@ -93,13 +108,14 @@ def service_metrics(
     cost: Column,
     per: str = "1 hour",
     slide: str | None = None,
-    accuracy: int = 10_000,
+    bounds: Sequence[float] = LATENCY_BOUNDS,
     watermark: str = WATERMARK,
 ) -> DataFrame:
     """Latency percentiles, error, validation and cache-hit rates, and cost per window.
 
-    Percentiles come from a sketch of bounded size, exact while a window holds few rows, so a busy
-    window neither grows the state nor has to be sorted.
+    A percentile is the least of ``bounds`` that so many of the latencies do not exceed. That is its
+    definition for tables and streams alike, at any size: a window holds one count per bound, however
+    many rows it has. With the default bounds it lies at most a third above the value at that rank.
     """
     observed = with_event_time(requests, ts, watermark).select(
         ts, latency, is_error.alias("_error"), is_valid.alias("_valid"),
@@ -107,7 +123,8 @@ def service_metrics(
     )
     totals = observed.groupBy(F.window(ts, per, slide)).agg(
         F.count(F.lit(1)).alias("n_requests"),
-        F.percentile_approx(latency, list(PERCENTILES.values()), accuracy).alias("_latency"),
+        F.count(latency).alias("n_timed"),
+        F.array(*[F.count_if(F.col(latency) <= bound) for bound in bounds]).alias("_latency"),
         F.count_if("_error").alias("n_errors"),
         F.count_if("_valid").alias("n_valid"),
         F.count_if("_hit").alias("n_hits"),
@@ -117,7 +134,10 @@ def service_metrics(
     return totals.select(
         *_edges(),
         "n_requests",
-        *[F.col("_latency")[i].alias(name) for i, name in enumerate(PERCENTILES)],
+        *[
+            _percentile(F.col("_latency"), F.col("n_timed"), percent, bounds).alias(name)
+            for name, percent in PERCENTILES.items()
+        ],
         (F.col("n_errors") / n).alias("error_rate"),
         (F.col("n_valid") / n).alias("validation_rate"),
         (F.col("n_hits") / n).alias("cache_hit_rate"),

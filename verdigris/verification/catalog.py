@@ -11,7 +11,7 @@ from verdigris.functions import forms
 from verdigris.functions import predicates as P
 from verdigris.functions import rendering as R
 from verdigris.functions.cleaning import cut_at_role_word, extract_sql, stop_markers
-from verdigris.operators import corpus, markers, reporting, requests, sampling
+from verdigris.operators import corpus, markers, packing, reporting, requests, sampling
 from verdigris.operators import rendering as texts
 from verdigris.operators.scoring import add_prediction, score
 from verdigris.plans import evaluation
@@ -20,7 +20,7 @@ from verdigris.plans.preparation import prepare_corpus
 from verdigris.sources import corpus as corpus_files
 from verdigris.sources import requests as request_files
 from verdigris.sources import runs
-from verdigris.sources.storage import scratch_path, spread, stored
+from verdigris.sources.storage import scratch_path, stored
 from verdigris.streaming import monitoring
 from verdigris.verification.fixtures import generations, pairs
 from verdigris.verification.predictors import schema_reader
@@ -40,16 +40,6 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_prediction(generations(spark, sf_dir))
 
 
-def ranked(spark: SparkSession, sf_dir: str, generated: DataFrame) -> DataFrame:
-    """Generated rows with the question and a rank in seeded order over the whole corpus."""
-    sample = pairs(spark, sf_dir).select("row_id", "question")
-    return generated.join(sampling.with_sample_rank(sample, SEED), "row_id")
-
-
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranked(spark, sf_dir, score(predictions(spark, sf_dir)))
-
-
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.to_conversations(pairs(spark, sf_dir))
 
@@ -108,10 +98,13 @@ def q_structural_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dangerous_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Screens the statements and, as texts with the dangerous words, their priorities rewritten."""
-    risky = F.replace(F.col("predicted_sql"), F.lit("SELECT COUNT(*)"), F.lit("delete"))
+    """Screens the statements, and the statements with one of the words, or none, for their verb."""
+    verbs = F.lit(["drop", "Delete", "TRUNCATE", "alter", "GRANT", "SELECT"])
+    verb = F.element_at(verbs, (F.col("row_id") % 6 + 1).cast("int"))
+    risky = F.replace(F.col("predicted_sql"), F.lit("SELECT"), verb)
     return predictions(spark, sf_dir).select(
-        "row_id", "model_id", P.dangerous_word(risky).alias("dangerous_word")
+        "row_id", "model_id", P.dangerous_word(F.col("predicted_sql")).alias("dangerous_word"),
+        P.dangerous_word(risky).alias("risky_word"),
     )
 
 
@@ -158,8 +151,10 @@ def q_improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_comparison_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals that a line does not have are null; the query says so and fills them to keep one type."""
     table = reporting.comparison_table(q_model_summary(spark, sf_dir), BASELINE, TUNED)
-    return table.fillna(0, ["baseline_total", "tuned_total"])
+    totals = ["baseline_total", "tuned_total"]
+    return table.withColumns({f"has_{name}": F.col(name).isNotNull() for name in totals}).fillna(0, totals)
 
 
 def q_rank_models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,12 +170,32 @@ def q_improvement_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reporting.improvement_band(q_improvement(spark, sf_dir))
 
 
+def q_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings of every variant of raw text, taken as a data set of its own, for both models."""
+    matched = predictions(spark, sf_dir).select(
+        "variant", "model_id", P.strict_match(F.col("predicted_sql"), F.col("ground_truth")).alias("strict_match")
+    )
+    rates = matched.groupBy("variant").agg(
+        *[
+            F.try_divide(
+                F.count_if((F.col("model_id") == model) & F.col("strict_match")), F.count_if(F.col("model_id") == model)
+            ).alias(model)
+            for model in (BASELINE, TUNED)
+        ]
+    )
+    return rates.select(
+        "variant", BASELINE, TUNED,
+        *[reporting.rating(F.col(BASELINE), name).alias(name.lower()) for name in reporting.RATING_BANDS],
+        reporting.custom_rating(F.col(TUNED), F.col(BASELINE)).alias("custom"),
+    )
+
+
 def q_error_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reporting.error_examples(ranked(spark, sf_dir, predictions(spark, sf_dir)))
+    return reporting.corpus_error_examples(generations(spark, sf_dir), pairs(spark, sf_dir), seed=SEED)
 
 
 def q_sample_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reporting.sample_predictions(ranked(spark, sf_dir, generations(spark, sf_dir)))
+    return reporting.corpus_sample_predictions(generations(spark, sf_dir), pairs(spark, sf_dir), seed=SEED)
 
 
 def q_random_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,11 +204,14 @@ def q_random_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("row_id", "model_id", "predicted_sql", "ground_truth", "strict_match")
 
 
+def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows of the evaluation sample, both written so that neither is made twice."""
+    sample = stored(evaluation.evaluation_sample(records(spark, sf_dir), EVAL_ROWS, SEED), "sample")
+    return stored(evaluation.score_generations(sample, generations(spark, sf_dir)), "scored")
+
+
 def q_evaluate_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sample = evaluation.evaluation_sample(records(spark, sf_dir), EVAL_ROWS, SEED)
-    return reporting.model_summary(
-        evaluation.score_generations(sample, generations(spark, sf_dir))
-    )
+    return reporting.model_summary(evaluated(spark, sf_dir))
 
 
 # --- corpus preparation ------------------------------------------------------------------------
@@ -280,6 +298,52 @@ def q_length_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.length_profile(texts.training_texts(records(spark, sf_dir)))
 
 
+def q_group_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations of any length, with and without a system turn, ending on either role."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    unpacked = corpus.unpack_messages(corpus.group_turns(turns))
+    return unpacked.select(
+        "conv_id", F.size("messages").cast("bigint").alias("n_messages"), F.to_json("messages").alias("messages"),
+        "system", "question", "ground_truth",
+    )
+
+
+def q_format_check_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations rendered whole, and open where the last turn is the user's."""
+    grouped = corpus.group_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    asks = F.element_at("messages", -1)["role"] == "user"
+    text = F.when(asks, R.CHATML.render(F.col("messages"), True)).otherwise(R.CHATML.render(F.col("messages")))
+    return texts.format_report(grouped.select(text.alias("text")))
+
+
+def q_render_null_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a null system text, question or answer: every turn stays."""
+    row = F.col("row_id")
+    gaps = pairs(spark, sf_dir).select(
+        "row_id", F.when(row % 4 != 1, F.col("context")).alias("context"),
+        F.when(row % 4 != 2, F.col("question")).alias("question"), F.when(row % 4 != 3, F.col("answer")).alias("answer"),
+    )
+    made = corpus.to_conversations(gaps)
+    prompts = texts.evaluation_prompts(corpus.unpack_messages(made))
+    return prompts.select(
+        "row_id", R.CHATML.render(F.col("messages")).alias("text"), "prompt",
+        texts.null_parts().cast("bigint").alias("n_null_parts"),
+    )
+
+
+def q_length_profile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return texts.length_profile(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def q_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and rendered pairs together, with shards small enough that there are several."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.concat(F.lit("d"), "doc_id").alias("key"), "text"
+    )
+    rendered = texts.training_texts(records(spark, sf_dir)).select(F.concat(F.lit("p"), "row_id").alias("key"), "text")
+    return packing.pack_sequences(documents.unionByName(rendered), "key", shard_tokens=200_000)
+
+
 def q_corpus_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.corpus_profile(records(spark, sf_dir))
 
@@ -291,8 +355,8 @@ def q_roundtrip_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "prepared")
     prepared = prepare_corpus(pairs(spark, sf_dir), SAMPLE_ROWS, TEST_ROWS, SEED)
     corpus_files.write_prepared(prepared, path)
-    test = corpus_files.read_prepared(spark, path, "test")
-    return corpus.unpack_messages(test).select("row_id", "split", "question", "ground_truth")
+    both = [corpus_files.read_prepared(spark, path, split) for split in ("train", "test")]
+    return corpus.unpack_messages(both[0].unionByName(both[1])).select("row_id", "split", "question", "ground_truth")
 
 
 def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +424,7 @@ def q_write_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty_as_null = F.when(F.col("predicted_sql") != "", F.col("predicted_sql"))
     request_files.write_results(
         results.withColumns(
-            {"predicted_sql": empty_as_null, "ground_truth_sql": F.col("raw_text")}
+            {"predicted_sql": empty_as_null, "ground_truth_sql": F.col("ground_truth")}
         ),
         path,
     )
@@ -368,16 +432,20 @@ def q_write_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_document(spark: SparkSession, sf_dir: str, run_id: str) -> DataFrame:
-    table = stored(scored(spark, sf_dir), "scored")
+    table = evaluated(spark, sf_dir)
     config = evaluation.RunConfig(run_id, EVAL_ROWS, BASELINE, TUNED, settings=(("seed", str(SEED)),))
     return evaluation.run_document(table, config, BASELINE, TUNED, "2025-01-01T00:00:00")
 
 
 def q_run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "runs")
-    runs.append_run(_run_document(spark, sf_dir, "r1"), path)
-    document = runs.read_runs(spark, f"{path}/*/*.json")
-    return document.select(
+    document = stored(_run_document(spark, sf_dir, "r1"), "document")
+    for _ in range(2):  # the second time replaces the first
+        runs.append_run(document, path)
+    return runs.read_runs(spark, path).select(
+        "run_id", F.col("evaluation_config.num_samples").alias("num_samples"), "evaluation_config.batch_size",
+        "evaluation_config.temperature", "evaluation_config.base_model", "evaluation_config.adapter_path",
+        F.element_at("config", "seed").alias("seed"), F.col("baseline.timestamp").alias("timestamp"),
         F.col("baseline.accuracy").alias("baseline_accuracy"),
         F.col("fine_tuned.accuracy").alias("tuned_accuracy"),
         F.col("fine_tuned.avg_logical_form_similarity").alias("tuned_logical_form"),
@@ -388,28 +456,33 @@ def q_run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run of today's shape and one that lacks the later figures, read together."""
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of today's shape, and one whose file has two documents as an earlier program wrote them."""
     path = scratch_path(spark, "history")
     document = stored(_run_document(spark, sf_dir, "new"), "document")
     runs.append_run(document, path)
 
     def older(side: str) -> Column:
-        return F.col(side).dropFields(*runs.LATER_FIGURES)
-
-    runs.append_run(
-        document.withColumns(
-            {
-                "run_id": F.lit("old"),
-                "baseline": older("baseline"),
-                "fine_tuned": older("fine_tuned"),
-            }
-        ),
-        path,
-    )
-    history = runs.summary_history(runs.read_runs(spark, f"{path}/*/*.json"), "fine_tuned")
-    run_id = F.regexp_extract("source_file", "run_id=([a-z]+)", 1)
-    return history.withColumn("run_id", run_id).drop("source_file")
+        # The fields of that time; measures of parsing and logical form did not exist.
+        names = [
+            "accuracy", "relaxed_accuracy", "num_samples", "num_correct", "num_relaxed_correct", "num_incorrect",
+            "valid_sql_count", "valid_sql_percentage", "avg_structural_similarity", "sample_predictions",
+            "sample_ground_truths", "timestamp",
+        ]
+        return F.struct(*[F.col(f"{side}.{name}").alias(name) for name in names]).alias(side)
+
+    text = F.to_json(F.struct("evaluation_config", older("baseline"), older("fine_tuned"), "improvement"))
+    twice = document.select(F.explode(F.array(text, text)).alias("value"))
+    twice.coalesce(1).write.text(f"{path}/run_id=old")
+    return runs.read_runs(spark, path)
+
+
+def q_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.summary_history(_history(spark, sf_dir), "fine_tuned").drop("source_file")
+
+
+def q_improvement_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.improvement_history(_history(spark, sf_dir)).drop("source_file")
 
 
 # --- requests ----------------------------------------------------------------------------------
@@ -465,7 +538,7 @@ def q_first_valid_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _edges_as_text(df: DataFrame) -> DataFrame:

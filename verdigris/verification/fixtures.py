@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdigris.sources.storage import spread
-
 PAIRS = """
 SELECT o_orderkey AS row_id,
   CASE o_orderkey % 6
@@ -67,7 +65,7 @@ _GENERATIONS_SPARK = _GENERATIONS.replace("{models}", _MODELS_SPARK)
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, question, context, answer), one row per order."""
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return spark.sql(PAIRS.replace("FROM orders\n", "FROM {orders}\n"), orders=orders)
 
 

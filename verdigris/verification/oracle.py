@@ -6,9 +6,10 @@ lists, weights, labels and prompt texts are the same fixed values as in the pack
 
 from __future__ import annotations
 
-from verdigris.functions.text import WHITESPACE
 from verdigris.verification.fixtures import GENERATIONS_DUCKDB, PAIRS_DUCKDB
 
+# The characters that Python counts as white space, and the same as a pattern.
+WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 WS = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 QUOTED = "''[^'']*''|\"[^\"]*\"|`[^`]*`"
 COMMENT = r"(?:--|# )[^\n]*|/\*(?s:.*?)\*/"
@@ -27,6 +28,8 @@ def with_ctes(body: str, *names: str) -> str:
         "forms": _forms(),
         "scored": _scored(),
         "summary": _summary("scored", "model_id"),
+        "sampled": "SELECT s.*, sample_rank, question FROM scored s JOIN ranked USING (row_id) WHERE sample_rank <= 1000",
+        "sample_summary": _summary("sampled", "model_id"),
         "ranked": "SELECT row_id, question, row_number() OVER (ORDER BY md5(concat('42|', row_id))) AS sample_rank FROM pairs",
         "records": _records(),
         "repeated": _repeated(),
@@ -37,6 +40,8 @@ def with_ctes(body: str, *names: str) -> str:
         "forms": ["predictions"],
         "scored": ["forms"],
         "summary": ["scored"],
+        "sampled": ["scored", "ranked"],
+        "sample_summary": ["sampled"],
         "ranked": ["pairs"],
         "records": ["pairs"],
         "repeated": ["pairs"],
@@ -96,6 +101,7 @@ def any_word(upper: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({upper}, '{word}')" for word in words) + ")"
 
 
+# Word lists, and the weights of the eight lists of a logical form.
 SQL_WORDS = ["SELECT", "INSERT", "UPDATE", "DELETE", "CREATE", "DROP", "ALTER", "WITH", "FROM", "WHERE"]
 FLAGS = {
     "has_select": "SELECT", "has_from": "FROM", "has_where": "WHERE", "has_join": "JOIN",
@@ -290,6 +296,7 @@ def _repeated() -> str:
     )
 
 
+# Stop phrases.
 PHRASES = ["Marilyn", "assistant", "Note:", "The ", "What ", "Which ", "I am", "You are", "Here", "This"]
 
 
@@ -311,6 +318,7 @@ def _first_rows(where: str, k: int, columns: str) -> str:
     )
 
 
+# Lines of the comparison table, where each comes from, and its total.
 COMPARISON = [
     ("Accuracy (strict)", "accuracy * 100", "0"),
     ("Accuracy (relaxed)", "relaxed_accuracy * 100", "0"),
@@ -327,12 +335,21 @@ COMPARISON = [
 ]
 
 
+def _sample_rows(where: str, k: int) -> str:
+    """First rows per model of the evaluation sample."""
+    return (
+        "SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY sample_rank) AS position "
+        f"FROM sampled WHERE {where} QUALIFY position <= {k}"
+    )
+
+
 def _comparison() -> str:
     rows = " UNION ALL ".join(
         f"SELECT {i} AS position, '{label}' AS metric, CAST(b.{value} AS DOUBLE) AS baseline, "
         f"CAST({'0' if total == '0' else 'b.' + total} AS BIGINT) AS baseline_total, "
         f"CAST(t.{value} AS DOUBLE) AS tuned, "
-        f"CAST({'0' if total == '0' else 't.' + total} AS BIGINT) AS tuned_total "
+        f"CAST({'0' if total == '0' else 't.' + total} AS BIGINT) AS tuned_total, "
+        f"{total != '0'} AS has_baseline_total, {total != '0'} AS has_tuned_total "
         "FROM summary b JOIN summary t ON b.model_id = 'base' AND t.model_id = 'tuned'"
         for i, (label, value, total) in enumerate(COMPARISON, start=1)
     )
@@ -377,15 +394,23 @@ def as_text(x: str) -> str:
 BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
 
 
+# The same bounds written out: ten to a decade, over seven decades.
+LATENCIES = "[" + ", ".join(
+    f"{mantissa / 10 * 10**power / 1000!r}::DOUBLE" for power in range(7) for mantissa in (10, 12, 16, 20, 25, 32, 40, 50, 63, 80)
+) + ", 10000.0::DOUBLE]"
+
+
 def oracle_sql() -> dict[str, str]:
     keyed = "row_id, model_id"
     form_columns = ", ".join(f"array_to_string(p_{name}, ' | ') AS {name}" for name in LISTS)
     flags = ", ".join(f"contains(upper(predicted_sql), '{w}') AS {n}" for n, w in FLAGS.items())
     statement_words = "['SELECT', 'INSERT', 'UPDATE', 'DELETE', 'CREATE', 'DROP', 'ALTER', 'WITH']"
-    danger = " ".join(
-        f"WHEN contains(upper(replace(predicted_sql, 'SELECT COUNT(*)', 'delete')), '{w}') THEN '{w}'"
-        for w in ["DROP", "DELETE", "TRUNCATE", "ALTER", "GRANT"]
-    )
+    verb = "['drop', 'Delete', 'TRUNCATE', 'alter', 'GRANT', 'SELECT'][row_id % 6 + 1]"
+
+    def danger(text: str) -> str:
+        words = ["DROP", "DELETE", "TRUNCATE", "ALTER", "GRANT"]
+        return "CASE " + " ".join(f"WHEN contains(upper({text}), '{w}') THEN '{w}'" for w in words) + " END"
+
     exact = " AND ".join(same(name) for name in LISTS)
     accuracy = (
         "SELECT {key}, count(*) AS num_samples, CAST(count_if(strict_match) AS BIGINT) AS num_correct, "
@@ -411,6 +436,8 @@ def oracle_sql() -> dict[str, str]:
         "parsing_valid_count", "parsing_valid_rate", "parsing_invalid_count",
         "logical_form_exact_matches", "logical_form_accuracy", "avg_logical_form_similarity",
     ]
+    # Later figures that the earlier program had already.
+    known = ["relaxed_accuracy", "valid_sql_percentage", "avg_structural_similarity"]
     sql = {
         "extract_sql": with_ctes(
             f"SELECT {keyed}, predicted_sql, role_word_cut FROM predictions", "predictions"),
@@ -432,7 +459,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {keyed}, ({agreement('predicted_sql', 'ground_truth')}) / 6 AS structural_similarity FROM predictions",
             "predictions"),
         "dangerous_screen": with_ctes(
-            f"SELECT {keyed}, CASE {danger} END AS dangerous_word FROM predictions", "predictions"),
+            f"SELECT {keyed}, {danger('predicted_sql')} AS dangerous_word, "
+            f"{danger(f'''replace(predicted_sql, 'SELECT', {verb})''')} AS risky_word FROM predictions", "predictions"),
         "parse_validity": with_ctes(
             f"SELECT {keyed}, {parse_error('predicted_sql')} AS parsing_error, "
             f"{parse_error('raw_text')} AS raw_parsing_error FROM predictions", "predictions"),
@@ -506,26 +534,68 @@ def oracle_sql() -> dict[str, str]:
             "CAST(count_if(len(string_split(context, 'CREATE TABLE')) > 2) AS BIGINT) AS multi_table_rows FROM pairs)",
             "pairs"),
         "roundtrip_prepared": with_ctes("", "pairs").rstrip() + f", {_prepared()} "
-            "SELECT row_id, split, question, answer AS ground_truth FROM prepared WHERE split = 'test'",
+            "SELECT row_id, split, question, answer AS ground_truth FROM prepared",
         "parse_requests": with_ctes(PARSED, "pairs"),
         "read_requests": with_ctes(
             f"SELECT coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n_records FROM ({PARSED}) GROUP BY 1", "pairs"),
         "write_results": with_ctes(
-            "SELECT q.question, q.context, nullif(predicted_sql, '') AS predicted_sql, raw_text AS ground_truth_sql "
+            "SELECT q.question, q.context, nullif(predicted_sql, '') AS predicted_sql, ground_truth AS ground_truth_sql "
             "FROM predictions JOIN pairs q USING (row_id)", "predictions"),
         "run_documents": with_ctes(
-            "SELECT b.accuracy AS baseline_accuracy, t.accuracy AS tuned_accuracy, "
+            "SELECT 'r1' AS run_id, b.num_samples, 8::BIGINT AS batch_size, 0.0::DOUBLE AS temperature, 'base' AS base_model, "
+            "'tuned' AS adapter_path, '42' AS seed, '2025-01-01T00:00:00' AS timestamp, "
+            "b.accuracy AS baseline_accuracy, t.accuracy AS tuned_accuracy, "
             "t.avg_logical_form_similarity AS tuned_logical_form, "
-            f"(SELECT count(*) FROM ({_first_rows('NOT strict_match', 5, 'predicted_sql')}) WHERE model_id = 'base') AS n_errors, "
-            f"(SELECT string_agg(predicted_sql, ' | ' ORDER BY position) FROM ({_first_rows('true', 10, 'predicted_sql')}) WHERE model_id = 'tuned') AS tuned_samples, "
-            f"(SELECT string_agg(question, ' | ' ORDER BY position) FROM ({_first_rows('NOT strict_match', 5, 'question')}) WHERE model_id = 'base') AS error_questions, "
+            f"(SELECT count(*) FROM ({_sample_rows('NOT strict_match', 5)}) WHERE model_id = 'base') AS n_errors, "
+            f"(SELECT string_agg(predicted_sql, ' | ' ORDER BY position) FROM ({_sample_rows('true', 10)}) WHERE model_id = 'tuned') AS tuned_samples, "
+            f"(SELECT string_agg(question, ' | ' ORDER BY position) FROM ({_sample_rows('NOT strict_match', 5)}) WHERE model_id = 'base') AS error_questions, "
             "t.accuracy - b.accuracy AS absolute_improvement, t.num_correct - b.num_correct AS correct_gain "
-            "FROM summary b JOIN summary t ON b.model_id = 'base' AND t.model_id = 'tuned'",
-            "summary", "ranked"),
+            "FROM sample_summary b JOIN sample_summary t ON b.model_id = 'base' AND t.model_id = 'tuned'",
+            "sample_summary"),
         "run_history": with_ctes(
-            f"SELECT 'new' AS run_id, {', '.join(figures + later)} FROM summary WHERE model_id = 'tuned' UNION ALL "
-            f"SELECT 'old' AS run_id, {', '.join(figures)}, {', '.join('0' for _ in later)} FROM summary WHERE model_id = 'tuned'",
-            "summary"),
+            f"SELECT 'new' AS run_id, {', '.join(figures + later)} FROM sample_summary WHERE model_id = 'tuned' UNION ALL "
+            f"SELECT 'old' AS run_id, {', '.join(figures)}, {', '.join(f if f in known else '0' for f in later)} FROM sample_summary, range(2) "
+            "WHERE model_id = 'tuned'", "sample_summary"),
+        "improvement_history": with_ctes(
+            f"SELECT run_id, i.* FROM ({_improvement().replace('summary', 'sample_summary')}) i, (VALUES ('new'), ('old'), ('old')) r(run_id)",
+            "sample_summary"),
+        "rating": with_ctes(
+            "SELECT *, " + ", ".join(
+                f"CASE WHEN base * 100 >= {top} THEN 'state_of_the_art' WHEN base * 100 >= {excellent} THEN 'excellent' "
+                f"WHEN base * 100 >= {good} THEN 'good' END AS {name}"
+                for name, (good, excellent, top) in {"spider": (70, 80, 85), "wikisql": (85, 90, 95), "bird": (50, 65, 75)}.items()
+            ) + ", CASE WHEN (tuned - base) * 100 >= 30 THEN 'state_of_the_art' WHEN (tuned - base) * 100 >= 20 THEN 'excellent' "
+            "WHEN (tuned - base) * 100 >= 10 THEN 'good' END AS custom FROM (SELECT variant, "
+            "count_if(strict_match AND model_id = 'base') / nullif(count_if(model_id = 'base'), 0) AS base, "
+            "count_if(strict_match AND model_id = 'tuned') / nullif(count_if(model_id = 'tuned'), 0) AS tuned "
+            f"FROM ({strict_rows}) GROUP BY variant)", "predictions"),
+        "group_turns": (
+            "SELECT conv_id, count(*) AS n_messages, '[' || string_agg('{\"role\":' || to_json(role)::VARCHAR || ',\"content\":' || "
+            "to_json(text)::VARCHAR || '}', ',' ORDER BY turn) || ']' AS messages, arg_min(text, turn) AS system, "
+            "max(text) FILTER (WHERE back = 2) AS question, arg_max(text, turn) AS ground_truth FROM ("
+            "SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations) GROUP BY conv_id"),
+        "format_check_turns": (
+            "SELECT count(*) AS n_texts, CAST(count_if(last_role = 'user' OR ends_with(" + strip("last_text") + " || '<|im_end|>', 'assistant')) AS BIGINT) "
+            "AS n_ends_open FROM (SELECT arg_max(role, turn) AS last_role, arg_max(text, turn) AS last_text FROM conversations GROUP BY conv_id)"),
+        "render_null_messages": with_ctes(
+            f"SELECT row_id, {chatml(THREE)} AS text, {chatml(THREE[:2])} || {OPEN_REPLY} AS prompt, "
+            "CAST(row_id % 4 <> 0 AS BIGINT) AS n_null_parts FROM (SELECT row_id, "
+            "CASE WHEN row_id % 4 = 1 THEN '' ELSE system END AS system, CASE WHEN row_id % 4 = 2 THEN '' ELSE question END AS question, "
+            "CASE WHEN row_id % 4 = 3 THEN '' ELSE ground_truth END AS ground_truth FROM records)", "records"),
+        "length_profile_documents": (
+            "SELECT count(*) AS n_texts, CAST(sum(n) AS BIGINT) AS total_tokens, CAST(min(n) AS INTEGER) AS min_tokens, "
+            "quantile_cont(n, 0.5) AS p50_tokens, quantile_cont(n, 0.95) AS p95_tokens, quantile_cont(n, 0.99) AS p99_tokens, "
+            "CAST(max(n) AS INTEGER) AS max_tokens, CAST(count_if(n > 2048) AS BIGINT) AS n_over_limit "
+            f"FROM (SELECT {TOKENS} AS n FROM documents)"),
+        "pack_sequences": with_ctes("", "records").rstrip() + f""", texts AS (
+            SELECT 'd' || doc_id AS key, text FROM documents UNION ALL SELECT 'p' || row_id AS key, {chatml(THREE)} AS text FROM records
+          ), counted AS (SELECT key, {TOKENS} AS n, md5('42|' || key) AS h FROM texts),
+          total AS (SELECT ceil(sum(n) / 200000)::BIGINT AS shards FROM counted),
+          placed AS (SELECT *, ('0x' || substr(h, 1, 12))::BIGINT % shards AS shard FROM counted, total WHERE n > 0),
+          started AS (SELECT *, (sum(n) OVER (PARTITION BY shard ORDER BY h, key) - n)::BIGINT AS s FROM placed),
+          spans AS (SELECT *, unnest(range(s // 2048, (s + n - 1) // 2048 + 1)) AS pack FROM started)
+          SELECT shard, pack, key, greatest(s, pack * 2048) - pack * 2048 AS pack_offset, greatest(s, pack * 2048) - s AS token_start,
+            least(s + n, (pack + 1) * 2048) - s AS token_end FROM spans""",
         "request_cache": with_ctes(
             "SELECT CAST(sum(n) AS BIGINT) AS n_requests, count(*) AS n_distinct, max(n) AS n_most_frequent, "
             "CAST(sum(n) - count(*) AS BIGINT) AS n_hits, (sum(n) - count(*)) / sum(n) AS hit_rate "
@@ -562,8 +632,10 @@ def oracle_sql() -> dict[str, str]:
             + " FROM (SELECT date_trunc('hour', ts) AS w, value FROM events) GROUP BY w"),
         "service_metrics": (
             f"SELECT {as_text('window_start')} AS window_start, {as_text('window_start + INTERVAL 1 DAY')} AS window_end, "
-            "count(*) AS n_requests, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95, "
-            "quantile_disc(value, 0.99) AS p99, count_if(event_type = 'error') / count(*) AS error_rate, "
+            "count(*) AS n_requests, "
+            + ", ".join(f"list_min(list_filter({LATENCIES}, lambda b: b >= quantile_disc(value, {p}))) AS {name}"
+                        for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)))
+            + ", count_if(event_type = 'error') / count(*) AS error_rate, "
             "count_if(event_type IN ('purchase', 'signup')) / count(*) AS validation_rate, "
             "count_if(event_type = 'view') / count(*) AS cache_hit_rate, "
             r"sum(CAST(regexp_extract(props, '\d+') AS BIGINT)) / count(*) AS cost_per_request "
