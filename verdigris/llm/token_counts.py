@@ -13,21 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdigris.llm.common import SLICE, slices, text_of, worker_cache
-from verdigris.llm.tokens import BYTE_PATTERN, REMEMBERED, PieceEncoder, encoder_for, read_vocabulary
-
-
-def _byte_letters() -> dict[str, int]:
-    """Letter to byte, by the rule of byte-level vocabularies: printable bytes stand for themselves,
-    the others for the letters from 256 on, in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [byte for byte in range(256) if byte not in plain]
-    return {chr(byte): byte for byte in plain} | {chr(256 + place): byte for place, byte in enumerate(others)}
+from verdigris.llm.tokens import BYTE_PATTERN, REMEMBERED, PieceEncoder, byte_letters, encoder_for, forget_half, read_vocabulary
 
 
 def whole_tokens(vocabulary: str) -> frozenset[str]:
     """The vocabulary strings that are one pre-token and encode alone as one token: checked, not assumed."""
     encoder = PieceEncoder(vocabulary)
-    letters = _byte_letters()
+    letters = byte_letters()
     strings = []
     for token in encoder.library.get_vocab(with_added_tokens=False):
         try:
@@ -47,24 +39,22 @@ class PieceCounter:
         self.encoder = encoder_for(vocabulary)
         self.whole = whole
         self.known: dict[str, int] = {}
-        self.merged: dict[str, int] = {}
 
     def _learn(self, pieces: set[str]) -> None:
         cut = {piece: BYTE_PATTERN.findall(piece) for piece in pieces}
-        rest = list(set().union(*cut.values()) - self.whole - self.merged.keys())
-        found = self.encoder.library.encode_batch_fast(rest, add_special_tokens=False)
-        self.merged.update((part, len(each.ids)) for part, each in zip(rest, found))
+        rest = list(set().union(*cut.values()) - self.whole)
+        merged = dict(zip(rest, (len(ids) // 4 for ids in self.encoder.whole(rest))))
         for piece, parts in cut.items():
-            self.known[piece] = sum(1 if part in self.whole else self.merged[part] for part in parts)
+            self.known[piece] = sum(1 if part in self.whole else merged[part] for part in parts)
 
     def count(self, texts: list[str]) -> list[int]:
         library = self.encoder.library
         special = [any(mark in text for mark in self.encoder.specials) for text in texts]
         cut = [[] if odd else self.encoder.pieces.findall(text) for text, odd in zip(texts, special)]
-        if len(self.known) + len(self.merged) > REMEMBERED:
-            self.known.clear()
-            self.merged.clear()
-        self._learn(set().union(*cut) - self.known.keys())
+        seen = set().union(*cut)
+        if seen - self.known.keys():
+            forget_half(self.known, REMEMBERED)
+            self._learn(seen - self.known.keys())
         get = self.known.__getitem__
         return [
             len(library.encode(text, add_special_tokens=False).ids) if odd else sum(map(get, pieces))

@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
+from itertools import islice
 
 import numpy as np
 import regex
@@ -25,8 +27,11 @@ BYTE_PATTERN = regex.compile(
     "'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+"
     f"| ?[^{_WHITE}\\p{{L}}\\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
 )
-# Pieces remembered by a worker before it forgets all of them: a bound on memory, not on the work.
-REMEMBERED = 300_000
+# A piece that is one word of Latin letters, with a blank before and marks behind it or not: its pre-tokens are
+# the word with the blank and the marks, and neither normalisation nor case folding does more than lower().
+_PLAIN = re.compile("( ?)([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*&%$#|()]*)")
+# Pieces remembered by a worker before it forgets the older half: a bound on memory, not on the work.
+REMEMBERED = 500_000
 
 
 def read_vocabulary(path: str) -> str:
@@ -42,6 +47,21 @@ def vocabulary_size(vocabulary: str) -> int:
     return max([*described["model"]["vocab"].values(), *added]) + 1
 
 
+def byte_letters() -> dict[str, int]:
+    """Letter to byte, by the rule of byte-level vocabularies: printable bytes stand for themselves,
+    the others for the letters from 256 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in plain]
+    return {chr(byte): byte for byte in plain} | {chr(256 + place): byte for place, byte in enumerate(others)}
+
+
+def forget_half(known: dict, most: int) -> None:
+    """Drop the older half of a full memory."""
+    if len(known) > most:
+        for key in list(islice(known, len(known) // 2)):
+            del known[key]
+
+
 class PieceEncoder:
     """Encodes texts piece by piece. One per worker and vocabulary; see ``encoder_for``."""
 
@@ -56,36 +76,62 @@ class PieceEncoder:
         self.keeps_white = described["pre_tokenizer"]["type"] == "ByteLevel"
         self.pieces = _BYTE_PIECES if self.keeps_white else _WORD_PIECES
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        # The letter that stands for each byte in the vocabulary's own strings.
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.marks: dict[str, bytes] = {}
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(each.ids, "<u4").tobytes() for each in found]
 
+    def _plain(self, blank: str, word: str, marks: str) -> bytes:
+        """The ids of one word and the marks behind it, straight from the vocabulary's model."""
+        word = blank + word if self.keeps_white else word.lower()
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1")
+        found = [token.id for token in self.library.model.tokenize(word.translate(self.letters))]
+        if not marks:
+            return array("I", found).tobytes()
+        if marks not in self.marks:
+            forget_half(self.marks, REMEMBERED)
+            self.marks[marks] = self.whole([marks])[0]
+        return array("I", found).tobytes() + self.marks[marks]
+
     def _learn(self, pieces: list[str]) -> None:
-        if not self.keeps_white:
-            self.known.update(zip(pieces, self._whole(pieces)))
-            return
-        cut = [BYTE_PATTERN.findall(piece) for piece in pieces]
-        new = list(set().union(*cut) - self.parts.keys())
-        self.parts.update(zip(new, self._whole(new)))
-        get = self.parts.__getitem__
-        self.known.update((piece, b"".join(map(get, parts))) for piece, parts in zip(pieces, cut))
+        """Plain words go to the model alone, everything else through the whole library."""
+        known, rest = self.known, []
+        for piece in pieces:
+            plain = _PLAIN.fullmatch(piece)
+            if plain:
+                known[piece] = self._plain(*plain.groups())
+            else:
+                rest.append(piece)
+        known.update(zip(rest, self.whole(rest)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        special = [any(mark in text for mark in self.specials) for text in texts]
-        cut = [[] if odd else self.pieces.findall(text) for text, odd in zip(texts, special)]
-        new = set().union(*cut)
-        if len(self.known) + len(self.parts) > REMEMBERED:
-            self.known.clear()
-            self.parts.clear()
-        self._learn(list(new - self.known.keys()))
-        get = self.known.__getitem__
-        return [
-            self._whole([text])[0] if odd else b"".join(map(get, pieces))
-            for text, odd, pieces in zip(texts, special, cut)
-        ]
+        forget_half(self.known, REMEMBERED)
+        get, join = self.known.get, b"".join
+        found: list[bytes] = []
+        open_: list[tuple[int, list, list[int], list[str]]] = []
+        for number, text in enumerate(texts):
+            if any(mark in text for mark in self.specials):
+                found += self.whole([text])
+                continue
+            pieces = self.pieces.findall(text)
+            parts = list(map(get, pieces))
+            try:
+                found.append(join(parts))
+            except TypeError:  # pieces not seen before are None
+                holes = [place for place, part in enumerate(parts) if part is None]
+                open_.append((number, parts, holes, [pieces[place] for place in holes]))
+                found.append(b"")
+        self._learn(list({piece for *_, pieces in open_ for piece in pieces}))
+        for number, parts, holes, pieces in open_:
+            for place, piece in zip(holes, pieces):
+                parts[place] = self.known[piece]
+            found[number] = join(parts)
+        return found
 
 
 def encoder_for(vocabulary: str) -> PieceEncoder:
