@@ -59,7 +59,8 @@ def test_empty_table(make_docs):
 
 
 def test_long_text(make_docs):
-    text = "".join(random.Random(5).choice("abcdefghij") for _ in range(400_000))
+    pick = random.Random(5)
+    text = "".join(pick.choice("abcdefghij") for _ in range(400_000))
     found = suffix_dedup.remove_repeats(make_docs([(1, text), (2, text[200_000:200_500])])).collect()
     assert {r.doc_id: (r.n_removed, r.n_spans) for r in found} == {1: (500, 1), 2: (500, 1)}
 

@@ -86,9 +86,10 @@ def _round(items: DataFrame, number: int, tasks: int, capacity: int, last: bool)
     member_type = items.schema["members"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        if not table.num_rows:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         # The order that rows arrive in may differ when a lost task is run again.
         table = table.sort_by([("length", "descending"), ("key", "ascending")])
         lengths = table.column("length").to_pylist()
