@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdigris.llm.common import SLICE, shuffle_partitions, slices, worker_cache
@@ -36,6 +36,8 @@ ANCHOR = 64
 BLOCK = 40
 # Low bits that hold a place while anchors are compared: enough for any string Spark can hold.
 PLACE_BITS = 31
+# Ranges that the windows under a crowded anchor are parted into, again and again.
+FAN = 8
 # Different segments of an anchor that are merged in one task at most; more are split first.
 MERGED_SEGMENTS = 400
 # Bytes of segments that are merged together, and shards they are dealt to.
@@ -137,48 +139,55 @@ def find_segments(texts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def spans_at(depth: int, widest: int) -> list[tuple[int, int]]:
-    """Distances of window and anchor, 0 to ``widest``, in 2 ** depth even ranges."""
-    cuts = [round(step * (widest + 1) / (1 << depth)) for step in range((1 << depth) + 1)]
-    return [(a, b - 1) for a, b in zip(cuts, cuts[1:]) if b > a]
+def _split(with_parts: DataFrame, length: int) -> DataFrame:
+    """The parts of (print, text, parts), each cut into ``FAN`` ranges of the distance to the anchor.
 
+    All windows of a range contain the string from the start of the nearest to the end of the farthest;
+    ``group`` is a number of that string. No bytes travel.
+    """
+    names = ["key", "content", "n", "print", "root", "group", "piece", "first", "windows", "place", "low", "high"]
 
-_PART = "struct<key:long,content:long,n:long,first:long,windows:long,place:long>"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            rows: list[tuple[int, ...]] = []
+            for number, text, parts in zip(*[batch.column(k).to_pylist() for k in range(3)]):
+                raw = text.encode("utf-8", "surrogatepass")
+                for part in parts:
+                    place, wide = part["place"], part["high"] - part["low"] + 1
+                    cuts = sorted({part["low"] + step * wide // FAN for step in range(FAN)})
+                    for low, high in zip(cuts, [*[cut - 1 for cut in cuts[1:]], part["high"]]):
+                        first = max(part["first"], place - high)
+                        stop = min(part["first"] + part["windows"], place - low + 1)
+                        if first < stop:
+                            rows.append((
+                                part["key"], part["content"], part["n"], number, part["root"],
+                                _digest(raw[place - low : place - high + length], low + 1),
+                                _digest(raw[first : stop + length - 1], place - first), first, stop - first, place, low, high,
+                            ))
+            columns = [pa.array(column, pa.int64()) for column in (zip(*rows) if rows else [[]] * len(names))]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
+    return with_parts.select("print", "text", "parts").mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
-def _pieces(with_parts: DataFrame, length: int, depth: int, with_bytes: bool) -> DataFrame:
-    """The parts of (print, text, parts), cut into ranges of the distance to the anchor.
 
-    All windows of a range contain the string from the start of the nearest to the end of the farthest;
-    ``group`` is a number of it. At depth 0 there is one range and the group is the anchor's key.
-    """
+def _with_bytes(with_parts: DataFrame, length: int) -> DataFrame:
+    """The parts of (text, parts) with their bytes."""
+    names = ["key", "content", "group", "piece", "lead", "windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranges = spans_at(depth, length - ANCHOR)
         for batch in slices(batches, 64):
             rows: list[tuple] = []
             for text, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 raw = text.encode("utf-8", "surrogatepass")
                 for part in parts:
-                    place = part["place"]
-                    for low, high in ranges:
-                        first = max(part["first"], place - high)
-                        stop = min(part["first"] + part["windows"], place - low + 1)
-                        if first >= stop:
-                            continue
-                        group = part["key"] if not depth else _digest(raw[place - low : place - high + length], low + 1)
-                        data = raw[first : stop + length - 1]
-                        rows.append((
-                            part["key"], part["content"], part["n"], group, _digest(data, place - first),
-                            first - part["first"], stop - first, data if with_bytes else None,
-                        ))
-            kinds = [pa.int64()] * 7 + [pa.binary()]
-            columns = [pa.array(column, kind) for column, kind in zip(zip(*rows) if rows else [[]] * 8, kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "content", "n", "group", "piece", "lead", "windows", "bytes"])
-
-    return with_parts.select("text", "parts").mapInArrow(
-        run, "key long, content long, n long, group long, piece long, lead long, windows long, bytes binary"
-    )
+                    data = raw[part["first"] : part["first"] + part["windows"] + length - 1]
+                    rows.append((*[part[name] for name in names], data))
+            kinds = [pa.int64()] * len(names) + [pa.binary()]
+            columns = [pa.array(column, kind) for column, kind in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "bytes"])
+
+    schema = ", ".join(f"{name} long" for name in names)
+    return with_parts.select("text", "parts").mapInArrow(run, f"{schema}, bytes binary")
 
 
 def suffix_order(text: np.ndarray, marks: int) -> np.ndarray:
@@ -300,35 +309,38 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 _SPANS = "array<struct<low:long,high:long>>"
 
 
+def _span(low: Column, high: Column) -> Column:
+    return F.array(F.struct(low.cast("long").alias("low"), high.cast("long").alias("high"))).alias("spans")
+
+
 def _merge(pieces: DataFrame, length: int) -> DataFrame:
-    """(group, piece, spans): the repeated windows of each different piece, as ranges from its first."""
+    """(key, content, spans): the repeated windows of each different piece, as ranges from the segment's first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, int, bytes]] = []
+        held: list[tuple] = []
         size, group = 0, None
 
         def emit() -> pa.RecordBatch:
-            flags = repeated_windows([row[3] for row in held], [row[2] for row in held], length)
-            spans = [[{"low": a, "high": b} for a, b in _runs(flag)] for flag in flags]
+            flags = repeated_windows([row[6] for row in held], [row[5] for row in held], length)
+            spans = [[{"low": row[4] + a, "high": row[4] + b} for a, b in _runs(flag)] for row, flag in zip(held, flags)]
             kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
-            columns = [pa.array([row[k] for row in held], pa.int64()) for k in (0, 1)] + [pa.array(spans, kind)]
-            return pa.RecordBatch.from_arrays(columns, ["group", "piece", "spans"])
+            columns = [pa.array([row[k] for row in held], pa.int64()) for k in (2, 3)] + [pa.array(spans, kind)]
+            return pa.RecordBatch.from_arrays(columns, ["key", "content", "spans"])
 
         for batch in slices(batches, 256):
-            for row in zip(*[batch.column(k).to_pylist() for k in range(4)]):
+            for row in zip(*[batch.column(k).to_pylist() for k in range(7)]):
                 if row[0] != group and size >= MERGED_BYTES:
                     yield emit()
                     held, size = [], 0
-                if held and row[:2] == held[-1][:2]:
-                    continue
                 group = row[0]
                 held.append(row)
-                size += len(row[3])
+                size += len(row[6])
         if held:
             yield emit()
 
     dealt = pieces.repartition(shuffle_partitions(pieces.sparkSession), "group").sortWithinPartitions("group", "piece")
-    return dealt.select("group", "piece", "windows", "bytes").mapInArrow(run, f"group long, piece long, spans {_SPANS}")
+    dealt = dealt.select("group", "piece", "key", "content", "lead", "windows", "bytes")
+    return dealt.mapInArrow(run, f"key long, content long, spans {_SPANS}")
 
 
 def _cut(with_spans: DataFrame, length: int) -> DataFrame:
@@ -383,37 +395,40 @@ def remove_repeats(
     same = (texts["print"] == wanted["print"]) & texts["id"].eqNullSafe(wanted["rep"])
     whole = stored(texts.join(wanted, same).select(texts["print"], "text").dropDuplicates(["print"]), "repeat-texts")
 
-    def parts_of(keys: DataFrame) -> DataFrame:
-        """(text, parts): one piece of each different content under ``keys``, beside its text."""
-        part = F.struct("key", "content", "n", "owner.first", "owner.windows", "owner.place")
-        parts = contents.join(keys, "key", "left_semi").groupBy("owner.print").agg(F.collect_list(part).alias("parts"))
-        return whole.join(parts, "print").select("text", "parts")
-
-    verdicts = [
-        contents.filter("n > 1").select(
-            "key", "content", F.array(F.struct(F.lit(0).cast("long").alias("low"), F.col("owner.windows").alias("high"))).alias("spans")
-        )
-    ]
-    keys, depth = mixed.filter(F.col("contents") <= MERGED_SEGMENTS).select("key"), 0
-    crowded = mixed.filter(F.col("contents") > MERGED_SEGMENTS).select("key")
-    while True:
-        pieces = _pieces(parts_of(keys), length, depth, True)
-        met = stored(_merge(pieces, length), "repeat-merged")
-        verdicts.append(_verdict(_pieces(parts_of(keys), length, depth, False), met) if depth else met.select(
-            F.col("group").alias("key"), F.col("piece").alias("content"), "spans"
-        ))
-        if crowded.isEmpty():
-            break
-        # Keys whose pieces are few enough one step deeper; the others go deeper still.
-        depth += 1
-        cut = _pieces(parts_of(crowded), length, depth, False)
-        worst = cut.groupBy("key", "group").agg(F.countDistinct("piece").alias("pieces")).groupBy("key").agg(F.max("pieces").alias("worst"))
-        worst = stored(worst, "repeat-crowded")
-        keys = worst.filter(F.col("worst") <= MERGED_SEGMENTS).select("key")
-        crowded = worst.filter(F.col("worst") > MERGED_SEGMENTS).select("key")
-    verdict = verdicts[0]
-    for more in verdicts[1:]:
-        verdict = verdict.unionByName(more)
+    def beside_texts(rows: DataFrame, *names: str) -> DataFrame:
+        """(print, text, parts): rows of pieces gathered beside the text that they stand in."""
+        parts = rows.groupBy("print").agg(F.collect_list(F.struct(*names)).alias("parts"))
+        return whole.join(parts, "print").select("print", "text", "parts")
+
+    # What occurs again as a whole; of the rest, one piece of each different content goes to a merge.
+    verdict = contents.filter("n > 1").select("key", "content", _span(F.lit(0), F.col("owner.windows")))
+    zero = F.lit(0).cast("long")
+    merged = ["print", "key", "content", "group", "piece", "lead", "first", "windows"]
+    owners = contents.join(mixed, "key").select("key", "content", "n", "contents", "owner.*")
+    to_merge = owners.filter(F.col("contents") <= MERGED_SEGMENTS).select(
+        "print", "key", "content", F.col("key").alias("group"), F.col("content").alias("piece"), zero.alias("lead"), "first", "windows"
+    )
+    open_ = owners.filter(F.col("contents") > MERGED_SEGMENTS).select(
+        "print", "key", "content", "n", F.col("first").alias("root"), "first", "windows", "place", zero.alias("low"),
+        F.lit(length - ANCHOR).cast("long").alias("high"),
+    )
+    open_ = stored(open_, "repeat-crowded")
+    while not open_.isEmpty():
+        # Only pieces whose group is still crowded are cut again.
+        cut = _split(beside_texts(open_, *[name for name in open_.columns if name != "print"]), length)
+        cut = stored(cut, "repeat-pieces")
+        mine = F.struct("print", "key", "content", "root", "first", "windows", "place", "low", "high")
+        different = stored(cut.groupBy("group", "piece").agg(F.sum("n").alias("n"), F.min(mine).alias("owner")), "repeat-different")
+        counted = different.groupBy("group").agg(F.count("*").alias("pieces"))
+        again = cut.join(different.filter("n > 1").select("group", "piece"), ["group", "piece"], "left_semi")
+        lead = F.col("first") - F.col("root")
+        verdict = verdict.unionByName(again.select("key", "content", _span(lead, lead + F.col("windows"))))
+        several = different.join(counted.filter("pieces > 1"), "group").select("group", "piece", "n", "pieces", "owner.*")
+        few = several.filter(F.col("pieces") <= MERGED_SEGMENTS).withColumn("lead", lead)
+        to_merge = to_merge.unionByName(few.select(*to_merge.columns))
+        open_ = stored(several.filter(F.col("pieces") > MERGED_SEGMENTS).select(*open_.columns), "repeat-crowded")
+    with_bytes = _with_bytes(beside_texts(to_merge, *merged[1:]), length)
+    verdict = verdict.unionByName(stored(_merge(with_bytes, length), "repeat-merged"))
     verdict = verdict.filter(F.size("spans") > 0)
     covered = segments.select("print", "key", "content", "first").distinct().join(verdict, ["key", "content"]).select(
         "print", F.transform("spans", lambda s: F.struct((s["low"] + F.col("first")).alias("low"), (s["high"] + F.col("first")).alias("high"))).alias("spans")
@@ -425,20 +440,8 @@ def remove_repeats(
         *([F.col("text").cast("binary").alias("bytes")] if keep_bytes else []),
     )
     found = plain.join(cut if keep_bytes else cut.drop("kept"), "print", "left")
-    zero = F.lit(0).cast("long")
     return found.select(
         F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
         F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
         *([F.coalesce("kept", "bytes").alias("kept")] if keep_bytes else []),
     )
-
-
-def _verdict(pieces: DataFrame, met: DataFrame) -> DataFrame:
-    """Ranges of whole segments from those of their pieces; a piece that several contents have is repeated."""
-    pieces = stored(pieces.drop("bytes"), "repeat-pieces")
-    often = pieces.groupBy("group", "piece").agg(F.sum("n").alias("times"))
-    shifted = F.transform("spans", lambda s: F.struct((s["low"] + F.col("lead")).alias("low"), (s["high"] + F.col("lead")).alias("high")))
-    whole = F.array(F.struct(F.col("lead").alias("low"), (F.col("lead") + F.col("windows")).alias("high")))
-    joined = pieces.join(often, ["group", "piece"]).join(met, ["group", "piece"], "left")
-    spans = F.when(F.col("times") > 1, whole).otherwise(F.coalesce(shifted, F.array().cast(_SPANS)))
-    return joined.select("key", "content", spans.alias("spans"))
