@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from verdigris.sources.storage import stored
 
 
+def _print(edges: DataFrame) -> tuple:
+    """Number of edges and a sum over their hashes: two rounds with the same one changed nothing."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.hash("high", "low").cast("long"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): the smallest node it can reach.
 
@@ -19,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(
         links.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).filter("high > low").distinct(), "links"
     )
-    before = None
+    before = _print(edges)
     while True:
         both = edges.select(F.col("high").alias("node"), F.col("low").alias("other")).unionByName(
             edges.select(F.col("low").alias("node"), F.col("high").alias("other"))
@@ -35,7 +40,7 @@ def components(links: DataFrame) -> DataFrame:
             lowest.select("high", F.col("least").alias("low"))
         )
         edges = stored(small.distinct(), "links")
-        now = edges.agg(F.count("*").alias("rows"), F.sum(F.hash("high", "low").cast("long")).alias("print")).first()
+        now = _print(edges)
         if now == before:
             break
         before = now

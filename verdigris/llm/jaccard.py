@@ -1,10 +1,11 @@
 """N-gram Jaccard join with set-relation skipping.
 
-Sets of word n-grams that share enough must share one of the rarest few (the prefix filter), so an
+Sets of word n-grams that share enough must share several of their rarest (the prefix filter), so an
 index lists, by n-gram, the sets that have it in their prefix. Two relations skip most of the work:
 
-* Index level: lists are cut into blocks by set size and blocks too far apart are never joined; a
-  pair is dropped when its positions in the prefixes leave too little to share.
+* Index level: a set with too few listed n-grams that others have leaves the index at once; lists are
+  cut into blocks by set size and blocks too far apart are never joined; a pair must meet in several
+  lists, and is dropped when its positions in the prefixes leave too little to share.
 * Answer level: sets highly similar to a leader form a star around it, and answers of the leader give
   those of its members. The distance 1 - Jaccard obeys the triangle inequality, so a leader too far
   from another leader rules out all pairs of their members at once. Only stars that this leaves open
@@ -25,12 +26,18 @@ from verdigris.llm.common import SLICE, shuffle_partitions, slices, text_of, wor
 from verdigris.llm.components import components
 from verdigris.sources.storage import stored
 
-# N-grams that a task looks at together to find common ones, and how many make one common there.
+# N-grams that a task counts together; those found again among them add up to the count of an n-gram.
 CHUNK = 2_000_000
-COMMON = 8
-# Common n-grams that are moved to the end of every set at most: the size of a broadcast. It affects
-# the order of n-grams, and with it the work, but not the links.
-MOVED = 1 << 18
+# N-grams counted as often are common: they stand last in every set, the rarer before the more frequent.
+COMMON = 16
+# Common n-grams that are known at most: the size of a broadcast. It affects the order of n-grams, and
+# with it the work, but not the links.
+MOVED = 1 << 20
+# N-grams that two sets must share in their prefixes: at least so many, or so many in a hundred of their own.
+MEETINGS = 8
+MEETINGS_PERCENT = 3
+# Candidate sets up to which their ids are broadcast, after counting them; beyond it texts are shuffled by id.
+BROADCAST_SETS = 500_000
 # Words remembered by a worker, and leaders that a set is compared with while stars are formed.
 REMEMBERED = 500_000
 LEADERS = 32
@@ -63,9 +70,30 @@ def shingles(text: str, size: int) -> np.ndarray:
     return np.unique(mixed)
 
 
+def least_shared(size: int, percent: int) -> int:
+    """N-grams that a set of this size shares with any set that it links with."""
+    return -(-percent * size // 100)
+
+
 def prefix_length(size: int, percent: int) -> int:
-    """N-grams of which a set must share one with any set that it links with."""
-    return size - -(-percent * size // 100) + 1 if size else 0
+    """N-grams of which a set must share its meetings with any set that it links with.
+
+    Two sets that share s n-grams share m of the first ``size - s + m`` of each, for any m up to s.
+    """
+    meetings = max(MEETINGS, size * MEETINGS_PERCENT // 100)
+    return min(size, size - least_shared(size, percent) + meetings) if size else 0
+
+
+def _meetings(size: Column, percent: int, steps: int) -> Column:
+    """Lists in which a set must meet one that links with it, when either may be ``steps`` links smaller.
+
+    That is the meetings of the smallest size in question, or what sets of that size share if it is less.
+    """
+    smallest = size
+    for _ in range(steps):
+        smallest = F.ceil(smallest * percent / 100)
+    wanted = F.greatest(F.lit(MEETINGS), F.floor(smallest * MEETINGS_PERCENT / 100))
+    return F.greatest(F.least(wanted, F.ceil(smallest * percent / 100)), F.lit(1))
 
 
 def _common_shingles(docs: DataFrame, size: int) -> DataFrame:
@@ -77,7 +105,7 @@ def _common_shingles(docs: DataFrame, size: int) -> DataFrame:
 
         def emit() -> pa.RecordBatch:
             tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= COMMON
+            often = counts > 1
             return pa.RecordBatch.from_arrays(
                 [pa.array(tokens[often].view(np.int64)), pa.array(counts[often])], ["token", "count"]
             )
@@ -96,14 +124,15 @@ def _common_shingles(docs: DataFrame, size: int) -> DataFrame:
     return found.groupBy("token").agg(F.sum("count").alias("count"))
 
 
-def _ordered(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """N-grams that are not common by hash, then the common ones by hash: one order for all sets."""
+def _ordered(tokens: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """N-grams that are not common by hash, then the common ones by rank: one order for all sets."""
     if not len(common):
         return tokens
     at = np.searchsorted(common, tokens)
     at[at == len(common)] = 0
     is_common = common[at] == tokens
-    return np.concatenate([tokens[~is_common], tokens[is_common]])
+    last = tokens[is_common][np.argsort(rank[at[is_common]])]
+    return np.concatenate([tokens[~is_common], last])
 
 
 def _set_number(tokens: np.ndarray) -> int:
@@ -114,14 +143,14 @@ def _described(docs: DataFrame, common, size: int, percent: int, kind: str) -> D
     """(id, n_shingles, set_id, prefix, whole_row) per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        moved = np.frombuffer(common.value, np.uint64)
+        moved, rank = np.frombuffer(common.value[0], np.uint64), np.frombuffer(common.value[1], np.int32)
         for batch in slices(batches, SLICE):
             sizes, numbers, prefixes = [], [], []
             for text in batch.column(1).to_pylist():
                 tokens = shingles(text, size)
                 sizes.append(len(tokens))
                 numbers.append(_set_number(tokens) if len(tokens) else None)
-                prefixes.append(_ordered(tokens, moved)[: prefix_length(len(tokens), percent)].view(np.int64))
+                prefixes.append(_ordered(tokens, moved, rank)[: prefix_length(len(tokens), percent)].view(np.int64))
             columns = [
                 batch.column(0), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()),
                 pa.array(prefixes, pa.list_(pa.int64())), batch.column(2),
@@ -133,19 +162,25 @@ def _described(docs: DataFrame, common, size: int, percent: int, kind: str) -> D
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(set_id, n, tokens) of the wanted (id, set_id), read again from the texts."""
+    """(first, set_id, n, tokens) of the wanted (set_id, rep, first), read again from the texts.
+
+    Where ids are repeated a set may come more than once.
+    """
+    if wanted.count() <= BROADCAST_SETS:
+        wanted = F.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, SLICE):
-            found = [shingles(text, size) for text in batch.column(1).to_pylist()]
+            found = [shingles(text, size) for text in batch.column(2).to_pylist()]
             numbers = pa.array([_set_number(tokens) if len(tokens) else None for tokens in found], pa.int64())
-            columns = [batch.column(0), numbers, pa.array(map(len, found), pa.int64()), pa.array([t.tobytes() for t in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["set_id", "found", "n", "tokens"])
+            columns = [batch.column(0), batch.column(1), numbers, pa.array(map(len, found), pa.int64())]
+            columns.append(pa.array([tokens.tobytes() for tokens in found], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["first", "set_id", "found", "n", "tokens"])
 
-    joined = docs.join(wanted, docs["id"].eqNullSafe(wanted["rep"])).select("set_id", "text")
+    joined = docs.join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("first", "set_id", "text")
     # A repeated id may stand for several texts; the one that is meant has the set's number.
-    read = joined.mapInArrow(run, "set_id long, found long, n long, tokens binary")
-    return read.filter("found = set_id").dropDuplicates(["set_id"]).select("set_id", "n", "tokens")
+    read = joined.mapInArrow(run, "first long, set_id long, found long, n long, tokens binary")
+    return read.filter("found = set_id").select("first", "set_id", "n", "tokens")
 
 
 def _links(shared: int, a: int, b: int, percent: int) -> bool:
@@ -165,12 +200,14 @@ def _stars(sets: DataFrame, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, leaders = None, []
+        key, last, leaders = None, None, []
         for batch in slices(batches, 64):
             rows: list[tuple[int, int, float]] = []
             columns = [batch.column(k).to_pylist() for k in range(4)]
             for first, number, count, raw in zip(*columns):
-                tokens = np.frombuffer(raw, np.uint64)
+                if number == last:  # the same set again
+                    continue
+                tokens, last = np.frombuffer(raw, np.uint64), number
                 if first != key:
                     key, leaders = first, []
                 for place, (leader, other) in enumerate(leaders):
@@ -186,7 +223,7 @@ def _stars(sets: DataFrame, percent: int) -> DataFrame:
                     del leaders[LEADERS:]
                     rows.append((number, number, 0.0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64()))],
+                [pa.array(column, kind) for column, kind in zip(zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.int64(), pa.float64()))],
                 ["set_id", "leader", "distance"],
             )
 
@@ -223,8 +260,13 @@ def _open_stars(compared: DataFrame, stars: DataFrame, threshold: float) -> Data
     return compared.filter("NOT linked").join(a, "a").join(b, "b").filter(near & (F.col("reach_a") + F.col("reach_b") > 0))
 
 
-def _member_links(open_: DataFrame, stars: DataFrame, index: DataFrame, sets: DataFrame, percent: int, links: DataFrame) -> DataFrame:
-    """(a, b) links between members of stars whose leaders do not link."""
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after more links; known components are stars already, so few rounds are left."""
+    return components(label.toDF("a", "b").unionByName(links))
+
+
+def _member_links(open_: DataFrame, stars: DataFrame, index: DataFrame, sets: DataFrame, percent: int, label: DataFrame) -> DataFrame:
+    """(a, b) links between members of stars whose leaders do not link; ``label`` has the components so far."""
     threshold = 1 - percent / 100 + 1e-9
     members = stars.filter("set_id <> leader").select("leader", "set_id", "distance")
     # Members against the other leader: linear in the sizes of the stars.
@@ -233,29 +275,35 @@ def _member_links(open_: DataFrame, stars: DataFrame, index: DataFrame, sets: Da
     crossed = stored(_verified(left.unionByName(right).distinct(), sets, percent), "jaccard-crossed")
     found = crossed.filter("linked").select("a", "b")
     # Stars that are one component by now need no more; nor do members that the distances rule out.
-    label = stored(components(links.unionByName(found)), "jaccard-labels")
+    label = stored(_joined(label, found), "jaccard-labels")
     left_open = (
         open_.join(label.toDF("a", "at_a"), "a", "left").join(label.toDF("b", "at_b"), "b", "left")
         .filter("coalesce(at_a, a) <> coalesce(at_b, b)").select("a", "b")
     )
-    own = stars.toDF("set_id", "leader", "own")
+    # Members by star and other star, with both distances; a member that is too far from the other leader for
+    # any member there has no link. Only what is left is looked up in the index.
+    own = members.toDF("leader", "set_id", "own")
     to_other = crossed.select(F.col("a").alias("set_id"), F.col("b").alias("other"), "distance").unionByName(
         crossed.select(F.col("b").alias("set_id"), F.col("a").alias("other"), "distance")
     )
-    reach = to_other.join(own, "set_id")
-    tokens = index.select("token", "set_id", "n", "pos")
-    rows = reach.join(tokens, "set_id")
-    a = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("set_id", "leader", "own", "other", "distance", "n", "pos")])
-    b = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in ("set_id", "leader", "own", "other", "distance", "n", "pos")])
-    pairs = left_open.join(a, (left_open["a"] == a["leader_a"]) & (left_open["b"] == a["other_a"])).join(
-        b, (a["token"] == b["token"]) & (a["other_a"] == b["leader_b"]) & (a["leader_a"] == b["other_b"])
+    pairs_open = left_open.unionByName(left_open.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("leader", "other")
+    near = to_other.join(own, "set_id").join(pairs_open, ["leader", "other"])
+    reach = near.groupBy("leader", "other").agg(F.max("own").alias("reach")).toDF("other", "leader", "reach")
+    live = near.join(reach, ["leader", "other"]).filter(F.col("distance") - F.col("reach") <= threshold).drop("reach")
+    live = stored(live, "jaccard-live")
+    rows = live.join(index.select("token", "set_id", "n", "pos"), "set_id")
+    columns = ("set_id", "own", "distance", "n", "pos")
+    a = rows.filter("leader < other").select("token", "leader", "other", *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = rows.filter("leader > other").select(
+        "token", F.col("other").alias("leader"), F.col("leader").alias("other"), *[F.col(c).alias(f"{c}_b") for c in columns]
     )
     allowed = (
         (F.col("distance_a") - F.col("own_b") <= threshold)
         & (F.col("distance_b") - F.col("own_a") <= threshold)
         & _can_share("a", "b", percent)
     )
-    rest = pairs.filter(allowed).select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
+    met = a.join(b, ["token", "leader", "other"]).filter(allowed)
+    rest = met.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
     checked = _verified(rest, sets, percent)
     return found.unionByName(checked.filter("linked").select("a", "b"))
 
@@ -287,25 +335,31 @@ def jaccard_components(
     kind = docs.schema[id_col].dataType.simpleString()
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]) if keep_row else F.struct(F.lit(0).alias("none"))
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), whole.alias("whole_row"))
-    often = _common_shingles(texts, size).orderBy(F.desc("count"), "token").limit(MOVED).select("token").toPandas()
-    common = spark.sparkContext.broadcast(np.sort(often["token"].to_numpy(np.int64).view(np.uint64)).tobytes())
+    often = _common_shingles(texts, size).filter(F.col("count") >= COMMON).orderBy(F.desc("count"), "token").limit(MOVED)
+    found = often.select("token").toArrow().column("token").to_numpy().astype(np.int64).view(np.uint64)
+    by_token = np.argsort(found)
+    # Ranks count from the least frequent on. Broadcast: ``MOVED`` numbers at most.
+    rank = (len(found) - by_token).astype(np.int32)
+    common = spark.sparkContext.broadcast((found[by_token].tobytes(), rank.tobytes()))
     rows = stored(_described(texts, common, size, percent, kind), "jaccard-rows")
 
     sets = rows.filter("set_id IS NOT NULL").groupBy("set_id").agg(
         F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")
     )
     sets = stored(sets, "jaccard-sets")
-    listed = sets.select("set_id", "n", F.posexplode("prefix").alias("pos", "token"))
+    listed = sets.select("set_id", F.posexplode("prefix").alias("pos", "token"))
     several = listed.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1").select("token")
-    index = stored(listed.join(several, "token", "left_semi"), "jaccard-index")
-    first = index.groupBy("set_id").agg(F.min(F.struct("pos", "token"))["token"].alias("first"))
-    wanted = sets.select("set_id", "rep").join(first.select("set_id"), "set_id")
-    tokens = stored(_whole_sets(texts.select("id", "text"), wanted, size), "jaccard-tokens")
-
-    stars = stored(_stars(tokens.join(first, "set_id"), percent), "jaccard-stars")
+    shared = stored(listed.join(several, "token", "left_semi"), "jaccard-shared")
+    met = shared.groupBy("set_id").agg(F.count("*").alias("met"), F.min(F.struct("pos", "token"))["token"].alias("first"))
+    enough = met.join(sets.select("set_id", "n", "rep"), "set_id").filter(F.col("met") >= _meetings(F.col("n"), percent, 1))
+    wanted = stored(enough.select("set_id", "rep", "first", "n"), "jaccard-wanted")
+    index = stored(shared.join(wanted.select("set_id", "n"), "set_id"), "jaccard-index")
+    tokens = stored(_whole_sets(texts.select("id", "text"), wanted.select("set_id", "rep", "first"), size), "jaccard-tokens")
+
+    stars = stored(_stars(tokens, percent), "jaccard-stars")
     leaders = stars.select("set_id", "leader")
     # Lists of leaders by n-gram, in blocks by size: members' sizes differ from the leader's by percent at most.
-    sized = tokens.select(F.col("set_id").alias("leader"), F.col("n").alias("size"))
+    sized = wanted.select(F.col("set_id").alias("leader"), F.col("n").alias("size"))
     entries = index.select("token", "set_id").join(leaders, "set_id").select("token", "leader").distinct().join(sized, "leader")
     widest = (percent / 100) ** 3
     entries = entries.withColumn("block", F.floor(F.log("size") / F.lit(-np.log(widest)) + 1e-9))
@@ -316,22 +370,25 @@ def jaccard_components(
     )
     near = (F.col("size_a") <= F.col("size_b")) & (F.col("size_a") >= widest * F.col("size_b") - 1e-6)
     once = (F.col("size_a") < F.col("size_b")) | (F.col("a") < F.col("b"))
-    pairs = a.join(b, ["token", "block"]).filter((F.col("a") != F.col("b")) & near & once).select("a", "b").distinct()
+    met = a.join(b, ["token", "block"]).filter((F.col("a") != F.col("b")) & near & once).groupBy("a", "b").agg(
+        F.count("*").alias("met"), F.first("size_a").alias("size")
+    )
+    pairs = met.filter(F.col("met") >= _meetings(F.col("size"), percent, 1)).select("a", "b")
     compared = stored(_verified(pairs, tokens, percent), "jaccard-compared")
 
     links = stars.filter("set_id <> leader").select(F.col("set_id").alias("a"), F.col("leader").alias("b")).unionByName(
         compared.filter("linked").select("a", "b")
     )
     links = stored(links, "jaccard-links")
-    label = components(links)
+    label = stored(components(links), "jaccard-labels")
     open_ = _open_stars(compared, stars, 1 - percent / 100 + 1e-9)
     open_ = open_.join(label.toDF("a", "at_a"), "a", "left").join(label.toDF("b", "at_b"), "b", "left").filter(
         "coalesce(at_a, a) <> coalesce(at_b, b)"
     )
     open_ = stored(open_.select("a", "b"), "jaccard-open")
     if not open_.isEmpty():
-        label = components(links.unionByName(_member_links(open_, stars, index, tokens, percent, links)))
-    label = stored(label, "jaccard-labels")
+        more = _member_links(open_, stars, index, tokens, percent, label)
+        label = stored(_joined(label, more), "jaccard-labels")
 
     reps = sets.select("set_id", "rep").join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
     reps = reps.withColumn("component", F.coalesce("component", "set_id"))
