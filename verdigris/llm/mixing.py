@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdigris.llm.common import text_of
+from verdigris.sources.storage import stored
 
 # Mean that is inverted in one go. A larger mean is a sum of independent counts with equal parts of it.
 PART_MEAN = 8.0
@@ -18,6 +19,8 @@ PART_MEAN = 8.0
 STEPS = 64
 # Exponent of a source's size in its default weight: below 1 small sources are raised.
 TEMPER = 0.7
+# Sources up to which their rates are broadcast, after counting them; beyond it they are joined by a shuffle.
+BROADCAST_SOURCES = 100_000
 
 
 def _uniform(*parts: Column) -> Column:
@@ -79,10 +82,14 @@ def replicate(
     """(row, copy, n_copies, shuffle_key): each copy of each document, globally shuffled.
 
     ``row`` is the row of ``docs``. Rows with the same id get the same count; a null id counts as the
-    empty string. A source without a rate has no copies. The join only carries the rates, one row per
-    source, and adaptive execution splits a hot source; the copies are dealt by a hash of id and copy
-    number, which is even whatever the sources are.
+    empty string. A source without a rate has no copies. Rates are one row per source: they are counted
+    and broadcast when they are few, so that documents are not shuffled by source; otherwise adaptive
+    execution splits a hot source. Copies are dealt by a hash of id and copy number, which is even
+    whatever the sources are.
     """
+    rates = stored(rates, "rates")
+    if rates.count() <= BROADCAST_SOURCES:
+        rates = F.broadcast(rates)
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
     keyed = docs.select(
         whole, F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.col(source_col).alias("doc_source")
