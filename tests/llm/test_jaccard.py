@@ -78,6 +78,17 @@ def test_one_of_each_group_stays(make_docs, odd_rows):
     assert jaccard.drop_near_duplicates(make_docs([])).count() == 0
 
 
+def test_components_that_share_an_id_or_have_none_keep_one_row_each(make_docs):
+    """Rows without an id in components of their own, and one id at two texts that are no near copies."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(30))
+    rows = [
+        (None, text("a")), (None, text("a")), (None, text("b")), (None, text("c") + " end"), (None, text("c")),
+        (5, text("d")), (5, text("e")), (5, text("e") + " end"), (6, text("e")), (7, text("f")), (None, text("f")),
+    ]
+    kept = [(r.doc_id, r.text[:1]) for r in jaccard.drop_near_duplicates(make_docs(rows, clashing=True)).collect()]
+    assert sorted(kept, key=str) == sorted([(None, "a"), (None, "b"), (None, "c"), (5, "d"), (5, "e"), (7, "f")], key=str)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 200), (3, 2)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

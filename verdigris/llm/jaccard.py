@@ -324,12 +324,13 @@ def _can_share(a: str, b: str, percent: int) -> Column:
 def jaccard_components(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep_row: bool = False
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row, and the row itself with ``keep_row``.
+    """(doc_id, n_shingles, component_id) per row, and set_id, component and the row itself with ``keep_row``.
 
     Two rows link when 100 * shared n-grams >= percent * n-grams of either. ``component_id`` is the
     smallest id that can be reached by links, the own one included. Null, empty and blank texts have
     no n-gram and link with nothing. Null ids come after all others; repeated rows have equal sets and
     so one component. Rows with equal sets are compared once. N-grams are compared as 64-bit hashes.
+    ``component`` is the smallest set_id of the component: unlike the id it is never shared with another one.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
@@ -393,11 +394,11 @@ def jaccard_components(
     reps = sets.select("set_id", "rep").join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
     reps = reps.withColumn("component", F.coalesce("component", "set_id"))
     smallest = reps.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_set = reps.join(smallest, "component").select("set_id", "component_id")
+    by_set = reps.join(smallest, "component").select("set_id", "component_id", "component")
     out = rows.join(by_set, "set_id", "left").select(
         F.col("id").alias(id_col), "n_shingles",
         F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        *(["whole_row"] if keep_row else []),
+        *(["set_id", "component", "whole_row"] if keep_row else []),
     )
     return out
 
@@ -405,11 +406,12 @@ def jaccard_components(
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each component the row with the smallest id, with all its columns.
 
-    Rows without an id stay when nothing with an id is in their component; of repeated rows with that
-    id one stays. Rows without words stay.
+    Where nothing in a component has an id, one row without an id stays; of repeated rows with the
+    smallest id one stays, that of the smallest set. Rows without words stay.
     """
     found = jaccard_components(docs, size, percent, id_col, text_col, keep_row=True)
     kept = found.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
     worded, blank = kept.filter("n_shingles > 0"), kept.filter("n_shingles = 0")
-    one = worded.groupBy("component_id").agg(F.first("whole_row").alias("whole_row"))
+    # All kept rows of a component have the same id, or none.
+    one = worded.groupBy("component").agg(F.min_by("whole_row", "set_id").alias("whole_row"))
     return one.select("whole_row.*").unionByName(blank.select("whole_row.*"))
