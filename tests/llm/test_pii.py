@@ -81,3 +81,30 @@ def test_listing_and_redaction(make_docs):
 def test_empty_table(make_docs):
     assert pii.find_personal_data(make_docs([])).count() == 0
     assert pii.estimate({}) == {} and pii.train_span_classifier({}, {}) == {}
+
+
+# Spans in << >>: phones and cards that the base loses because its match runs on into the next number.
+PLANTED = (
+    "un. <<+1 (843) 555-7672>> 170.106.47.218 x", "Des <<+1 (826) 555-4081>> 190.137.223.20 x", "call <<+1 (826) 555-4081>> 4711 22 33",
+    "x <<4111 1111 1111 1111>> 4845168114407321 y", "x <<5500000000000004>> 190.137.223.20 y", "card 1999 <<4111 1111 1111 1111>> y",
+    "x 77 <<4845168114407329>> 12345678 y",
+)
+# Numbers that look alike and are nobody's.
+DECOYS = (
+    "id 4183418637171908 x", "card 4111-1111-1111-1112 x", "row 555 123 4567 x", "see 12-34-56-78 x", "from 9777946427004852 14 x",
+    "look [at] this.thing x", "part 10.20.30.999 x",
+)
+
+
+def added(docs):
+    return {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if not s.base] for r in pii.find_personal_data(docs).collect()}
+
+
+@pytest.mark.parametrize("decoys", [1, 40])
+def test_numbers_next_to_another_are_added_and_decoys_are_not(make_docs, decoys):
+    usual = [f"u{i}@mail.example.com, +1 (2{i + 10}) 555-77{i + 10}, 4111 1111 1111 1111, 10.0.{i}.7" for i in range(40)]
+    texts = [*usual, *PLANTED, *DECOYS * decoys]
+    found = added(make_docs([(i, text.replace("<<", "").replace(">>", "")) for i, text in enumerate(texts)]))
+    for i, text in enumerate(texts):
+        plain = text.replace("<<", "").replace(">>", "")
+        assert [plain[start:end] for _, start, end in found[i]] == re.findall("<<(.*?)>>", text), text
