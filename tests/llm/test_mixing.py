@@ -60,6 +60,16 @@ def test_order_is_a_shuffle(spark, make_docs):
     assert sum(a < b for a, b in zip(ids, ids[1:])) < 0.65 * len(ids)
 
 
+def test_rows_without_an_id_are_drawn_each_for_itself(spark, make_docs):
+    docs = make_docs([(None, f"text {i}", "a") for i in range(400)] + [(None, "text 0", "b")])
+    rates = spark.createDataFrame([("a", 0.5), ("b", 3.0)], "source string, rate double")
+    copies = mixing.replicate(docs, rates).select("row.text", "row.source", "shuffle_key").collect()
+    assert 150 < sum(r.source == "a" for r in copies) < 250
+    assert len({r.shuffle_key for r in copies}) == len(copies)
+    again = mixing.replicate(docs.repartition(5), rates).select("row.text", "row.source", "shuffle_key").collect()
+    assert sorted(copies) == sorted(again)
+
+
 def test_no_python_in_the_plan(make_docs):
     plan = mixing.mix(make_docs([(1, "x")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan

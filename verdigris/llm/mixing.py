@@ -77,23 +77,24 @@ def source_rates(
 
 
 def replicate(
-    docs: DataFrame, rates: DataFrame, seed: int = 0, id_col: str = "doc_id", source_col: str = "source"
+    docs: DataFrame, rates: DataFrame, seed: int = 0, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text"
 ) -> DataFrame:
     """(row, copy, n_copies, shuffle_key): each copy of each document, globally shuffled.
 
-    ``row`` is the row of ``docs``. Rows with the same id get the same count; a null id counts as the
-    empty string. A source without a rate has no copies. Rates are one row per source: they are counted
+    ``row`` is the row of ``docs``. Rows with the same id get the same count; without an id a digest
+    of text and source stands for it. A source without a rate has no copies. Rates are one row per source: they are counted
     and broadcast when they are few, so that documents are not shuffled by source; otherwise adaptive
     execution splits a hot source. Copies are dealt by a hash of id and copy number, which is even
-    whatever the sources are.
+    whatever the sources are; equal rows without an id go together.
     """
     rates = stored(rates, "rates")
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    keyed = docs.select(
-        whole, F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.col(source_col).alias("doc_source")
-    )
+    # The mark keeps a digest apart from ids that are text.
+    digest = F.concat(F.lit("|"), F.md5(F.concat_ws("|", F.md5(text_of(text_col)), F.col(source_col).cast("string"))))
+    key = F.coalesce(F.col(id_col).cast("string"), digest)
+    keyed = docs.select(whole, key.alias("key"), F.col(source_col).alias("doc_source"))
     rated = keyed.join(rates, F.col("doc_source").eqNullSafe(F.col("source")))
     counted = rated.withColumn("n_copies", poisson_count(F.col("rate"), F.col("key"), seed))
     copies = counted.filter("n_copies > 0").select(
