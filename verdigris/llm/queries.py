@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdigris.llm import chat, exact_dedup, jaccard, mixing, packing, pii, quality, suffix_dedup, token_counts, token_files
+from verdigris.llm import bpe, chat, exact_dedup, jaccard, mixing, packing, pii, quality, suffix_dedup, token_counts, token_files
 from verdigris.llm.common import table
 from verdigris.sources.storage import scratch_path
 
@@ -93,6 +93,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path(BYTE_VOCABULARY)
+    coded = bpe.decode_texts(bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 _NORM = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')"
 
 OP1_SQL = f"""
