@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdigris.llm import bpe, chat, exact_dedup, jaccard, mixing, packing, pii, quality, suffix_dedup, token_counts, token_files
+from verdigris.llm import bpe, chat, collocations, exact_dedup, jaccard, mixing, packing, pii, quality, suffix_dedup, token_counts, token_files
 from verdigris.llm.common import table
 from verdigris.sources.storage import scratch_path
 
@@ -93,6 +93,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path(BYTE_VOCABULARY)
     coded = bpe.decode_texts(bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
@@ -159,9 +163,50 @@ SELECT doc_id, source, copy, n_copies, md5('0|shuffle|' || doc_id || '|' || copy
 """
 
 
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda word: word <> '') AS words FROM pieces
+), sized AS (
+  SELECT lang, words, unnest([1, 2, 3, 4]) AS size FROM worded
+), placed AS (
+  SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS place FROM sized
+), grams AS (
+  SELECT lang, size, array_to_string(words[place:place + size - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM placed GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM worded GROUP BY lang
+), candidates AS (
+  SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS words FROM grams WHERE size > 1 AND f >= 30
+), cuts AS (
+  SELECT *, unnest(range(1, size)) AS k FROM candidates
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, (2000000 * c.a) // (x.f + y.f) AS score
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(words[1:k], ' ')
+  JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(words[k + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+), lengths AS (
+  SELECT *, unnest(range(2, size)) AS length FROM candidates
+), spots AS (
+  SELECT *, unnest(range(1, size - length + 2)) AS place FROM lengths
+), around AS (
+  SELECT lang, array_to_string(words[place:place + length - 1], ' ') AS phrase, max(a) AS longer FROM spots GROUP BY ALL
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN around o ON o.lang = s.lang AND o.phrase = s.phrase
+  WHERE longer IS NULL OR 100 * longer < 80 * s.a
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: found for name, found in globals().items() if name.startswith("op") and callable(found)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op6_chat_preferences": OP6_SQL, "op9_mixing": OP9_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op6_chat_preferences": OP6_SQL, "op9_mixing": OP9_SQL, "op12_collocations": OP12_SQL}
