@@ -31,22 +31,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdigris.llm.common import slices, text_of, worker_cache
-from verdigris.llm.tokens import _BYTE_PIECES, BYTE_PATTERN, REMEMBERED, byte_letters, forget_half, read_vocabulary
+from verdigris.llm.tokens import _BYTE_PIECES, BYTE_PATTERN, byte_letters, forget_half, read_vocabulary
 
 # Texts that a task encodes or decodes together.
 TEXTS = 256
+# What a worker remembers of pieces, pre-tokens and pairs before it forgets the older half: bounds on memory.
+PIECES, PARTS, PAIRS = 300_000, 200_000, 300_000
 # A letter that no byte stands for: it parts pre-tokens in front of the automaton.
 _BORDER = "Ā"
 _NEVER = 1 << 62
 
 
+def token_bytes(described: dict) -> dict[int, bytes]:
+    letters = byte_letters()
+    return {token: bytes(letters[letter] for letter in string) for string, token in described["model"]["vocab"].items()}
+
+
 class PairTable:
     """Which tokens are reachable, and which may stand next to each other."""
 
     def __init__(self, described: dict):
-        letters = byte_letters()
         ids = described["model"]["vocab"]
-        self.bytes = {ids[token]: bytes(letters[letter] for letter in token) for token in ids}
+        self.bytes = token_bytes(described)
         self.ranks: dict[tuple[int, int], int] = {}
         made: dict[int, list[tuple[int, int, int]]] = {}
         for rank, (left, right) in enumerate(described["model"]["merges"]):
@@ -66,7 +72,7 @@ class PairTable:
                     self.right[token] = [(token, _NEVER), (right, rank), *self.right[right][1:]]
                     break
         self.reachable = list(self.left)
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
 
     def _breaks(self, right_edge, left_edge, before: int = _NEVER) -> bool:
         ranks = self.ranks
@@ -78,15 +84,15 @@ class PairTable:
         return False
 
     def compatible(self, left: int, right: int) -> bool:
-        pair = (left, right)
+        pair = left << 32 | right
         if pair not in self.known:
-            forget_half(self.known, 4 * REMEMBERED)
+            forget_half(self.known, PAIRS)
             self.known[pair] = not self._breaks(self.right[left], self.left[right])
         return self.known[pair]
 
 
 class Encoder:
-    """Encodes and decodes with one byte-level vocabulary. One per worker; see ``coder_for``."""
+    """Encodes with one byte-level vocabulary. One per worker; see ``coder_for``."""
 
     def __init__(self, vocabulary: str):
         described = json.loads(vocabulary)
@@ -104,12 +110,6 @@ class Encoder:
         self.specials = {token["content"]: token["id"] for token in described.get("added_tokens") or []}
         self.parts: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        # Bytes of all tokens end to end; token i has those from offsets[i] to offsets[i + 1].
-        strings = self.pairs.bytes | {token: content.encode() for content, token in self.specials.items()}
-        lengths = np.zeros(max(strings) + 1, np.int64)
-        lengths[list(strings)] = [len(string) for string in strings.values()]
-        self.offsets = np.concatenate([[0], np.cumsum(lengths)])
-        self.table = np.frombuffer(b"".join(strings[token] for token in sorted(strings)), np.uint8)
 
     def _prefix(self, string: str) -> tuple[int, int] | None:
         for length in range(len(string) - 1, 0, -1):
@@ -157,7 +157,7 @@ class Encoder:
         ]
 
     def _learn(self, pieces: list[str]) -> None:
-        forget_half(self.parts, REMEMBERED)
+        forget_half(self.parts, PARTS)
         cut = [BYTE_PATTERN.findall(piece) for piece in pieces]
         new = list({part for parts in cut for part in parts} - self.parts.keys())
         self.parts.update(zip(new, self._match([part.encode("utf-8").decode("latin-1") for part in new])))
@@ -178,7 +178,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        forget_half(self.pieces, REMEMBERED)
+        forget_half(self.pieces, PIECES)
         cut = [
             [part if isinstance(part, int) else _BYTE_PIECES.findall(part) for part in self._segments(text)] for text in texts
         ]
@@ -190,6 +190,19 @@ class Encoder:
             for parts in cut
         ]
 
+
+class Decoder:
+    """Decodes ids of one byte-level vocabulary."""
+
+    def __init__(self, vocabulary: str):
+        described = json.loads(vocabulary)
+        # Bytes of all tokens end to end; token i has those from offsets[i] to offsets[i + 1].
+        strings = token_bytes(described) | {token["id"]: token["content"].encode() for token in described.get("added_tokens") or []}
+        lengths = np.zeros(max(strings) + 1, np.int64)
+        lengths[list(strings)] = [len(string) for string in strings.values()]
+        self.offsets = np.concatenate([[0], np.cumsum(lengths)])
+        self.table = np.frombuffer(b"".join(strings[token] for token in sorted(strings)), np.uint8)
+
     def decode(self, encoded: list[bytes]) -> list[str]:
         """The text of each list of ids; bytes that are no UTF-8 become the replacement character."""
         ids = np.frombuffer(b"".join(encoded), "<u4").astype(np.int64)
@@ -202,11 +215,12 @@ class Encoder:
         return [raw[start:end].decode("utf-8", "replace") for start, end in zip(bounds, bounds[1:])]
 
 
-def coder_for(vocabulary: str) -> Encoder:
+def coder_for(kind: type, vocabulary: str) -> Encoder | Decoder:
+    """The worker's encoder or decoder."""
     cache = worker_cache()
-    key = ("bpe", hash(vocabulary))
+    key = (kind.__name__, hash(vocabulary))
     if key not in cache:
-        cache[key] = Encoder(vocabulary)
+        cache[key] = kind(vocabulary)
     return cache[key]
 
 
@@ -220,7 +234,7 @@ def encode_texts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_for(shared.value)
+        coder = coder_for(Encoder, shared.value)
         for batch in slices(batches, TEXTS):
             ids = coder.encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
@@ -238,7 +252,7 @@ def decode_texts(encoded: DataFrame, vocabulary_path: str, id_col: str = "doc_id
     shared = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_for(shared.value)
+        coder = coder_for(Decoder, shared.value)
         for batch in slices(batches, TEXTS):
             texts = coder.decode([ids or b"" for ids in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["id", "ids", "text"])
