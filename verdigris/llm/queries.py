@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdigris.llm import bpe, chat, collocations, exact_dedup, jaccard, mixing, packing, pii, quality, suffix_dedup, token_counts, token_files
+from verdigris.llm import bpe, chat, collocations, exact_dedup, hard_negatives, jaccard, mixing, packing, pii, quality, suffix_dedup, token_counts, token_files
 from verdigris.llm.common import table
 from verdigris.sources.storage import scratch_path
 
@@ -93,6 +93,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -163,6 +168,28 @@ SELECT doc_id, source, copy, n_copies, md5('0|shuffle|' || doc_id || '|' || copy
 """
 
 
+OP11_SQL = """
+WITH rows AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) for x in embedding] AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.row, a.vec_id AS anchor_id, b.row AS other, b.vec_id AS other_id, a.label = b.label AS same,
+    list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.row <> b.row
+), positives AS (
+  SELECT row, anchor_id, other AS positive, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY score DESC, other_id NULLS LAST) <= 5
+)
+SELECT p.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY p.row, positive ORDER BY score DESC, other_id NULLS LAST)::INTEGER AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.row = p.row AND NOT same
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
 OP12_SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
@@ -209,4 +236,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op6_chat_preferences": OP6_SQL, "op9_mixing": OP9_SQL, "op12_collocations": OP12_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op6_chat_preferences": OP6_SQL, "op9_mixing": OP9_SQL, "op11_hard_negatives": OP11_SQL, "op12_collocations": OP12_SQL}
