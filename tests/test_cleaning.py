@@ -1,5 +1,9 @@
+import random
+import re
+
 from pyspark.sql import functions as F
 
+from verdigris.functions import cleaning
 from verdigris.functions.cleaning import cut_at_role_word, extract_sql, stop_markers
 
 GOLDEN = [
@@ -74,3 +78,24 @@ def test_stop_markers(spark):
     )
     got = [r[0] for r in raw.select(stop_markers(F.col("raw"))).collect()]
     assert got == [["Note:", "The "], [], ["non_ascii"], [], []]
+
+
+def stop_by_steps(text):
+    """The definition: look at the text after every token from the fifth on."""
+    ends = [match.end() for match in re.finditer(r"\w+|[^\w\s]", text)]
+    for n, end in enumerate(ends, 1):
+        part = text[:end]
+        found = [phrase for phrase in cleaning.STOP_PHRASES if phrase in part]
+        if n >= cleaning.MIN_TOKENS and (found or not part.isascii()):
+            return n, found[0] if found else cleaning.NON_ASCII, part, len(ends), len(ends) - n
+    return None, None, text, len(ends), 0
+
+
+def test_generation_stop(spark):
+    pick = random.Random(7)
+    words = ["SELECT", " a", " ", "The ", "The", "This", "Which one", "Note:", "Here", "é", "I am", "I  am", "assistants", ";", "(", ")", "\n", "_x1", "ThisThe ", "  "]
+    texts = ["".join(pick.choices(words, k=pick.randint(0, 14))) for _ in range(800)]
+    texts += ["The a b c d e", "a b c d The", "a b c d The ", "a b c d The  e", "a b c d é e", "é", "éa b c d e f", "a b c d e f Here", "Note: a"]
+    rows = spark.createDataFrame([(text,) for text in texts] + [(None,)], "raw string")
+    found = [tuple(row.stop) for row in rows.select(cleaning.generation_stop(F.col("raw")).alias("stop")).collect()]
+    assert found == [stop_by_steps(text) for text in texts] + [stop_by_steps("")]

@@ -196,3 +196,14 @@ def test_score_of_unparsable_prediction(spark):
     assert bad.parsing_error == "Empty SQL string"
     assert (good.logical_form_exact, good.logical_form_similarity) == (True, 1.0)
     assert good.structural_similarity == 1.0 and good.strict_match and good.relaxed_match
+
+
+def test_keywords_out_of_reach(spark):
+    """Outside parentheses or directly inside an outermost pair; pairs that are never closed hide nothing."""
+    none = P.NO_KEYWORD_REASON
+    cases = {
+        "((SELECT 1))": none, "f(g(SELECT 1))": none, "(a (SELECT 1) b)": none, "((SELECT 1)) WHERE x": None, "(x FROM (y))": None,
+        "((SELECT 1)": None, "(((SELECT 1)": None, "((SELECT 1": None, ")) SELECT": None, "()(()(SELECT))": none, "(()) (SELECT)": None,
+        "(('SELECT') FROM)": None, "((SELECT /* ) */ 1))": none, "(( ')' SELECT))": none, "((SELECTED) FROMAGE)": none, "(((a) LIMIT 3))": none,
+    }
+    assert evaluate(spark, [(text,) for text in cases], "s string", P.parse_error(F.col("s"))) == list(cases.values())

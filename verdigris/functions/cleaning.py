@@ -124,6 +124,57 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"(?U)\w+|[^\w\s]"))
 
 
+# A token with the white space in front of it.
+SPACED_TOKEN = r"(?U)\s*(?:\w+|[^\w\s])"
+
+
+def _first_marker_end(text: Column) -> Column:
+    """Number of characters after which some marker is complete for the first time; null without one."""
+    phrases = T.literals_found(text, STOP_PHRASES)
+    ends = F.transform(phrases, lambda phrase: F.instr(text, phrase) + F.length(phrase) - 1)
+    other = F.when(T.has_non_ascii(text), F.regexp_instr(text, F.lit(r"[^\x00-\x7F]")))
+    return F.array_min(F.concat(ends, F.array(other)))
+
+
+def generation_stop(raw: Column) -> Column:
+    """Where generation token by token would have stopped: struct(stop_token, stop_marker, kept_text, n_tokens, tokens_saved).
+
+    From the fifth token on the text so far is looked at after every token; the first one that completes
+    a marker is the last one kept. A marker that ends with a space is complete with the next token. Of
+    several markers in the kept text the first of the list is named. Without a stop the first two are
+    null, the text is kept whole and nothing is saved; null counts as empty.
+    """
+
+    def stop(text: Column, end: Column, total: Column) -> Column:
+        start = F.substring(text, F.lit(1), end)
+        at_space = F.rlike(F.substring(text, end, F.lit(1)), F.lit(r"(?U)\A\s"))
+        # The token that holds the marker's last character, or the one behind it.
+        token = token_count(start) + F.when(at_space, 1).otherwise(0)
+        rest = F.substring(text, end + 1, F.length(text))
+        # What is left of that token behind the marker: nothing for a single mark.
+        in_word = F.rlike(F.substring(text, end, F.lit(1)), F.lit(r"(?U)\A\w"))
+        tail = F.when(at_space, F.regexp_extract(rest, rf"\A{SPACED_TOKEN}", 0)).when(
+            in_word, F.regexp_extract(rest, r"(?U)\A\w*", 0)
+        ).otherwise("")
+        early = F.regexp_extract(text, rf"\A(?:{SPACED_TOKEN}){{{MIN_TOKENS}}}", 0)
+        kept = F.when(token <= MIN_TOKENS, early).otherwise(F.concat(start, tail))
+        stopped = F.greatest(token, F.lit(MIN_TOKENS))
+        return T.let(
+            F.when(end.isNotNull() & (stopped <= total), F.struct(stopped.alias("token"), kept.alias("text"))),
+            lambda found: F.struct(
+                found["token"].alias("stop_token"),
+                F.when(found.isNotNull(), F.coalesce(T.first_literal_found(found["text"], STOP_PHRASES), F.lit(NON_ASCII))).alias("stop_marker"),
+                F.coalesce(found["text"], text).alias("kept_text"),
+                total.alias("n_tokens"), F.coalesce(total - found["token"], F.lit(0)).alias("tokens_saved"),
+            ),
+        )
+
+    def build(text: Column) -> Column:
+        return T.let(_first_marker_end(text), lambda end: T.let(token_count(text), lambda total: stop(text, end, total)))
+
+    return T.let(F.coalesce(raw, F.lit("")), build)
+
+
 def stop_markers(raw: Column) -> Column:
     """Stop phrases found in the text, then ``non_ascii``; empty below five tokens."""
 

@@ -25,8 +25,7 @@ STRUCTURE_FLAGS = {
 EMPTY_REASON = "Empty SQL string"
 NO_KEYWORD_REASON = "No SQL keywords found"
 
-# Words that make a statement count as SQL in the parse-validity screen. An approximation: without
-# a grammar the nesting of the word is not looked at.
+# Words that make a statement count as SQL in the parse-validity screen.
 PARSE_WORDS = [
     "SELECT", "INSERT", "UPDATE", "DELETE", "MERGE", "CREATE", "DROP", "ALTER", "TRUNCATE",
     "FROM", "WHERE", "JOIN", "GROUP", "ORDER", "HAVING", "LIMIT", "UNION", "VALUES", "INTO", "SET",
@@ -115,11 +114,54 @@ def blank_out(sql: Column) -> Column:
     return F.upper(T.before(blanked, ";"))
 
 
+# A word as the screen sees it, in upper case.
+WORD_CHARACTERS = r"[A-Z0-9_\x{80}-\x{10ffff}]"
+
+
+def keyword_in_reach(blanked: Column) -> Column:
+    """True when a word of the list stands outside parentheses or directly inside an outermost pair.
+
+    A fold over words and parentheses keeps for every open pair whether it holds a word itself and
+    whether a pair directly inside it does. A closed pair tells the pair around it about its own words
+    only. A parenthesis that is never closed hides nothing.
+    """
+    listed = F.lit(PARSE_WORDS)
+
+    def level(own: Column, inner: Column) -> Column:
+        return F.struct(own.alias("own"), inner.alias("inner"))
+
+    nothing = F.array(level(F.lit(False), F.lit(False)))
+
+    def step(levels: Column, token: Column) -> Column:
+        last = F.element_at(levels, -1)
+        outer = F.slice(levels, F.lit(1), F.size(levels) - 1)
+
+        def with_last(around: Column, held: Column, own: Column, inner: Column) -> Column:
+            return F.concat(around, F.array(level(held["own"] | own, held["inner"] | inner)))
+
+        closed = F.slice(levels, F.lit(1), F.size(levels) - 2), F.element_at(levels, -2)
+        return (
+            F.when(token == "(", F.concat(levels, nothing))
+            .when((token == ")") & (F.size(levels) > 1), with_last(*closed, F.lit(False), last["own"]))
+            .when(token == ")", levels)
+            .otherwise(with_last(outer, last, F.lit(True), F.lit(False)))
+        )
+
+    def tokens(text: Column) -> Column:
+        found = F.regexp_extract_all(text, F.lit(f"[()]|{WORD_CHARACTERS}+"), F.lit(0))
+        return F.filter(found, lambda token: token.isin("(", ")") | F.array_contains(listed, token))
+
+    def search(text: Column) -> Column:
+        # Most statements begin with their word; the fold is for those that do not.
+        head = F.exists(tokens(T.before(text, "(")), lambda token: F.lit(True))
+        folded = F.exists(F.aggregate(tokens(text), nothing, step), lambda held: held["own"] | held["inner"])
+        return head | (F.contains(text, F.lit("(")) & folded)
+
+    return T.let(blanked, search)
+
+
 def parse_error(sql: Column) -> Column:
     """Reason why the text fails the parse-validity screen; null when it passes."""
-    edge = r"[^A-Z0-9_\x{80}-\x{10ffff}]"
-    words = "|".join(PARSE_WORDS)
-    keyword = F.rlike(blank_out(sql), F.lit(f"(?:^|{edge})(?:{words})(?:$|{edge})"))
     return F.when(F.coalesce(T.strip(sql), F.lit("")) == "", F.lit(EMPTY_REASON)).when(
-        ~keyword, F.lit(NO_KEYWORD_REASON)
+        ~keyword_in_reach(blank_out(sql)), F.lit(NO_KEYWORD_REASON)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdigris.sources.documents import whole_values
+from verdigris.sources.json_arrays import array_items
 
 # A variant tells an absent key (null) from a key that holds null (a variant of null).
 REQUEST_SCHEMA = (
@@ -23,15 +23,14 @@ LAYOUTS = ("lines", "array")
 def read_requests(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
     """Requests from JSON lines, or from files that hold one JSON array each.
 
-    Lines are read in splits, blank ones skipped; an array on one line works too. The ``array``
-    layout is for arrays spread over many lines: one task per file, so one file must fit a task. A
-    malformed record fails the query, and so does anything behind the array.
+    Lines are read in splits, blank ones skipped; a short array on one line works too. The ``array``
+    layout is for files that are one array, on one line or many, and reads these in splits as well. A
+    malformed record fails the query, and so does anything around the array.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}: {layout}")
     if layout == "array":
-        record = f"struct<{REQUEST_FIELDS}>"
-        return whole_values(spark, path, f"array<{record}>").select(F.inline("value"))
+        return array_items(spark, path, f"struct<{REQUEST_FIELDS}>").select("value.*")
     return spark.read.schema(REQUEST_SCHEMA).option("mode", "FAILFAST").json(path)
 
 

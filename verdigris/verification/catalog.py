@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verdigris.functions import forms
 from verdigris.functions import predicates as P
 from verdigris.functions import rendering as R
-from verdigris.functions.cleaning import cut_at_role_word, extract_sql, stop_markers
+from verdigris.functions.cleaning import cut_at_role_word, extract_sql, generation_stop, stop_markers
 from verdigris.operators import corpus, markers, packing, reporting, requests, sampling
 from verdigris.operators import rendering as texts
 from verdigris.operators.scoring import add_prediction, score
@@ -416,6 +416,20 @@ def q_read_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_read_request_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same requests as pretty-printed arrays, one file for 20,000 of them, about."""
+    path = scratch_path(spark, "request-arrays")
+    lines = request_lines(spark, sf_dir)
+    files = -(-lines.count() // 20_000) or 1
+    dealt = lines.withColumn("file", F.pmod(F.xxhash64("row_id"), F.lit(files)))
+    order = Window.partitionBy("file").orderBy("row_id")
+    opening = F.when(F.lag("row_id").over(order).isNull(), "[").otherwise(",")
+    closing = F.when(F.lead("row_id").over(order).isNull(), "\n]").otherwise("")
+    texts = dealt.select("file", "row_id", F.concat(opening, F.lit("\n  "), "line", closing).alias("text"))
+    texts.sortWithinPartitions("file", "row_id").select("file", "text").write.partitionBy("file").text(path)
+    return requests.reject_counts(requests.parse_requests(request_files.read_requests(spark, path, "array")))
+
+
 def q_write_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "results")
     results = predictions(spark, sf_dir).join(
@@ -521,6 +535,12 @@ def q_stop_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stop_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generations(spark, sf_dir).select("row_id", "model_id", generation_stop(F.col("raw_text")).alias("stop")).select(
+        "row_id", "model_id", "stop.*"
+    )
+
+
 def q_stop_marker_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markers.stop_marker_counts(generations(spark, sf_dir))
 

@@ -126,10 +126,16 @@ def parse_error(x: str) -> str:
         "HAVING|LIMIT|UNION|VALUES|INTO|SET"
     )
     edge = r"[^A-Z0-9_\x{80}-\x{10ffff}]"
+    inner = r"[^A-Z0-9_\x{80}-\x{10ffff}()]"
+    # From the inside out each pair becomes a mark: one with a word of its own is seen from outside, others are
+    # not. The tables nest pairs less than four deep.
+    reached = blanked(x)
+    for _ in range(4):
+        reached = rf"regexp_replace({reached}, '\((?:[^()]*{inner})?(?:{words})(?:{inner}[^()]*)?\)', ' ' || chr(1) || ' ', 'g')"
+        reached = rf"regexp_replace({reached}, '\([^()]*\)', ' ' || chr(2) || ' ', 'g')"
     return (
         f"CASE WHEN {strip(f'''coalesce({x}, '')''')} = '' THEN 'Empty SQL string' "
-        f"WHEN NOT regexp_matches({blanked(x)}, '(?:^|{edge})(?:{words})(?:$|{edge})') "
-        "THEN 'No SQL keywords found' END"
+        f"WHEN NOT regexp_matches({reached}, '\\x01|(?:^|{edge})(?:{words})(?:$|{edge})') THEN 'No SQL keywords found' END"
     )
 
 
@@ -300,6 +306,23 @@ def _repeated() -> str:
 PHRASES = ["Marilyn", "assistant", "Note:", "The ", "What ", "Which ", "I am", "You are", "Here", "This"]
 
 
+def _stop_position(keyed: str) -> str:
+    """After each token from the fifth on the text so far is looked at; the first hit counts."""
+    listed = "[" + ", ".join(f"'{p}'" for p in PHRASES) + "]"
+    token = r"\s*(?:[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s])"
+    hit = rf"len(list_filter({listed}, lambda p: contains(part, p))) > 0 OR regexp_matches(part, '[^\x00-\x7F]')"
+    return (
+        f", counted AS (SELECT {keyed}, raw_text, regexp_extract_all(raw_text, '{token}') AS tokens FROM generations), "
+        f"parts AS (SELECT *, array_to_string(tokens[1:step], '') AS part FROM ("
+        "SELECT *, unnest(range(5, len(tokens) + 1))::INTEGER AS step FROM counted)), "
+        f"stops AS (SELECT row_id, model_id, min(step) AS stop_token, arg_min(part, step) AS kept FROM parts WHERE {hit} GROUP BY ALL) "
+        "SELECT row_id, model_id, stop_token, CASE WHEN stop_token IS NOT NULL THEN "
+        f"coalesce(list_filter({listed}, lambda p: contains(kept, p))[1], 'non_ascii') END AS stop_marker, "
+        "coalesce(kept, raw_text) AS kept_text, len(tokens)::INTEGER AS n_tokens, coalesce(len(tokens) - stop_token, 0)::INTEGER AS tokens_saved "
+        "FROM counted LEFT JOIN stops USING (row_id, model_id)"
+    )
+
+
 def _markers() -> str:
     listed = "[" + ", ".join(f"'{p}'" for p in PHRASES) + "]"
     tokens = TOKENS.replace("text", "raw_text")
@@ -538,6 +561,8 @@ def oracle_sql() -> dict[str, str]:
         "parse_requests": with_ctes(PARSED, "pairs"),
         "read_requests": with_ctes(
             f"SELECT coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n_records FROM ({PARSED}) GROUP BY 1", "pairs"),
+        "read_request_arrays": with_ctes(
+            f"SELECT coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n_records FROM ({PARSED}) GROUP BY 1", "pairs"),
         "write_results": with_ctes(
             "SELECT q.question, q.context, nullif(predicted_sql, '') AS predicted_sql, ground_truth AS ground_truth_sql "
             "FROM predictions JOIN pairs q USING (row_id)", "predictions"),
@@ -607,6 +632,7 @@ def oracle_sql() -> dict[str, str]:
             "CAST(NULL AS VARCHAR) AS dangerous_word FROM repeated", "repeated"),
         "stop_markers": with_ctes(
             f"SELECT {keyed}, array_to_string({_markers()}, ' | ') AS stop_markers FROM generations", "generations"),
+        "stop_position": with_ctes("", "generations").rstrip() + _stop_position(keyed),
         "stop_marker_counts": with_ctes(
             f"SELECT model_id, n_rows, n_flagged, marker, CAST(count_if(list_contains(found, marker)) AS BIGINT) AS n_marked FROM ("
             f"SELECT model_id, found, count(*) OVER (PARTITION BY model_id) AS n_rows, "
