@@ -536,8 +536,10 @@ def q_stop_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stop_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generations(spark, sf_dir).select("row_id", "model_id", generation_stop(F.col("raw_text")).alias("stop")).select(
-        "row_id", "model_id", "stop.*"
+    found = generations(spark, sf_dir).select("row_id", "model_id", generation_stop(F.col("raw_text")).alias("stop"))
+    return found.select(
+        "row_id", "model_id", F.col("stop.stop_token").isNotNull().alias("stopped"),
+        F.coalesce("stop.stop_token", "stop.n_tokens").alias("kept_tokens"), "stop.stop_marker", "stop.kept_text", "stop.tokens_saved",
     )
 
 

@@ -316,9 +316,9 @@ def _stop_position(keyed: str) -> str:
         f"parts AS (SELECT *, array_to_string(tokens[1:step], '') AS part FROM ("
         "SELECT *, unnest(range(5, len(tokens) + 1))::INTEGER AS step FROM counted)), "
         f"stops AS (SELECT row_id, model_id, min(step) AS stop_token, arg_min(part, step) AS kept FROM parts WHERE {hit} GROUP BY ALL) "
-        "SELECT row_id, model_id, stop_token, CASE WHEN stop_token IS NOT NULL THEN "
+        "SELECT row_id, model_id, stop_token IS NOT NULL AS stopped, coalesce(stop_token, len(tokens))::INTEGER AS kept_tokens, CASE WHEN stop_token IS NOT NULL THEN "
         f"coalesce(list_filter({listed}, lambda p: contains(kept, p))[1], 'non_ascii') END AS stop_marker, "
-        "coalesce(kept, raw_text) AS kept_text, len(tokens)::INTEGER AS n_tokens, coalesce(len(tokens) - stop_token, 0)::INTEGER AS tokens_saved "
+        "coalesce(kept, raw_text) AS kept_text, coalesce(len(tokens) - stop_token, 0)::INTEGER AS tokens_saved "
         "FROM counted LEFT JOIN stops USING (row_id, model_id)"
     )
 
