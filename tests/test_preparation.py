@@ -161,3 +161,23 @@ def test_turns_in_order(spark):
     rows = [(1, 2, "user", None), (1, 0, "system", "s"), (1, 1, "user", "q"), (2, 0, "user", "é")]
     got = {r.conv_id: [tuple(m) for m in r.messages] for r in group_turns(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()}
     assert got == {1: [("system", "s"), ("user", "q"), ("user", None)], 2: [("user", "é")]}
+
+
+def test_turns_without_a_key_are_records_of_their_own(spark):
+    """A third of the turns has no key: no group holds them."""
+    from verdigris.operators.corpus import group_turns
+
+    turns = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 100).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.lit(None).cast("string").alias("text")
+    )
+    sizes = group_turns(turns).groupBy("conv_id").agg(F.count("*").alias("n"), F.max(F.size("messages")).alias("most")).collect()
+    assert {(r.n, r.most) for r in sizes if r.conv_id is None} == {(10_000, 1)} and len(sizes) == 101
+    assert sum(r.most for r in sizes if r.conv_id is not None) == 20_000
+
+
+def test_strict_split_fails_on_repeated_keys(spark):
+    keys = spark.createDataFrame([(1,), (1,), (1,), (2,), (2,), (2,)], "row_id int")
+    with pytest.raises(Exception, match="repeated keys"):
+        sampling.split_train_test(keys, 2, strict=True).collect()
+    split = sampling.split_train_test(spark.range(50).select(F.col("id").alias("row_id")), 20, strict=True)
+    assert split.filter("split = 'test'").count() == 20

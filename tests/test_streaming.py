@@ -98,4 +98,6 @@ def test_percentiles_hold_at_size(spark):
         at_rank = sorted(values)[math.ceil(len(values) * percent / 100) - 1]
         assert got[name] == min(b for b in monitoring.LATENCY_BOUNDS if b >= at_rank)
     beyond = monitoring.service_metrics(events.withColumn("d", F.lit(1e9)), "ts", "d", no, no, no, F.lit(1)).first()
-    assert beyond.p50 is None and beyond.n_requests == 66_700
+    assert (beyond.p50, beyond.p99, beyond.n_requests) == (1e9, 1e9, 66_700)
+    none = monitoring.service_metrics(events.withColumn("d", F.lit(None).cast("double")), "ts", "d", no, no, no, F.lit(1)).first()
+    assert none.p50 is None and none.n_requests == 66_700

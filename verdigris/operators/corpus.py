@@ -58,12 +58,15 @@ def group_turns(
 ) -> DataFrame:
     """(key, messages): a table with one row per turn as chat records, turns in order.
 
-    A record is one row, as it is everywhere else; equal numbers are put in order by role and text.
+    A record is one row, as it is everywhere else; equal numbers are put in order by role and text. A
+    turn without a key belongs to no conversation: it is a record of its own, and needs no shuffle.
     """
     in_order = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(role), F.col(text))))
-    return turns.groupBy(key).agg(
+    grouped = turns.filter(F.col(key).isNotNull()).groupBy(key).agg(
         F.transform(in_order, lambda t: F.struct(t[role].alias("role"), t[text].alias("content"))).alias("messages")
     )
+    alone = F.array(F.struct(F.col(role).alias("role"), F.col(text).alias("content"))).alias("messages")
+    return grouped.unionByName(turns.filter(F.col(key).isNull()).select(key, alone))
 
 
 def unpack_messages(df: DataFrame, messages: str = "messages") -> DataFrame:

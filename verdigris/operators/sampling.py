@@ -116,14 +116,16 @@ def ranks_of(
 
 
 def split_train_test(
-    df: DataFrame, test_size: int, seed: int = 42, key: str = "row_id", digits: int = PREFIX_DIGITS
+    df: DataFrame, test_size: int, seed: int = 42, key: str = "row_id", digits: int = PREFIX_DIGITS, strict: bool = False
 ) -> DataFrame:
     """Add ``split``: exactly ``test_size`` rows are ``test``, the others ``train``.
 
+    Keys must be unique: a key that stands twice at the cut would give one row more. ``strict`` fails
+    there, and where there are fewer rows than asked for.
     The split draws with its own seed text, so that it does not repeat the order of the sample.
     """
     salted = df.select(F.concat(F.lit("split|"), F.col(key).cast("string")).alias("_key"))
-    condition = before_cut(salted, "_key", test_size, seed, digits=digits)
+    condition = before_cut(salted, "_key", test_size, seed, strict, digits)
     return (
         df.withColumn("_key", F.concat(F.lit("split|"), F.col(key).cast("string")))
         .withColumn("split", F.when(condition, "test").otherwise("train"))

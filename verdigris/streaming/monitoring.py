@@ -88,14 +88,13 @@ LATENCY_BOUNDS = [
 ] + [10_000.0]
 
 
-def _percentile(counts: Column, n: Column, percent: int, bounds: Sequence[float]) -> Column:
-    """Least bound that ``percent`` of the values do not exceed; null when it lies above all bounds."""
+def _percentile(counts: Column, n: Column, percent: int, bounds: Sequence[float], largest: Column) -> Column:
+    """Least bound that ``percent`` of the values do not exceed, above all bounds the largest value."""
     rank = F.floor((n * percent + 99) / 100)
     enough = F.filter(
         F.arrays_zip(F.lit(list(bounds)).alias("bound"), counts.alias("count")), lambda c: (c["count"] >= rank) & (n > 0)
     )
-    return F.get(enough, F.lit(0))["bound"]
-
+    return F.coalesce(F.get(enough, F.lit(0))["bound"], F.when(n > 0, largest))
 
 
 def service_metrics(
@@ -115,7 +114,8 @@ def service_metrics(
 
     A percentile is the least of ``bounds`` that so many of the latencies do not exceed. That is its
     definition for tables and streams alike, at any size: a window holds one count per bound, however
-    many rows it has. With the default bounds it lies at most a third above the value at that rank.
+    many rows it has. With the default bounds it lies at most a third above the value at that rank. Beyond
+    all bounds it is the largest latency of the window, so it is null only where there is none.
     """
     observed = with_event_time(requests, ts, watermark).select(
         ts, latency, is_error.alias("_error"), is_valid.alias("_valid"),
@@ -124,6 +124,7 @@ def service_metrics(
     totals = observed.groupBy(F.window(ts, per, slide)).agg(
         F.count(F.lit(1)).alias("n_requests"),
         F.count(latency).alias("n_timed"),
+        F.max(F.col(latency).cast("double")).alias("_largest"),
         F.array(*[F.count_if(F.col(latency) <= bound) for bound in bounds]).alias("_latency"),
         F.count_if("_error").alias("n_errors"),
         F.count_if("_valid").alias("n_valid"),
@@ -135,7 +136,7 @@ def service_metrics(
         *_edges(),
         "n_requests",
         *[
-            _percentile(F.col("_latency"), F.col("n_timed"), percent, bounds).alias(name)
+            _percentile(F.col("_latency"), F.col("n_timed"), percent, bounds, F.col("_largest")).alias(name)
             for name, percent in PERCENTILES.items()
         ],
         (F.col("n_errors") / n).alias("error_rate"),

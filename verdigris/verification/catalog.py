@@ -21,7 +21,7 @@ from verdigris.sources import corpus as corpus_files
 from verdigris.sources import requests as request_files
 from verdigris.sources import runs
 from verdigris.sources.storage import scratch_path, stored
-from verdigris.streaming import monitoring
+from verdigris.streaming import admission, attempts, monitoring
 from verdigris.verification.fixtures import generations, pairs
 from verdigris.verification.predictors import schema_reader
 
@@ -576,6 +576,32 @@ def q_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _edges_as_text(limited)
 
 
+def q_admit_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decided = admission.admit_requests(events(spark, sf_dir), "ts", "user_id", "event_id", 3, "1 day")
+    return decided.select("event_id", "user_id", "admitted")
+
+
+def q_stream_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users ask one thing per type of event."""
+    cached = admission.cached_requests(events(spark, sf_dir), "ts", "event_id", ["user_id", "event_type"], "12 hours")
+    return cached.select("event_id", "hit", "answered_by")
+
+
+def q_cache_hit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cached = admission.cached_requests(events(spark, sf_dir), "ts", "event_id", ["user_id", "event_type"], "12 hours")
+    return _edges_as_text(admission.cache_hit_rate(cached, "ts", "1 day"))
+
+
+def q_resolve_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four neighbouring events are the attempts at one request."""
+    text = F.when(F.col("event_type") == "view", "SELECT 1").when(F.col("event_type") == "signup", "select a from t").otherwise("no answer")
+    tried = events(spark, sf_dir).select(
+        F.floor(F.col("event_id") / 4).alias("request_id"), (F.col("event_id") % 4 + 1).alias("attempt"), "ts", text.alias("predicted_sql")
+    )
+    resolved = attempts.resolve_attempts(tried)
+    return resolved.withColumn("retry_at", F.unix_millis("retry_at").cast("string"))
+
+
 def q_generation_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _edges_as_text(
         monitoring.generation_histogram(events(spark, sf_dir), "ts", "value", "1 hour")

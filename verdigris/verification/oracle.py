@@ -418,6 +418,14 @@ BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0,
 
 
 # The same bounds written out: ten to a decade, over seven decades.
+CACHED = """
+WITH followed AS (
+  SELECT *, max(epoch_ms(ts)) OVER (PARTITION BY user_id, event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS used
+  FROM events
+), marked AS (SELECT *, coalesce(epoch_ms(ts) - used <= 12 * 3600 * 1000, false) AS hit FROM followed),
+cached AS (SELECT *, last_value(CASE WHEN NOT hit THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS answered_by FROM marked)
+"""
+
 LATENCIES = "[" + ", ".join(
     f"{mantissa / 10 * 10**power / 1000!r}::DOUBLE" for power in range(7) for mantissa in (10, 12, 16, 20, 25, 32, 40, 50, 63, 80)
 ) + ", 10000.0::DOUBLE]"
@@ -650,6 +658,21 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {as_text('w')} AS window_start, {as_text('w + INTERVAL 1 DAY')} AS window_end, client, n_requests, "
             "n_requests > 3 AS over_limit, greatest(n_requests - 3, 0) AS excess FROM ("
             "SELECT date_trunc('day', ts) AS w, user_id AS client, count(*) AS n_requests FROM events GROUP BY ALL)"),
+        "admit_requests": (
+            "SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY event_id) <= 3 AS admitted FROM events"),
+        "stream_cache": f"{CACHED} SELECT event_id, hit, answered_by FROM cached",
+        "cache_hit_rate": (
+            f"{CACHED} SELECT {as_text('w')} AS window_start, {as_text('w + INTERVAL 1 DAY')} AS window_end, count(*) AS n_requests, "
+            "CAST(count_if(hit) AS BIGINT) AS n_hits, count_if(hit) / count(*) AS hit_rate FROM ("
+            "SELECT date_trunc('day', ts) AS w, hit FROM cached) GROUP BY w"),
+        "resolve_attempts": (
+            "WITH tried AS (SELECT event_id // 4 AS request_id, CAST(event_id % 4 + 1 AS INTEGER) AS attempt, epoch_ms(ts) AS millis, CASE event_type "
+            "WHEN 'view' THEN 'SELECT 1' WHEN 'signup' THEN 'select a from t' ELSE 'no answer' END AS predicted_sql FROM events), "
+            "ends AS (SELECT request_id, min(attempt) FILTER (WHERE predicted_sql <> 'no answer') AS good, max(attempt) AS last, "
+            "arg_min(predicted_sql, attempt) FILTER (WHERE predicted_sql <> 'no answer') AS text FROM tried WHERE attempt <= 3 GROUP BY request_id) "
+            "SELECT request_id, CASE WHEN good IS NULL THEN 'failed' ELSE 'valid' END AS outcome, coalesce(good, last) AS attempt, "
+            "text AS predicted_sql, NULL::VARCHAR AS retry_at FROM ends UNION ALL SELECT request_id, 'retry', attempt, NULL, "
+            "CAST(millis + 500 * (1 << attempt) AS VARCHAR) FROM tried JOIN ends USING (request_id) WHERE attempt < least(3, coalesce(good, 3))"),
         "generation_histogram": (
             f"SELECT {as_text('w')} AS window_start, {as_text('w + INTERVAL 1 HOUR')} AS window_end, count(*) AS n_generations, "
             "CAST(sum(CAST(round(value * 1000000) AS BIGINT)) AS BIGINT) AS duration_micros, "
