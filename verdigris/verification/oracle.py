@@ -420,9 +420,9 @@ BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0,
 # The same bounds written out: ten to a decade, over seven decades.
 CACHED = """
 WITH followed AS (
-  SELECT *, max(epoch_ms(ts)) OVER (PARTITION BY user_id, event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS used
+  SELECT *, max(epoch_us(ts) // 1000) OVER (PARTITION BY user_id, event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS used
   FROM events
-), marked AS (SELECT *, coalesce(epoch_ms(ts) - used <= 12 * 3600 * 1000, false) AS hit FROM followed),
+), marked AS (SELECT *, coalesce((epoch_us(ts) // 1000) - used <= 12 * 3600 * 1000, false) AS hit FROM followed),
 cached AS (SELECT *, last_value(CASE WHEN NOT hit THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS answered_by FROM marked)
 """
 
@@ -666,7 +666,7 @@ def oracle_sql() -> dict[str, str]:
             "CAST(count_if(hit) AS BIGINT) AS n_hits, count_if(hit) / count(*) AS hit_rate FROM ("
             "SELECT date_trunc('day', ts) AS w, hit FROM cached) GROUP BY w"),
         "resolve_attempts": (
-            "WITH tried AS (SELECT event_id // 4 AS request_id, CAST(event_id % 4 + 1 AS INTEGER) AS attempt, epoch_ms(ts) AS millis, CASE event_type "
+            "WITH tried AS (SELECT event_id // 4 AS request_id, CAST(event_id % 4 + 1 AS INTEGER) AS attempt, epoch_us(ts) // 1000 AS millis, CASE event_type "
             "WHEN 'view' THEN 'SELECT 1' WHEN 'signup' THEN 'select a from t' ELSE 'no answer' END AS predicted_sql FROM events), "
             "ends AS (SELECT request_id, min(attempt) FILTER (WHERE predicted_sql <> 'no answer') AS good, max(attempt) AS last, "
             "arg_min(predicted_sql, attempt) FILTER (WHERE predicted_sql <> 'no answer') AS text FROM tried WHERE attempt <= 3 GROUP BY request_id) "
