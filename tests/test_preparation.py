@@ -181,3 +181,13 @@ def test_strict_split_fails_on_repeated_keys(spark):
         sampling.split_train_test(keys, 2, strict=True).collect()
     split = sampling.split_train_test(spark.range(50).select(F.col("id").alias("row_id")), 20, strict=True)
     assert split.filter("split = 'test'").count() == 20
+
+
+def test_draws_with_replacement(spark):
+    rows = spark.range(40).select(F.col("id").alias("row_id"), F.lit("t").alias("draw_text"))
+    draws = {r.draw: r.row_id for r in sampling.draw_with_replacement(rows, 200, 7).collect()}
+    assert set(draws) == set(range(1, 201)) and 30 < len(set(draws.values())) <= 40
+    for other in (rows.repartition(9), rows.orderBy(F.desc("row_id")).coalesce(1)):
+        assert {r.draw: r.row_id for r in sampling.draw_with_replacement(other, 200, 7, digits=1).collect()} == draws
+    assert {r.draw: r.row_id for r in sampling.draw_with_replacement(rows, 200, 8).collect()} != draws
+    assert sampling.draw_with_replacement(rows.limit(0), 5).count() == 0 and sampling.draw_with_replacement(rows.limit(1), 5).count() == 5

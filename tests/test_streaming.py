@@ -101,3 +101,43 @@ def test_percentiles_hold_at_size(spark):
     assert (beyond.p50, beyond.p99, beyond.n_requests) == (1e9, 1e9, 66_700)
     none = monitoring.service_metrics(events.withColumn("d", F.lit(None).cast("double")), "ts", "d", no, no, no, F.lit(1)).first()
     assert none.p50 is None and none.n_requests == 66_700
+
+
+def quantiles(df):
+    return monitoring.latency_quantiles(df, "ts", "value", per="1 day")
+
+
+def test_sketches_of_a_stream_equal_those_of_the_table(spark, sf_dir, tmp_path):
+    """Files come in the order of time, so that no row is late."""
+    path = str(tmp_path / "files")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for first in (1, 9, 17, 25):
+        days = F.dayofmonth("ts").between(first, first + 7)
+        events.filter(days).coalesce(1).write.mode("append").parquet(path)
+    stream_source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    batch = sorted(tuple(r) for r in quantiles(spark.read.parquet(path)).collect())
+    appended = run_stream(spark, quantiles(stream_source), "append", tmp_path, "append_quantiles")
+    assert set(appended) <= set(batch) and len(batch) - 2 <= len(appended) < len(batch)
+
+
+@pytest.mark.parametrize("size", [1, 10, 1_000, 1_000_000])
+def test_the_stated_error_holds_at_every_size(spark, size):
+    """Ranks are exact and values lie within half of the third digit, from 1e-150 to 1e150 and below zero."""
+    values = spark.range(size).select(
+        F.lit("2024-01-01").cast("timestamp").alias("ts"), F.lit("x").alias("_value"),
+        (F.pow(F.lit(10.0), (F.pmod(F.xxhash64("id"), F.lit(3_000)) - 1_500) / 10) * F.when(F.col("id") % 9 == 4, -1).otherwise(1)).alias("value"),
+    )
+    found = quantiles(values).first()
+    ordered = [row.value for row in values.orderBy("value").select("value").collect()]
+    assert found.n_values == size
+    for name, percent in monitoring.PERCENTILES.items():
+        exact = ordered[-(-size * percent // 100) - 1]
+        assert abs(found[name] - exact) <= 0.005001 * abs(exact)
+    with_nothing = values.select("ts", F.when(F.col("value") > 0, F.lit(float("nan"))).alias("value"))
+    assert quantiles(with_nothing).count() == 0
+
+
+def test_sketch_of_zeros_and_infinities(spark):
+    rows = [(0.0,), (-0.0,), (float("inf"),), (float("-inf"),), (5e-324,), (1.7e308,), (None,)]
+    found = quantiles(spark.createDataFrame(rows, "value double").withColumn("ts", F.lit("2024-01-01").cast("timestamp"))).first()
+    assert (found.n_values, found.p50, found.p99) == (6, 0.0, float("inf"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from verdigris.functions.cleaning import extract_sql
 from verdigris.functions.predicates import STRUCTURE_FLAGS, strict_match
 from verdigris.functions.text import md5_key
-from verdigris.operators.sampling import ranks_of
+from verdigris.operators.sampling import draw_with_replacement, ranks_of
 from verdigris.operators.scoring import add_prediction, score
 from verdigris.sources.storage import stored
 
@@ -306,3 +306,11 @@ def random_examples(rows: DataFrame, k: int, seed: int, keys: list[str]) -> Data
     drawn = rows.withColumn("_hash", md5_key(seed, key)).orderBy("_hash").limit(k).drop("_hash")
     match = strict_match(F.col("predicted_sql"), F.col("ground_truth"))
     return add_prediction(drawn).withColumn("strict_match", match)
+
+
+def drawn_examples(rows: DataFrame, k: int, seed: int, keys: list[str]) -> DataFrame:
+    """Rows of k draws with replacement, numbered by ``draw``, with a match flag; see ``draw_with_replacement``."""
+    named = rows.withColumn("_key", F.concat_ws("|", *[F.col(name).cast("string") for name in keys]))
+    drawn = draw_with_replacement(named, k, seed, "_key").drop("_key")
+    match = strict_match(F.col("predicted_sql"), F.col("ground_truth"))
+    return add_prediction(drawn).withColumn("strict_match", match)

@@ -115,6 +115,33 @@ def ranks_of(
     return ranked.join(F.broadcast(few), key).select(key, (F.col("offset") + F.col("_place")).alias("sample_rank"))
 
 
+def draw_with_replacement(
+    df: DataFrame, k: int, seed: int = 42, key: str = "row_id", digits: int = PREFIX_DIGITS
+) -> DataFrame:
+    """The rows of k draws, each from all rows, with ``draw`` from 1 to k; a row drawn twice is there twice.
+
+    A draw is a hash of seed and number mapped to a rank in the seeded order, so it is the same for every
+    partitioning. Ranks are found by the counts of hash buckets; only buckets that are hit are ranked, on
+    the key alone, and the wide rows are filtered once. Keys must be unique and not null. ``k`` is for
+    examples of a report: the k keys are broadcast. An empty table gives no rows.
+    """
+    spark = df.sparkSession
+    hashes = df.select(key, md5_key(seed, F.col(key)).alias("_hash"))
+    offsets = _bucket_offsets(hashes.select("_hash"), digits)
+    n = df.agg(F.count(key)).scalar()
+    hashed = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|draw|"), F.col("draw").cast("string"))), 1, 13), 16, 10)
+    # 13 hex digits are a number below 2^52: scaled to the number of rows in whole numbers.
+    ranks = spark.range(1, k + 1).select(F.col("id").alias("draw")).select(
+        "draw", hashed.cast("decimal(38,0)").alias("_level"), n.cast("decimal(20,0)").alias("_n")
+    ).select("draw", F.expr(f"_level * _n div {1 << 52} + 1").alias("_rank"))
+    within = (F.col("_rank") > F.col("offset")) & (F.col("_rank") <= F.col("offset") + F.col("n_in_bucket"))
+    wanted = F.broadcast(ranks).join(offsets, within).select("draw", "bucket", (F.col("_rank") - F.col("offset")).alias("_place"))
+    near = hashes.withColumn("bucket", F.substring("_hash", 1, digits)).join(F.broadcast(wanted.select("bucket").distinct()), "bucket")
+    placed = near.withColumn("_place", F.row_number().over(Window.partitionBy("bucket").orderBy("_hash")).cast("long"))
+    drawn = placed.join(F.broadcast(wanted), ["bucket", "_place"]).select(key, "draw")
+    return df.join(F.broadcast(drawn), key)
+
+
 def split_train_test(
     df: DataFrame, test_size: int, seed: int = 42, key: str = "row_id", digits: int = PREFIX_DIGITS, strict: bool = False
 ) -> DataFrame:

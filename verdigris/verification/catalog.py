@@ -11,7 +11,7 @@ from verdigris.functions import forms
 from verdigris.functions import predicates as P
 from verdigris.functions import rendering as R
 from verdigris.functions.cleaning import cut_at_role_word, extract_sql, generation_stop, stop_markers
-from verdigris.operators import corpus, markers, packing, reporting, requests, sampling
+from verdigris.operators import batching, corpus, markers, packing, reporting, requests, sampling
 from verdigris.operators import rendering as texts
 from verdigris.operators.scoring import add_prediction, score
 from verdigris.plans import evaluation
@@ -204,6 +204,11 @@ def q_random_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("row_id", "model_id", "predicted_sql", "ground_truth", "strict_match")
 
 
+def q_drawn_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = reporting.drawn_examples(generations(spark, sf_dir), 20, SEED, ["row_id", "model_id"])
+    return drawn.select("draw", "row_id", "model_id", "predicted_sql", "ground_truth", "strict_match")
+
+
 def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored rows of the evaluation sample, both written so that neither is made twice."""
     sample = stored(evaluation.evaluation_sample(records(spark, sf_dir), EVAL_ROWS, SEED), "sample")
@@ -273,6 +278,18 @@ def q_render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.evaluation_prompts(unpacked).select("row_id", "prompt")
 
 
+def q_batches_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as prompts: their lengths differ most."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    batched = batching.batches_by_length(documents, "doc_id", "text")
+    return batched.select("doc_id", "n_tokens", *batching.BATCH)
+
+
+def q_padding_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return batching.padding_report(batching.batches_by_length(documents, "doc_id", "text"))
+
+
 def q_render_inference_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     question, context = F.col("question"), F.col("context")
     return pairs(spark, sf_dir).select(
@@ -621,6 +638,10 @@ def q_service_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _edges_as_text(metrics)
 
 
+def q_latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _edges_as_text(monitoring.latency_quantiles(events(spark, sf_dir), "ts", "value", per="1 day", slide="12 hours"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         name.removeprefix("q_"): query for name, query in globals().items() if name.startswith("q_")

@@ -418,6 +418,13 @@ BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0,
 
 
 # The same bounds written out: ten to a decade, over seven decades.
+BATCHES = f"""
+WITH counted AS (SELECT doc_id, ({TOKENS})::INTEGER AS n_tokens FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+stepped AS (SELECT *, greatest(n_tokens, 1)::BIGINT AS n, 1::BIGINT << greatest(length(bin(greatest(n_tokens, 1))) - 4, 0) AS step FROM counted),
+classed AS (SELECT doc_id, n_tokens, (n + step - 1) // step * step AS length_class, 0::BIGINT AS salt FROM stepped),
+batched AS (SELECT *, (row_number() OVER (PARTITION BY length_class ORDER BY n_tokens, doc_id) - 1) // greatest(4096 // length_class, 1) AS batch FROM classed)
+"""
+
 CACHED = """
 WITH followed AS (
   SELECT *, max(epoch_us(ts) // 1000) OVER (PARTITION BY user_id, event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS used
@@ -514,6 +521,21 @@ def oracle_sql() -> dict[str, str]:
         "random_examples": with_ctes(
             f"SELECT {keyed}, predicted_sql, ground_truth, strict_match FROM scored "
             "ORDER BY md5(concat('42|', row_id, '|', model_id)) LIMIT 3", "scored"),
+        "drawn_examples": with_ctes(
+            "", "scored").rstrip() + ", ordered AS (SELECT *, row_number() OVER (ORDER BY md5(concat('42|', row_id, '|', model_id))) AS place FROM scored), "
+            "draws AS (SELECT range AS draw, ('0x' || substr(md5('42|draw|' || range), 1, 13))::BIGINT::HUGEINT AS level FROM range(1, 21)) "
+            "SELECT draw, row_id, model_id, predicted_sql, ground_truth, strict_match FROM draws "
+            "JOIN ordered ON place = level * (SELECT count(*) FROM scored) // 4503599627370496 + 1",
+        "batches_by_length": BATCHES + " SELECT doc_id, n_tokens, length_class, salt, batch FROM batched",
+        "padding_report": (
+            BATCHES + " SELECT count(*) AS n_batches, sum(n)::BIGINT AS n_prompts, sum(t)::BIGINT AS n_tokens, sum(n * m)::BIGINT AS padded_tokens, "
+            "(sum(n * m) - sum(t)) / sum(n * m) AS padding_share FROM (SELECT count(*) AS n, sum(n_tokens) AS t, max(n_tokens) AS m FROM batched "
+            "GROUP BY length_class, salt, batch)"),
+        "latency_quantiles": (
+            f"SELECT {as_text('window_start')} AS window_start, {as_text('window_start + INTERVAL 1 DAY')} AS window_end, count(*) AS n_values, "
+            + ", ".join(f"quantile_disc(CASE WHEN value = 0 THEN 0 ELSE floor(abs(value) / u + 0.5) * u * sign(value) END, {p}) AS {name}"
+                        for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)))
+            + f" FROM (SELECT *, pow(10.0::DOUBLE, floor(log10(nullif(abs(value), 0))) - 2) AS u FROM ({_windows('12')})) GROUP BY window_start"),
         "evaluate_models": with_ctes(
             _summary("(SELECT s.* FROM scored s JOIN ranked USING (row_id) WHERE sample_rank <= 1000)", "model_id"),
             "scored", "ranked"),
