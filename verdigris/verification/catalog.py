@@ -11,6 +11,7 @@ from verdigris.functions import forms
 from verdigris.functions import predicates as P
 from verdigris.functions import rendering as R
 from verdigris.functions.cleaning import cut_at_role_word, extract_sql, generation_stop, stop_markers
+from verdigris.functions.templates import TextTemplate
 from verdigris.operators import batching, corpus, markers, packing, reporting, requests, sampling
 from verdigris.operators import rendering as texts
 from verdigris.operators.scoring import add_prediction, score
@@ -273,6 +274,31 @@ def q_render_training_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Templates as a tokenizer might carry them.
+CHATML_TEXT = (
+    "{% for message in messages %}{{'<|im_start|>' + message['role'] + '\\n' + message['content'] + '<|im_end|>' + '\\n'}}{% endfor %}"
+    "{% if add_generation_prompt %}{{ '<|im_start|>assistant\\n' }}{% endif %}"
+)
+INSTRUCT_TEXT = """{{- bos_token -}}
+{% for message in messages %}
+{% if message['role'] == 'user' %}
+{{- '[INST] ' + message['content'] | trim + ' [/INST]' -}}
+{% elif loop.last %}
+{{- ' ' + message['content'] + eos_token -}}
+{% else %}
+{{- message['content'] | upper }}
+{% endif %}
+{% endfor %}"""
+
+
+def q_render_given_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = F.col("messages")
+    return records(spark, sf_dir).select(
+        "row_id", TextTemplate(CHATML_TEXT).render(messages, add_generation_prompt=True).alias("chatml"),
+        TextTemplate(INSTRUCT_TEXT, "<s>", "</s>").render(messages).alias("instruct"),
+    )
+
+
 def q_render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     unpacked = corpus.unpack_messages(records(spark, sf_dir))
     return texts.evaluation_prompts(unpacked).select("row_id", "prompt")

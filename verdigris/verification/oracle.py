@@ -557,6 +557,10 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT row_id, {chatml(THREE)} AS chatml, '<|begin_of_text|>' || "
             + chat("<|start_header_id|>", "<|end_header_id|>\n\n", "<|eot_id|>", THREE)
             + " AS headers FROM records", "records"),
+        "render_given_templates": with_ctes(
+            f"SELECT row_id, {chatml(THREE)} || {OPEN_REPLY} AS chatml, "
+            f"'<s>' || upper(system) || '\n' || '[INST] ' || {strip('question')} || ' [/INST]' || ' ' || ground_truth || '</s>' AS instruct FROM records",
+            "records"),
         "render_prompt": with_ctes(
             f"SELECT row_id, {chatml(THREE[:2])} || {OPEN_REPLY} AS prompt FROM records", "records"),
         "render_inference_prompt": with_ctes(
