@@ -47,3 +47,15 @@ def test_pairs_of_conversations(spark):
 def test_empty_table(spark):
     table = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_preferences(chat.weakened_pairs(chat.gather_turns(table)), ["conv_id"]).count() == 0
+
+
+def test_turns_without_a_key(spark):
+    """A third of the turns has no key: each is a conversation of its own; very long turns and clashing columns pass."""
+    long = "word " * 200_000
+    turns = [(None if n % 3 == 0 else n % 5, n, "assistant" if n % 2 else "user", long if n == 7 else f"t{n}", "x") for n in range(300)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, turns string")
+    found = chat.gather_turns(table).collect()
+    assert sorted(len(row.turns) for row in found if row.conv_id is None) == [1] * 100
+    assert sum(len(row.turns) for row in found) == 300 and len(found) == 105
+    usable = chat.format_preferences(chat.weakened_pairs(chat.gather_turns(table)), ["conv_id"]).filter("usable").count()
+    assert usable == 5 + 50

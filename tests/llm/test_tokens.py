@@ -122,6 +122,24 @@ def test_packing(make_docs, odd_rows, per_task, monkeypatch):
     assert used <= 1.15 * sum(p.length for p in pieces) / 64 + 2
 
 
+@pytest.mark.parametrize("per_task", [2, 7, 40])
+def test_many_tasks_pack_as_well_as_one(spark, per_task, monkeypatch):
+    """The end does not depend on the number of tasks: no two bins that would fit together are left at any size."""
+    monkeypatch.setattr(packing, "ITEMS_PER_TASK", per_task)
+    pick = random.Random(per_task)
+    lengths = [pick.choice([60, 61, 62, 63, 70, 95, 3, 20, 35]) for _ in range(300)] + [55] * 200
+    rows = spark.createDataFrame([(n, 0, 0, length, 0) for n, length in enumerate(lengths)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    found = packing.pack(rows, 100).collect()
+    assert sorted(p.doc_id for p in found) == list(range(500))
+    fills = {}
+    for piece in found:
+        fills[piece.sequence_id] = fills.get(piece.sequence_id, 0) + piece.length
+    ordered = sorted(fills.values())
+    assert ordered[-1] <= 100 and ordered[0] + ordered[1] > 100
+    one_task = len(packing.best_fit(lengths, 100))
+    assert len(fills) <= one_task * 1.05 + 1
+
+
 def test_packing_of_nothing(make_docs):
     assert packing.pack(packing.token_pieces(make_docs([]), BYTE, 0, 64).withColumnRenamed("id", "doc_id"), 64).count() == 0
 

@@ -105,13 +105,15 @@ def gather_turns(turns: DataFrame, key_col: str = "conv_id") -> DataFrame:
     """(key, turns): the turns of each conversation in order, one row per conversation.
 
     Ties in the turn number are put in order by role and text. A conversation is a record and held in
-    one row; a null key gathers the turns that have none.
+    one row. A turn without a key belongs to none: it is a conversation of its own, and needs no shuffle.
     """
     turn = F.struct("turn", "role", "text")
     ordered = F.array_sort(F.collect_list(turn))
-    return turns.groupBy(key_col).agg(
+    gathered = turns.filter(F.col(key_col).isNotNull()).groupBy(key_col).agg(
         F.transform(ordered, lambda each: F.struct(each["role"].alias("role"), each["text"].alias("text"))).alias("turns")
     )
+    alone = F.array(F.struct("role", "text")).alias("turns")
+    return gathered.unionByName(turns.filter(F.col(key_col).isNull()).select(key_col, alone))
 
 
 def weakened_pairs(conversations: DataFrame, key_col: str = "conv_id", role: str = "assistant") -> DataFrame:

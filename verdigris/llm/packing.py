@@ -1,8 +1,8 @@
 """Best-fit packing in rounds: local best fit, full bins out, underfull bins merged as items.
 
 Partitions pack their items by best fit, largest first. Bins that are nearly full leave at once. The
-others travel on as single items to fewer partitions, where they are packed together, until one
-partition is left or a round no longer helps. Only (id, piece, length) travel, never the tokens.
+others travel on as single items to fewer partitions, where they are packed together, as long as the
+smallest of them fits into any other. Only (id, piece, length) travel, never the tokens.
 """
 
 from __future__ import annotations
@@ -117,7 +117,8 @@ def _round(items: DataFrame, number: int, tasks: int, capacity: int, last: bool)
             ["done", "bin", "length", "members", "places"],
         )
 
-    dealt = items.select(F.xxhash64("members").alias("key"), "length", "members").repartition(tasks, "key")
+    # Each round deals anew, so that bins meet others than before.
+    dealt = items.select(F.xxhash64("members", F.lit(number)).alias("key"), "length", "members").repartition(tasks, "key")
     schema = f"done boolean, bin long, length long, members {member_type.simpleString()}, places array<long>"
     return dealt.mapInArrow(run, schema)
 
@@ -141,13 +142,21 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
         tasks = -(-waiting // ITEMS_PER_TASK)
         bins = stored(_round(items, number, tasks, capacity, tasks == 1), "pack-bins")
         finished.append(bins.filter("done"))
-        items = bins.filter("NOT done").select("length", "members")
-        left = items.count()
-        if left and left > 0.98 * waiting:
-            # Packing again in as many tasks would change little: what is left leaves as it is.
-            finished.append(bins.filter("NOT done"))
-            left = 0
-        waiting, number = left, number + 1
+        held = bins.filter("NOT done")
+        left, least = held.agg(F.count("*"), F.min("length")).first()
+        # A bin goes on while the smallest one fits in; so the end is the same at every size.
+        fits = held.filter(F.col("length") <= capacity - (least or 0))
+        finished.append(held.filter(F.col("length") > capacity - (least or 0)))
+        if left == waiting and tasks > 1:
+            # No task could merge anything, so each had one bin of half or less at most. These go on, with as many
+            # of the next larger ones: whoever of them fits into any bin fits into one of those.
+            small = fits.filter(2 * F.col("length") <= capacity)
+            large = fits.filter(2 * F.col("length") > capacity)
+            taken = stored(large.orderBy("length", "bin").limit(small.count()), "pack-taken")
+            finished.append(large.join(taken.select("bin"), "bin", "left_anti").select(*bins.columns))
+            fits = small.unionByName(taken)
+        items = fits.select("length", "members")
+        waiting, number = items.count(), number + 1
     placed = [
         whole.select(*pieces.columns, F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     ]

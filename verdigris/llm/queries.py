@@ -124,7 +124,8 @@ _LOSS = "list_sum([0] || [length(coalesce(t.text, '')) + 8 for t in {} if t.role
 
 OP6_SQL = f"""
 WITH gathered AS (
-  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn, role, text) AS turns FROM conversations GROUP BY conv_id
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn, role, text) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+  UNION ALL SELECT conv_id, [{{'role': role, 'text': text}}] FROM conversations WHERE conv_id IS NULL
 ), replies AS (
   SELECT *, [i for i in range(1, len(turns) + 1) if turns[i].role = 'assistant'] AS spots FROM gathered
 ), chosen AS (
