@@ -133,9 +133,11 @@ def draw_with_replacement(
     # 13 hex digits are a number below 2^52: scaled to the number of rows in whole numbers.
     ranks = spark.range(1, k + 1).select(F.col("id").alias("draw")).select(
         "draw", hashed.cast("decimal(38,0)").alias("_level"), n.cast("decimal(20,0)").alias("_n")
-    ).select("draw", F.expr(f"_level * _n div {1 << 52} + 1").alias("_rank"))
-    within = (F.col("_rank") > F.col("offset")) & (F.col("_rank") <= F.col("offset") + F.col("n_in_bucket"))
-    wanted = F.broadcast(ranks).join(offsets, within).select("draw", "bucket", (F.col("_rank") - F.col("offset")).alias("_place"))
+    ).select("draw", F.expr(f"_level * _n div {1 << 52}").alias("at"))
+    # The buckets in order as one array, 65,536 at most; a draw belongs to the last one that starts before it.
+    buckets = offsets.agg(F.array_sort(F.collect_list(F.struct("offset", "bucket")))).scalar()
+    own = ranks.withColumn("_buckets", buckets).withColumn("own", F.get(F.reverse(F.filter("_buckets", lambda each: each["offset"] <= F.col("at"))), F.lit(0)))
+    wanted = own.filter("own IS NOT NULL").select("draw", "own.bucket", (F.col("at") - F.col("own.offset") + 1).alias("_place"))
     near = hashes.withColumn("bucket", F.substring("_hash", 1, digits)).join(F.broadcast(wanted.select("bucket").distinct()), "bucket")
     placed = near.withColumn("_place", F.row_number().over(Window.partitionBy("bucket").orderBy("_hash")).cast("long"))
     drawn = placed.join(F.broadcast(wanted), ["bucket", "_place"]).select(key, "draw")
