@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from verdigris.llm import packing, token_counts, token_files, tokens
@@ -93,6 +94,40 @@ def test_token_files_of_nothing_and_of_null_ids(spark, make_docs):
         assert sorted(str(r.doc_id) for r in found) == sorted(str(r[0]) for r in rows)
 
 
+@pytest.mark.parametrize("bits", [16, 17])
+def test_reading_anywhere(spark, make_docs, odd_rows, bits, monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 50)
+    monkeypatch.setattr(token_files, "vocabulary_size", lambda vocabulary: (1 << bits) - 5)
+    rows = [row for row in odd_rows if row[0] is not None]
+    path = scratch_path(spark, "tokens")
+    token_files.write_token_files(make_docs(rows, clashing=True), path, WORD, 2)
+    blocks = spark.read.parquet(path)
+    assert {row.bits for row in blocks.select("bits").collect()} == {bits}
+    read = {(r.start, r.n_tokens): r.doc_id for r in token_files.read_token_files(blocks).collect()}
+    texts = dict(zip([row[0] for row in rows], library_ids(WORD, [row[1] for row in rows])))
+    whole = [each for start, n in sorted(read) for each in texts[read[start, n]] + [2]]
+    for first, count in [(0, 3), (4, 1), (1, 70), (len(whole) - 2, 9), (len(whole), 5), (0, len(whole)), (60, 0)]:
+        parts = sorted((r.start, np.frombuffer(r.ids, "<u4").tolist()) for r in token_files.read_id_range(blocks, first, count).collect())
+        assert [each for _, ids in parts for each in ids] == whole[first : first + count]
+        assert not parts or parts[0][0] == first
+    wanted = spark.createDataFrame([(5,), (6,), (6,), (1,), (77,), (None,)], "doc_id long")
+    found = sorted((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in token_files.read_documents(blocks, wanted).collect())
+    assert found == sorted((n, texts[n] + [2]) for n in (1, 5, 5, 6))
+
+
+def test_null_and_repeated_ids_spread(spark, make_docs):
+    """A third of the rows has no id, a third has one id: no shard holds them all."""
+    path = scratch_path(spark, "tokens")
+    docs = make_docs([(None if n % 3 == 0 else 7 if n % 3 == 1 else n, f"text {n}") for n in range(3_000)])
+    token_files.write_token_files(docs, path, WORD, 2)
+    blocks = spark.read.parquet(path)
+    sizes = [row.n for row in blocks.groupBy("shard").agg(F.sum(F.size("doc_ids")).alias("n")).collect()]
+    assert sum(sizes) == 3_000 and max(sizes) < 1_200 and len(sizes) == 4
+    starts = sorted((r.start, r.n_tokens, r.doc_id if r.doc_id is not None else -1) for r in token_files.read_token_files(blocks).collect())
+    assert [n for *_, n in starts] == sorted(n for *_, n in starts)
+    assert all(a[0] + a[1] == b[0] for a, b in zip(starts, starts[1:]))
+
+
 def check_packing(rows, pieces, capacity):
     ids = {}
     for row, found in zip(rows, library_ids(BYTE, [r[1] for r in rows])):

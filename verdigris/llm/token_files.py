@@ -72,8 +72,8 @@ def write_token_files(
     """Encode every text, append ``end_id``, and write the blocks to ``path`` in ascending id order.
 
     Null text counts as empty: the end id alone. A null id comes first; rows with equal ids stand
-    next to each other in no fixed order. An empty table gives an empty file set. The ranges are cut
-    on ids alone, so no key gathers in one task, and a task holds one block at a time.
+    next to each other in the order of their texts' hashes. An empty table gives an empty file set. Ranges
+    are cut on id and hash, so that null or repeated ids spread, and a task holds one block at a time.
     """
     spark = docs.sparkSession
     vocabulary = read_vocabulary(vocabulary_path)
@@ -115,15 +115,70 @@ def write_token_files(
         if ids:
             yield close()
 
+    order = F.col("id"), F.xxhash64("text")
     ordered = (
         docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-        .repartitionByRange(shuffle_partitions(spark), "id")
-        .sortWithinPartitions("id")
+        .repartitionByRange(shuffle_partitions(spark), *order)
+        .sortWithinPartitions(*order)
     )
     blocks = ordered.mapInArrow(run, _BLOCKS.format(kind=kind.simpleString()))
     blocks.withColumn("shard", F.spark_partition_id()).write.parquet(path)
 
 
+def _shard_offsets(blocks: DataFrame) -> DataFrame:
+    """(shard, offset): ids of all shards before. One row per shard: as many as the partitions that wrote the files."""
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
+    return shards.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("offset"))
+
+
+def read_id_range(blocks: DataFrame, first: int, count: int) -> DataFrame:
+    """(start, ids) per block that holds some of the ``count`` ids from number ``first`` on, counted over all files.
+
+    ``ids`` are little-endian unsigned 32-bit integers, those asked for only, ``start`` the number of the first of
+    them. Payloads of other blocks are not unpacked, nor is the rest of a block. Numbers beyond the end give nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 8):
+            rows = []
+            for row in batch.to_pylist():
+                low, high = max(first - row["start"], 0), min(first + count - row["start"], row["n_ids"])
+                rows.append((row["start"] + low, unpack(row["payload"], row["bits"], high - low, low).astype("<u4").tobytes()))
+            starts, ids = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int64()), pa.array(ids, pa.binary())], ["start", "ids"])
+
+    placed = blocks.join(F.broadcast(_shard_offsets(blocks)), "shard").withColumn("start", F.col("first_token") + F.col("offset"))
+    touched = placed.filter((F.col("start") < first + count) & (F.col("start") + F.col("n_ids") > first))
+    return touched.select("start", "n_ids", "bits", "payload").mapInArrow(run, "start long, ids binary")
+
+
+def read_documents(blocks: DataFrame, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, ids) of the documents whose ids ``wanted`` has, each unpacked alone.
+
+    The block offsets say where a document lies; only blocks that hold a wanted one give their payload. An id that
+    several documents have gives all of them; null ids and ids that no document has give nothing.
+    """
+    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 8):
+            for row in batch.to_pylist():
+                ids = [unpack(row["payload"], row["bits"], s["high"] - s["low"], s["low"]).astype("<u4").tobytes() for s in row["spots"]]
+                found = pa.array([s["id"] for s in row["spots"]], batch.schema.field("spots").type.value_type.field("id").type)
+                yield pa.RecordBatch.from_arrays([found, pa.array(ids, pa.binary())], ["id", "ids"])
+
+    ends = F.concat(F.slice("doc_starts", F.lit(2), F.size("doc_starts")), F.array("n_ids"))
+    spots = blocks.select(
+        "shard", "block", F.inline(F.arrays_zip(F.col("doc_ids").alias("id"), F.col("doc_starts").alias("low"), ends.alias("high")))
+    )
+    spots = spots.join(wanted.select(F.col(id_col).alias("id")), "id", "left_semi")
+    # A block's documents at most.
+    gathered = spots.groupBy("shard", "block").agg(F.collect_list(F.struct("id", "low", "high")).alias("spots"))
+    held = gathered.join(blocks.select("shard", "block", "bits", "payload"), ["shard", "block"]).select("spots", "bits", "payload")
+    return held.mapInArrow(run, f"id {kind}, ids binary").withColumnRenamed("id", id_col)
+
+
 def read_token_files(blocks: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) per document, unpacked from the blocks.
 
@@ -149,10 +204,6 @@ def read_token_files(blocks: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["shard", "id", "start", "n_tokens", "ids_crc32"])
 
     documents = blocks.mapInArrow(run, f"shard int, id {kind}, start long, n_tokens long, ids_crc32 long")
-    # One row per shard: as many as the partitions that wrote the files.
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
-    offsets = shards.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("offset"))
-    return documents.join(F.broadcast(offsets), "shard").select(
+    return documents.join(F.broadcast(_shard_offsets(blocks)), "shard").select(
         F.col("id").alias(id_col), (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
     )
