@@ -9,13 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 SHARED = "spark.checkpoint.dir"
 
 
+def shared_folder(master: str, named: str | None, warehouse: str) -> str:
+    """The folder that the cluster names, else the warehouse.
+
+    A warehouse on a machine's own disk is shared only where driver and executors are one process; elsewhere
+    each executor would write to a disk that the others do not see, so that is an error.
+    """
+    if named:
+        return named
+    on_disk = warehouse.startswith(("file:", "/")) or "://" not in warehouse
+    if on_disk and not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set {SHARED} to a folder that all executors share: the warehouse {warehouse} is local")
+    return f"{warehouse.rstrip('/')}/_scratch"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table, under ``spark.checkpoint.dir``.
+    """A fresh path for a written table, under ``spark.checkpoint.dir``; see ``shared_folder`` where it is unset.
 
-    A session that does not name the folder uses its warehouse, which executors share as well.
+    Nothing under it is read by a later run, so the folder may be emptied between runs.
     """
-    shared = spark.conf.get(SHARED, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    conf = spark.conf
+    folder = shared_folder(conf.get("spark.master", "local"), conf.get(SHARED, None), conf.get("spark.sql.warehouse.dir"))
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
