@@ -28,8 +28,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     Nothing under it is read by a later run, so the folder may be emptied between runs.
     """
-    conf = spark.conf
-    folder = shared_folder(conf.get("spark.master", "local"), conf.get(SHARED, None), conf.get("spark.sql.warehouse.dir"))
+    # A session without a context of its own runs elsewhere and cannot be asked; it is taken at its word.
+    context = getattr(spark, "sparkContext", None)
+    named, warehouse = spark.conf.get(SHARED, None), spark.conf.get("spark.sql.warehouse.dir")
+    folder = shared_folder(context.master if context else "local", named, warehouse)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
