@@ -3,13 +3,14 @@
 Sets of word n-grams that share enough must share several of their rarest (the prefix filter), so an
 index lists, by n-gram, the sets that have it in their prefix. Two relations skip most of the work:
 
-* Index level: a set with too few listed n-grams that others have leaves the index at once; lists are
-  cut into blocks by set size and blocks too far apart are never joined; a pair must meet in several
-  lists, and is dropped when its positions in the prefixes leave too little to share.
-* Answer level: sets highly similar to a leader form a star around it, and answers of the leader give
-  those of its members. The distance 1 - Jaccard obeys the triangle inequality, so a leader too far
-  from another leader rules out all pairs of their members at once. Only stars that this leaves open
-  are compared, first member with leader, then the pairs that the distances found still allow.
+* Index level: a set with too few listed n-grams that others have leaves the index at once; places so
+  late in a prefix that too little is left to share are not listed; lists are cut into blocks by set
+  size, and blocks too far apart are never joined; two entries of a list meet only when what follows
+  their places in both sets is enough to link.
+* Answer level: sets highly similar to a leader form a star around it, and links found so far make
+  components. A list within one component is skipped, and stars of one component never meet. Leaders
+  are compared; from their distance and the members' own, by the triangle inequality of 1 - Jaccard,
+  follows which members of two stars may still link, and only those are looked up again.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdigris.llm.common import SLICE, shuffle_partitions, slices, text_of, worker_cache
@@ -41,6 +42,9 @@ BROADCAST_SETS = 500_000
 # Words remembered by a worker, and leaders that a set is compared with while stars are formed.
 REMEMBERED = 500_000
 LEADERS = 32
+# Sets of one n-gram that form stars in one task, and central sets that every such task sees first.
+DEALT = 256
+HUBS = 4
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
@@ -96,6 +100,19 @@ def _meetings(size: Column, percent: int, steps: int) -> Column:
     return F.greatest(F.least(wanted, F.ceil(smallest * percent / 100)), F.lit(1))
 
 
+def _counted(size: Column, percent: int) -> Column:
+    """Meetings to wait for before a pair is compared: few enough that the bound on places stays tight.
+
+    The i-th n-gram that two sets share leaves i fewer to share, so waiting loosens the bound by as much.
+    """
+    return F.greatest(F.lit(1), F.least(_meetings(size, percent, 0), F.lit(1) + F.floor(size / 100)))
+
+
+def _enough_left(left: Column, size: Column, other: Column, waits: Column, percent: int) -> Column:
+    """Whether ``left`` n-grams, from a shared one on, are enough for one of the first meetings of a link."""
+    return (100 + percent) * (left + waits - 1) >= percent * (size + other)
+
+
 def _common_shingles(docs: DataFrame, size: int) -> DataFrame:
     """(token, count) of n-grams found often within a chunk of a task, summed over all of them."""
 
@@ -162,7 +179,7 @@ def _described(docs: DataFrame, common, size: int, percent: int, kind: str) -> D
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(first, set_id, n, tokens) of the wanted (set_id, rep, first), read again from the texts.
+    """(set_id, n, tokens) of the wanted (set_id, rep), read again from the texts.
 
     Where ids are repeated a set may come more than once.
     """
@@ -171,16 +188,16 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, SLICE):
-            found = [shingles(text, size) for text in batch.column(2).to_pylist()]
+            found = [shingles(text, size) for text in batch.column(1).to_pylist()]
             numbers = pa.array([_set_number(tokens) if len(tokens) else None for tokens in found], pa.int64())
-            columns = [batch.column(0), batch.column(1), numbers, pa.array(map(len, found), pa.int64())]
+            columns = [batch.column(0), numbers, pa.array(map(len, found), pa.int64())]
             columns.append(pa.array([tokens.tobytes() for tokens in found], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, ["first", "set_id", "found", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays(columns, ["set_id", "found", "n", "tokens"])
 
-    joined = docs.join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("first", "set_id", "text")
+    joined = docs.join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("set_id", "text")
     # A repeated id may stand for several texts; the one that is meant has the set's number.
-    read = joined.mapInArrow(run, "first long, set_id long, found long, n long, tokens binary")
-    return read.filter("found = set_id").select("first", "set_id", "n", "tokens")
+    read = joined.mapInArrow(run, "set_id long, found long, n long, tokens binary")
+    return read.filter("found = set_id").select("set_id", "n", "tokens")
 
 
 def _links(shared: int, a: int, b: int, percent: int) -> bool:
@@ -191,27 +208,45 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
 
 
-def _stars(sets: DataFrame, percent: int) -> DataFrame:
+def _dealt(places: DataFrame) -> DataFrame:
+    """(set_id, key, chunk, hub, weight): sets of one key in chunks of about ``DEALT``.
+
+    The central sets of a key that has several chunks, those whose n-grams are found most often, stand in
+    each of its chunks.
+    """
+    many = places.groupBy("key").agg(F.ceil(F.count("*") / DEALT).alias("chunks")).filter("chunks > 1")
+    best = Window.partitionBy("key").orderBy(F.desc("weight"), "set_id")
+    hubs = places.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= HUBS).join(many, "key")
+    hubs = stored(hubs.select("set_id", "key", "weight", "chunks"), "jaccard-hubs")
+    others = places.join(hubs.select("set_id", "key"), ["set_id", "key"], "left_anti").join(many, "key", "left").select(
+        "set_id", "key", F.coalesce(F.pmod(F.xxhash64("set_id"), "chunks"), F.lit(0)).alias("chunk"), F.lit(0).alias("hub"), "weight"
+    )
+    spread = hubs.select("set_id", "key", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("hub"), "weight")
+    return others.unionByName(spread)
+
+
+def _stars(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(set_id, leader, distance): a verified link of each member with the leader of its star.
 
-    Sets come sorted by their first shared n-gram and size. Each is compared with the latest leaders of
-    that n-gram and joins the first that it links with, or becomes one itself. What this misses is found
-    later; it only has to gather most of a group cheaply. The ranges cut a hot n-gram into many tasks.
+    Sets of a chunk come central ones first. Each is compared with the latest leaders and joins the first
+    that it links with, or becomes one itself. What this misses is found later; it only has to gather
+    most of a group cheaply. A set that lies between many, as the text that they are copies of does,
+    comes before them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, last, leaders = None, None, []
         for batch in slices(batches, 64):
             rows: list[tuple[int, int, float]] = []
-            columns = [batch.column(k).to_pylist() for k in range(4)]
-            for first, number, count, raw in zip(*columns):
+            columns = [batch.column(k).to_pylist() for k in range(5)]
+            for first, chunk, number, count, raw in zip(*columns):
+                if (first, chunk) != key:
+                    key, last, leaders = (first, chunk), None, []
                 if number == last:  # the same set again
                     continue
                 tokens, last = np.frombuffer(raw, np.uint64), number
-                if first != key:
-                    key, leaders = first, []
                 for place, (leader, other) in enumerate(leaders):
-                    if 100 * len(other) < percent * count:
+                    if 100 * min(len(other), count) < percent * max(len(other), count):
                         continue
                     both = _shared(tokens, other)
                     if _links(both, count, len(other), percent):
@@ -228,8 +263,11 @@ def _stars(sets: DataFrame, percent: int) -> DataFrame:
             )
 
     parts = shuffle_partitions(sets.sparkSession)
-    dealt = sets.repartitionByRange(parts, "first", "n", "set_id").sortWithinPartitions("first", "n", "set_id")
-    return dealt.select("first", "set_id", "n", "tokens").mapInArrow(run, "set_id long, leader long, distance double")
+    dealt = _dealt(places).join(sets, "set_id").repartition(parts, "key", "chunk")
+    dealt = dealt.sortWithinPartitions("key", "chunk", F.desc("hub"), F.desc("weight"), "set_id")
+    found = dealt.select("key", "chunk", "set_id", "n", "tokens").mapInArrow(run, "set_id long, leader long, distance double")
+    # Hubs meet each other in every chunk, with the same end.
+    return found.distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -252,73 +290,63 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, distance double, linked boolean")
 
 
-def _open_stars(compared: DataFrame, stars: DataFrame, threshold: float) -> DataFrame:
-    """Leader pairs that do not link and are not far enough apart to rule out their members."""
-    reach = stars.groupBy("leader").agg(F.max("distance").alias("reach"))
-    a, b = reach.toDF("a", "reach_a"), reach.toDF("b", "reach_b")
-    near = F.col("distance") <= threshold + F.col("reach_a") + F.col("reach_b")
-    return compared.filter("NOT linked").join(a, "a").join(b, "b").filter(near & (F.col("reach_a") + F.col("reach_b") > 0))
-
-
 def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     """(node, component) after more links; known components are stars already, so few rounds are left."""
     return components(label.toDF("a", "b").unionByName(links))
 
 
-def _member_links(open_: DataFrame, stars: DataFrame, index: DataFrame, sets: DataFrame, percent: int, label: DataFrame) -> DataFrame:
-    """(a, b) links between members of stars whose leaders do not link; ``label`` has the components so far."""
-    threshold = 1 - percent / 100 + 1e-9
-    members = stars.filter("set_id <> leader").select("leader", "set_id", "distance")
-    # Members against the other leader: linear in the sizes of the stars.
-    left = open_.join(members.toDF("a", "member", "d"), "a").select(F.col("member").alias("a"), "b")
-    right = open_.join(members.toDF("b", "member", "d"), "b").select(F.col("member").alias("b"), "a").select("a", "b")
-    crossed = stored(_verified(left.unionByName(right).distinct(), sets, percent), "jaccard-crossed")
-    found = crossed.filter("linked").select("a", "b")
-    # Stars that are one component by now need no more; nor do members that the distances rule out.
-    label = stored(_joined(label, found), "jaccard-labels")
-    left_open = (
-        open_.join(label.toDF("a", "at_a"), "a", "left").join(label.toDF("b", "at_b"), "b", "left")
-        .filter("coalesce(at_a, a) <> coalesce(at_b, b)").select("a", "b")
-    )
-    # Members by star and other star, with both distances; a member that is too far from the other leader for
-    # any member there has no link. Only what is left is looked up in the index.
-    own = members.toDF("leader", "set_id", "own")
-    to_other = crossed.select(F.col("a").alias("set_id"), F.col("b").alias("other"), "distance").unionByName(
-        crossed.select(F.col("b").alias("set_id"), F.col("a").alias("other"), "distance")
-    )
-    pairs_open = left_open.unionByName(left_open.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("leader", "other")
-    near = to_other.join(own, "set_id").join(pairs_open, ["leader", "other"])
-    reach = near.groupBy("leader", "other").agg(F.max("own").alias("reach")).toDF("other", "leader", "reach")
-    live = near.join(reach, ["leader", "other"]).filter(F.col("distance") - F.col("reach") <= threshold).drop("reach")
-    live = stored(live, "jaccard-live")
-    rows = live.join(index.select("token", "set_id", "n", "pos"), "set_id")
-    columns = ("set_id", "own", "distance", "n", "pos")
-    a = rows.filter("leader < other").select("token", "leader", "other", *[F.col(c).alias(f"{c}_a") for c in columns])
-    b = rows.filter("leader > other").select(
-        "token", F.col("other").alias("leader"), F.col("leader").alias("other"), *[F.col(c).alias(f"{c}_b") for c in columns]
-    )
-    allowed = (
-        (F.col("distance_a") - F.col("own_b") <= threshold)
-        & (F.col("distance_b") - F.col("own_a") <= threshold)
-        & _can_share("a", "b", percent)
+def _near_sizes(a: str, b: str, percent: int) -> Column:
+    """Whether the sizes from n_low to n_high that stand behind two entries can belong to a link."""
+    return (100 * F.col(f"high_{a}") >= percent * F.col(f"low_{b}")) & (100 * F.col(f"high_{b}") >= percent * F.col(f"low_{a}"))
+
+
+def _side(entries: DataFrame, side: str, *shared: str) -> DataFrame:
+    return entries.select(*[F.col(c) if c in shared else F.col(c).alias(f"{c}_{side}") for c in entries.columns])
+
+
+def _meeting(a: DataFrame, b: DataFrame, on: list[str], more: Column, percent: int) -> DataFrame:
+    """(key_a, key_b) of entries that meet often enough at places that leave enough to link.
+
+    Entries have key, low, high (sizes of the sets behind them) and left (the most that follows their place).
+    """
+    smaller = F.least("low_a", "low_b")
+    waits = _counted(smaller, percent)
+    left = _enough_left(F.least("left_a", "left_b"), F.col("low_a"), F.col("low_b"), waits, percent)
+    met = a.join(b, on).filter(more & _near_sizes("a", "b", percent) & left)
+    met = met.groupBy("key_a", "key_b").agg(F.count("*").alias("met"), F.min(smaller).alias("smallest"))
+    return met.filter(F.col("met") >= _counted(F.col("smallest"), percent)).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+
+
+def _leader_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b) stars of different components whose members may link; ``entries`` are their lists by n-gram."""
+    # Blocks by size: members' sizes differ from the leader's by percent at most.
+    widest = (percent / 100) ** 3
+    mixed = entries.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    live = entries.join(mixed.select("token"), "token", "left_semi").withColumn(
+        "block", F.floor(F.log("size") / F.lit(-np.log(widest)) + 1e-9)
     )
-    met = a.join(b, ["token", "leader", "other"]).filter(allowed)
-    rest = met.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
-    checked = _verified(rest, sets, percent)
-    return found.unionByName(checked.filter("linked").select("a", "b"))
+    a = _side(live, "a", "token", "block")
+    b = _side(live.withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block")))), "b", "token", "block")
+    near = (F.col("size_a") <= F.col("size_b")) & (F.col("size_a") >= widest * F.col("size_b") - 1e-6)
+    once = (F.col("size_a") < F.col("size_b")) | (F.col("key_a") < F.col("key_b"))
+    return _meeting(a, b, ["token", "block"], (F.col("component_a") != F.col("component_b")) & near & once, percent)
 
 
-def _can_share(a: str, b: str, percent: int) -> Column:
-    """Whether sizes and places of the shared n-gram leave enough to link.
+def _member_links(open_: DataFrame, stars: DataFrame, index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) links between sets of stars ``open_`` (a, b, distance) whose leaders do not link.
 
-    When it is the first n-gram that the two share, at most what follows it in either set is shared too;
-    the first one always passes, so no link is lost.
+    Two sets can link only when the leaders' distance less their own is small enough, which follows from
+    answers that are there; what is left meets in the index.
     """
-    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
-    most = F.least(n_a - F.col(f"pos_{a}"), n_b - F.col(f"pos_{b}"))
-    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (
-        (100 + percent) * most >= percent * (n_a + n_b)
+    threshold = 1 - percent / 100 + 1e-9
+    rows = index.join(stars, "set_id").select(
+        "token", "leader", F.col("set_id").alias("key"), F.col("n").alias("low"), F.col("n").alias("high"), "left", "distance"
     )
+    a = _side(rows, "a", "token").withColumnRenamed("leader_a", "a").join(open_, "a")
+    b = _side(rows, "b", "token").withColumnRenamed("leader_b", "b").join(open_.select("a", "b"), "b")
+    own = F.col("distance_a") + F.col("distance_b")
+    pairs = _meeting(a, b, ["token", "a", "b"], (own > 0) & (F.col("distance") - own <= threshold), percent)
+    return _verified(pairs, sets, percent).filter("linked").select("a", "b")
 
 
 def jaccard_components(
@@ -349,47 +377,52 @@ def jaccard_components(
     )
     sets = stored(sets, "jaccard-sets")
     listed = sets.select("set_id", F.posexplode("prefix").alias("pos", "token"))
-    several = listed.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1").select("token")
-    shared = stored(listed.join(several, "token", "left_semi"), "jaccard-shared")
-    met = shared.groupBy("set_id").agg(F.count("*").alias("met"), F.min(F.struct("pos", "token"))["token"].alias("first"))
-    enough = met.join(sets.select("set_id", "n", "rep"), "set_id").filter(F.col("met") >= _meetings(F.col("n"), percent, 1))
-    wanted = stored(enough.select("set_id", "rep", "first", "n"), "jaccard-wanted")
-    index = stored(shared.join(wanted.select("set_id", "n"), "set_id"), "jaccard-index")
-    tokens = stored(_whole_sets(texts.select("id", "text"), wanted.select("set_id", "rep", "first"), size), "jaccard-tokens")
-
-    stars = stored(_stars(tokens, percent), "jaccard-stars")
-    leaders = stars.select("set_id", "leader")
-    # Lists of leaders by n-gram, in blocks by size: members' sizes differ from the leader's by percent at most.
-    sized = wanted.select(F.col("set_id").alias("leader"), F.col("n").alias("size"))
-    entries = index.select("token", "set_id").join(leaders, "set_id").select("token", "leader").distinct().join(sized, "leader")
-    widest = (percent / 100) ** 3
-    entries = entries.withColumn("block", F.floor(F.log("size") / F.lit(-np.log(widest)) + 1e-9))
-    entries = stored(entries, "jaccard-entries")
-    a = entries.select("token", "block", F.col("leader").alias("a"), F.col("size").alias("size_a"))
-    b = entries.select(
-        "token", F.explode(F.array(F.col("block") - 1, F.col("block"))).alias("block"), F.col("leader").alias("b"), F.col("size").alias("size_b")
+    several = listed.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1")
+    shared = stored(listed.join(several, "token"), "jaccard-shared")
+    met = shared.groupBy("set_id").agg(
+        F.count("*").alias("met"), F.min(F.struct("pos", "token")).alias("least"),
+        F.max(F.struct("sets", "token"))["token"].alias("hot"), F.sum("sets").alias("others"),
+    ).select("set_id", "met", "least.pos", F.col("least.token").alias("first"), "hot", "others")
+    enough = met.join(sets.select("set_id", "n", "rep"), "set_id").filter(
+        (F.col("met") >= _meetings(F.col("n"), percent, 1)) & (100 * (F.col("n") - F.col("pos")) >= percent * F.col("n"))
     )
-    near = (F.col("size_a") <= F.col("size_b")) & (F.col("size_a") >= widest * F.col("size_b") - 1e-6)
-    once = (F.col("size_a") < F.col("size_b")) | (F.col("a") < F.col("b"))
-    met = a.join(b, ["token", "block"]).filter((F.col("a") != F.col("b")) & near & once).groupBy("a", "b").agg(
-        F.count("*").alias("met"), F.first("size_a").alias("size")
+    wanted = enough.select("set_id", "rep", "first", "hot", (F.col("others") / F.col("n")).alias("weight"), "n")
+    wanted = stored(wanted, "jaccard-wanted")
+    # What any link asks for, also with a set of the least size that can link.
+    left, n = F.col("n") - F.col("pos"), F.col("n")
+    useful = _enough_left(left, n, percent * n / 100 - 1e-6, _counted(n, percent), percent)
+    index = shared.select("token", "set_id", "pos").join(wanted.select("set_id", "n"), "set_id").filter(useful)
+    index = stored(index.select("token", "set_id", "n", left.alias("left")), "jaccard-index")
+    tokens = stored(_whole_sets(texts.select("id", "text"), wanted.select("set_id", "rep"), size), "jaccard-tokens")
+
+    stars = stored(_stars(wanted.select("set_id", F.col("first").alias("key"), "weight"), tokens, percent), "jaccard-stars")
+    # Leaders once more by their most common n-gram: copies that also share rarer ones stand apart so far.
+    heads = wanted.join(stars.filter("set_id = leader").select("set_id"), "set_id", "left_semi")
+    again = _stars(heads.select("set_id", F.col("hot").alias("key"), "weight"), tokens, percent)
+    links = stars.select(F.col("set_id").alias("a"), F.col("leader").alias("b")).unionByName(
+        again.select(F.col("set_id").alias("a"), F.col("leader").alias("b"))
     )
-    pairs = met.filter(F.col("met") >= _meetings(F.col("size"), percent, 1)).select("a", "b")
-    compared = stored(_verified(pairs, tokens, percent), "jaccard-compared")
+    label = stored(components(links.filter("a <> b")), "jaccard-labels")
 
-    links = stars.filter("set_id <> leader").select(F.col("set_id").alias("a"), F.col("leader").alias("b")).unionByName(
-        compared.filter("linked").select("a", "b")
-    )
-    links = stored(links, "jaccard-links")
-    label = stored(components(links), "jaccard-labels")
-    open_ = _open_stars(compared, stars, 1 - percent / 100 + 1e-9)
-    open_ = open_.join(label.toDF("a", "at_a"), "a", "left").join(label.toDF("b", "at_b"), "b", "left").filter(
-        "coalesce(at_a, a) <> coalesce(at_b, b)"
+    leaders = heads.select(F.col("set_id").alias("leader"), F.col("n").alias("size")).join(
+        label.toDF("leader", "component"), "leader", "left"
+    ).withColumn("component", F.coalesce("component", "leader"))
+    entries = index.join(stars.select("set_id", "leader"), "set_id").groupBy("token", "leader").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("left").alias("left")
     )
-    open_ = stored(open_.select("a", "b"), "jaccard-open")
+    entries = stored(entries.join(leaders, "leader").withColumnRenamed("leader", "key"), "jaccard-entries")
+    compared = stored(_verified(_leader_pairs(entries, percent), tokens, percent), "jaccard-compared")
+    label = stored(_joined(label, compared.filter("linked").select("a", "b")), "jaccard-labels")
+
+    # Stars that are apart so far, but not so far that none of their members can link.
+    reach = stars.groupBy("leader").agg(F.max("distance").alias("reach"))
+    open_ = compared.filter("NOT linked").join(reach.toDF("a", "reach_a"), "a").join(reach.toDF("b", "reach_b"), "b")
+    both = F.col("reach_a") + F.col("reach_b")
+    open_ = open_.filter((both > 0) & (F.col("distance") <= 1 - percent / 100 + 1e-9 + both))
+    open_ = open_.join(label.toDF("a", "at_a"), "a", "left").join(label.toDF("b", "at_b"), "b", "left")
+    open_ = stored(open_.filter("coalesce(at_a, a) <> coalesce(at_b, b)").select("a", "b", "distance"), "jaccard-open")
     if not open_.isEmpty():
-        more = _member_links(open_, stars, index, tokens, percent, label)
-        label = stored(_joined(label, more), "jaccard-labels")
+        label = stored(_joined(label, _member_links(open_, stars, index, tokens, percent)), "jaccard-labels")
 
     reps = sets.select("set_id", "rep").join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
     reps = reps.withColumn("component", F.coalesce("component", "set_id"))
