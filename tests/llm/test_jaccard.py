@@ -89,6 +89,23 @@ def test_components_that_share_an_id_or_have_none_keep_one_row_each(make_docs):
     assert sorted(kept, key=str) == sorted([(None, "a"), (None, "b"), (None, "c"), (5, "d"), (5, "e"), (7, "f")], key=str)
 
 
+def test_a_third_of_the_rows_without_an_id_and_small_chunks(make_docs, monkeypatch):
+    """Rows without an id meet only sets of their own text; hubs stand in every chunk of their n-gram."""
+    monkeypatch.setattr(jaccard, "DEALT", 4)
+    monkeypatch.setattr(jaccard, "HUBS", 2)
+    pick = random.Random(5)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for k in range(60):
+        text = list(base)
+        for _ in range(pick.randint(0, 2)):
+            text[pick.randrange(60)] = f"e{pick.randint(0, 500)}"
+        rows.append((None if k % 3 == 0 else k, " ".join(text)))
+    rows += [(None, row[1]) for row in rows[:10]] + [(1, row[1]) for row in families(6)[:10]]
+    found = jaccard.jaccard_components(make_docs(rows), 3, 90).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows, 3, 90)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 200), (3, 2)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -157,7 +157,7 @@ def _set_number(tokens: np.ndarray) -> int:
 
 
 def _described(docs: DataFrame, common, size: int, percent: int, kind: str) -> DataFrame:
-    """(id, n_shingles, set_id, prefix, whole_row) per row."""
+    """(id, print, n_shingles, set_id, prefix, whole_row) per row; ``print`` is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         moved, rank = np.frombuffer(common.value[0], np.uint64), np.frombuffer(common.value[1], np.int32)
@@ -169,19 +169,20 @@ def _described(docs: DataFrame, common, size: int, percent: int, kind: str) -> D
                 numbers.append(_set_number(tokens) if len(tokens) else None)
                 prefixes.append(_ordered(tokens, moved, rank)[: prefix_length(len(tokens), percent)].view(np.int64))
             columns = [
-                batch.column(0), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()),
+                batch.column(0), batch.column(3), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()),
                 pa.array(prefixes, pa.list_(pa.int64())), batch.column(2),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n_shingles", "set_id", "prefix", "whole_row"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "print", "n_shingles", "set_id", "prefix", "whole_row"])
 
     whole = docs.schema["whole_row"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, n_shingles long, set_id long, prefix array<long>, whole_row {whole}")
+    return docs.mapInArrow(run, f"id {kind}, print long, n_shingles long, set_id long, prefix array<long>, whole_row {whole}")
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(set_id, n, tokens) of the wanted (set_id, rep), read again from the texts.
+    """(set_id, n, tokens) of the wanted (set_id, rep, print), read again from the texts.
 
-    Where ids are repeated a set may come more than once.
+    A row with a null or repeated id meets only the sets whose text has its hash, so no id is a group of pairs.
+    Equal texts under one id are read each and kept once.
     """
     if wanted.count() <= BROADCAST_SETS:
         wanted = F.broadcast(wanted)
@@ -194,10 +195,11 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             columns.append(pa.array([tokens.tobytes() for tokens in found], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, ["set_id", "found", "n", "tokens"])
 
-    joined = docs.join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("set_id", "text")
-    # A repeated id may stand for several texts; the one that is meant has the set's number.
+    joined = docs.join(wanted.withColumnRenamed("print", "meant"), F.col("id").eqNullSafe(F.col("rep")) & (F.col("print") == F.col("meant")))
+    joined = joined.select("set_id", "text")
+    # Texts of one hash are told apart by the set's number.
     read = joined.mapInArrow(run, "set_id long, found long, n long, tokens binary")
-    return read.filter("found = set_id").select("set_id", "n", "tokens")
+    return read.filter("found = set_id").select("set_id", "n", "tokens").dropDuplicates(["set_id"])
 
 
 def _links(shared: int, a: int, b: int, percent: int) -> bool:
@@ -364,6 +366,7 @@ def jaccard_components(
     kind = docs.schema[id_col].dataType.simpleString()
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]) if keep_row else F.struct(F.lit(0).alias("none"))
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), whole.alias("whole_row"))
+    texts = texts.withColumn("print", F.xxhash64("text"))
     often = _common_shingles(texts, size).filter(F.col("count") >= COMMON).orderBy(F.desc("count"), "token").limit(MOVED)
     found = often.select("token").toArrow().column("token").to_numpy().astype(np.int64).view(np.uint64)
     by_token = np.argsort(found)
@@ -373,8 +376,9 @@ def jaccard_components(
     rows = stored(_described(texts, common, size, percent, kind), "jaccard-rows")
 
     sets = rows.filter("set_id IS NOT NULL").groupBy("set_id").agg(
-        F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")
-    )
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "print")).alias("least"),
+        F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"),
+    ).select("set_id", F.col("least.id").alias("rep"), "least.print", "n", "prefix")
     sets = stored(sets, "jaccard-sets")
     listed = sets.select("set_id", F.posexplode("prefix").alias("pos", "token"))
     several = listed.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1")
@@ -383,17 +387,17 @@ def jaccard_components(
         F.count("*").alias("met"), F.min(F.struct("pos", "token")).alias("least"),
         F.max(F.struct("sets", "token"))["token"].alias("hot"), F.sum("sets").alias("others"),
     ).select("set_id", "met", "least.pos", F.col("least.token").alias("first"), "hot", "others")
-    enough = met.join(sets.select("set_id", "n", "rep"), "set_id").filter(
+    enough = met.join(sets.select("set_id", "n", "rep", "print"), "set_id").filter(
         (F.col("met") >= _meetings(F.col("n"), percent, 1)) & (100 * (F.col("n") - F.col("pos")) >= percent * F.col("n"))
     )
-    wanted = enough.select("set_id", "rep", "first", "hot", (F.col("others") / F.col("n")).alias("weight"), "n")
+    wanted = enough.select("set_id", "rep", "print", "first", "hot", (F.col("others") / F.col("n")).alias("weight"), "n")
     wanted = stored(wanted, "jaccard-wanted")
     # What any link asks for, also with a set of the least size that can link.
     left, n = F.col("n") - F.col("pos"), F.col("n")
     useful = _enough_left(left, n, percent * n / 100 - 1e-6, _counted(n, percent), percent)
     index = shared.select("token", "set_id", "pos").join(wanted.select("set_id", "n"), "set_id").filter(useful)
     index = stored(index.select("token", "set_id", "n", left.alias("left")), "jaccard-index")
-    tokens = stored(_whole_sets(texts.select("id", "text"), wanted.select("set_id", "rep"), size), "jaccard-tokens")
+    tokens = stored(_whole_sets(texts.select("id", "text", "print"), wanted.select("set_id", "rep", "print"), size), "jaccard-tokens")
 
     stars = stored(_stars(wanted.select("set_id", F.col("first").alias("key"), "weight"), tokens, percent), "jaccard-stars")
     # Leaders once more by their most common n-gram: copies that also share rarer ones stand apart so far.
