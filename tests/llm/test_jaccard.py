@@ -5,6 +5,7 @@ import pytest
 
 from verdigris.llm import jaccard
 from verdigris.llm.components import components
+from verdigris.sources.storage import stored
 
 
 def brute(rows, size, percent):
@@ -106,6 +107,48 @@ def test_a_third_of_the_rows_without_an_id_and_small_chunks(make_docs, monkeypat
     assert sorted(map(tuple, found), key=str) == brute(rows, 3, 90)
 
 
+def _outskirts():
+    """A text, many near copies of it, others a little too far from it, and a few between a copy and such a one."""
+    pick = random.Random(11)
+    base = [f"b{k}" for k in range(200)]
+
+    def changed(text, places):
+        text = list(text)
+        for place in places:
+            text[place] = f"e{pick.randint(0, 10**6)}"
+        return text
+
+    near = [changed(base, pick.sample(range(0, 200, 10), 2)) for _ in range(60)]
+    far = [changed(base, pick.sample(range(0, 200, 10), 5)) for _ in range(20)]
+    between = [changed(text, [5, 105]) for text in far[:4]]
+    # Three places as the fifth far text has them: linked with it, and with the base.
+    bridge = [far[4][k] if far[4][k] != base[k] and k < 120 else base[k] for k in range(200)]
+    return [(k, " ".join(text)) for k, text in enumerate([base, *near, *far, *between, bridge])]
+
+
+def test_sets_beyond_a_star_meet_members_by_what_both_have_apart_from_its_leader(make_docs, monkeypatch):
+    compared = []
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *more: (compared.append(pairs.count()), verified(pairs, *more))[1])
+    rows = _outskirts()
+    found = jaccard.jaccard_components(make_docs(rows), 3, 90).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows, 3, 90)
+    # 60 members times 20 sets beyond them before.
+    assert len(compared) == 1 or compared[-1] < 200
+
+
+def test_rows_are_not_carried_through_the_join(make_docs, monkeypatch):
+    """What is written on the way has hashes and ids only, each prefix of a repeated text once in a task."""
+    written = {}
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: written.setdefault(name, []).append(df) or stored(df, name))
+    rows = [(k, " ".join(f"w{i}" for i in range(50))) for k in range(40)] + [(50, "a b c d"), (51, " "), (None, None)]
+    kept = jaccard.drop_near_duplicates(make_docs(rows).coalesce(1))
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["0", "50", "51", "None"]
+    texts = [(name, kind) for name, frames in written.items() for frame in frames for _, kind in frame.dtypes if "string" in kind]
+    assert texts == []
+    assert written["jaccard-rows"][0].filter("size(prefix) > 0").count() == 2
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 200), (3, 2)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

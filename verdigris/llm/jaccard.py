@@ -10,7 +10,8 @@ index lists, by n-gram, the sets that have it in their prefix. Two relations ski
 * Answer level: sets highly similar to a leader form a star around it, and links found so far make
   components. A list within one component is skipped, and stars of one component never meet. Leaders
   are compared; from their distance and the members' own, by the triangle inequality of 1 - Jaccard,
-  follows which members of two stars may still link, and only those are looked up again.
+  follows which stars may still link. Of two such stars the larger one's members are known by what sets
+  them apart from their leader: who links with one of them, but not with the leader, shares some of it.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdigris.llm.common import SLICE, shuffle_partitions, slices, text_of, worker_cache
+from verdigris.llm.common import SLICE, WORD, shuffle_partitions, slices, text_of, worker_cache
 from verdigris.llm.components import components
 from verdigris.sources.storage import stored
 
@@ -37,7 +38,7 @@ MOVED = 1 << 20
 # N-grams that two sets must share in their prefixes: at least so many, or so many in a hundred of their own.
 MEETINGS = 8
 MEETINGS_PERCENT = 3
-# Candidate sets up to which their ids are broadcast, after counting them; beyond it texts are shuffled by id.
+# Rows by set up to which they are broadcast, after counting them; beyond it the other side is shuffled by id.
 BROADCAST_SETS = 500_000
 # Words remembered by a worker, and leaders that a set is compared with while stars are formed.
 REMEMBERED = 500_000
@@ -157,49 +158,92 @@ def _set_number(tokens: np.ndarray) -> int:
 
 
 def _described(docs: DataFrame, common, size: int, percent: int, kind: str) -> DataFrame:
-    """(id, print, n_shingles, set_id, prefix, whole_row) per row; ``print`` is a hash of the text."""
+    """(id, print, n_shingles, set_id, prefix) per row; ``print`` is a hash of the text.
+
+    A set that a task has seen before has no prefix again; of many copies each task gives one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         moved, rank = np.frombuffer(common.value[0], np.uint64), np.frombuffer(common.value[1], np.int32)
+        seen: set[int] = set()
         for batch in slices(batches, SLICE):
             sizes, numbers, prefixes = [], [], []
             for text in batch.column(1).to_pylist():
                 tokens = shingles(text, size)
+                number = _set_number(tokens) if len(tokens) else None
                 sizes.append(len(tokens))
-                numbers.append(_set_number(tokens) if len(tokens) else None)
-                prefixes.append(_ordered(tokens, moved, rank)[: prefix_length(len(tokens), percent)].view(np.int64))
+                numbers.append(number)
+                if number in seen:
+                    prefixes.append(tokens[:0].view(np.int64))
+                else:
+                    prefixes.append(_ordered(tokens, moved, rank)[: prefix_length(len(tokens), percent)].view(np.int64))
+                    _remember(seen, number)
             columns = [
-                batch.column(0), batch.column(3), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()),
-                pa.array(prefixes, pa.list_(pa.int64())), batch.column(2),
+                batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()),
+                pa.array(prefixes, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "print", "n_shingles", "set_id", "prefix", "whole_row"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "print", "n_shingles", "set_id", "prefix"])
+
+    return docs.mapInArrow(run, f"id {kind}, print long, n_shingles long, set_id long, prefix array<long>")
+
+
+def _remember(seen: set, number: int | None) -> None:
+    if len(seen) > REMEMBERED:
+        seen.clear()
+    seen.add(number)
+
+
+def _listed(rows: DataFrame) -> DataFrame:
+    """(token, set_id, pos, n, sets): the n-grams of prefixes that several sets have, with the number of these sets.
+
+    Prefixes are shuffled once, by n-gram. The rows of an n-gram are sorted; a set that several tasks have
+    described stands next to itself and is listed once.
+    """
+    listed = rows.select("set_id", F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    again = F.lag("set_id").over(Window.partitionBy("token").orderBy("set_id")).eqNullSafe(F.col("set_id"))
+    once = listed.withColumn("again", again).filter("NOT again")
+    return once.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("sets > 1").drop("again")
+
+
+def _beside(rows: DataFrame) -> DataFrame:
+    """A stored table to join by set: broadcast when it is small."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_SETS else rows
 
-    whole = docs.schema["whole_row"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, print long, n_shingles long, set_id long, prefix array<long>, whole_row {whole}")
+
+def _only(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``sets`` whose set_id stands in ``ids``; when these are few, nothing is shuffled for it."""
+    return sets.join(_beside(stored(ids.distinct(), "jaccard-ids")), "set_id", "left_semi")
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(set_id, n, tokens) of the wanted (set_id, rep, print), read again from the texts.
 
     A row with a null or repeated id meets only the sets whose text has its hash, so no id is a group of pairs.
-    Equal texts under one id are read each and kept once.
+    Equal texts under one id are given once by a task, and once in all: only if some are left, sets are shuffled.
     """
-    if wanted.count() <= BROADCAST_SETS:
-        wanted = F.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in slices(batches, SLICE):
-            found = [shingles(text, size) for text in batch.column(1).to_pylist()]
-            numbers = pa.array([_set_number(tokens) if len(tokens) else None for tokens in found], pa.int64())
-            columns = [batch.column(0), numbers, pa.array(map(len, found), pa.int64())]
-            columns.append(pa.array([tokens.tobytes() for tokens in found], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, ["set_id", "found", "n", "tokens"])
+            rows: list[tuple[int, int, bytes]] = []
+            for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if number in seen:
+                    continue
+                tokens = shingles(text, size)
+                # Texts of one hash are told apart by the set's number.
+                if len(tokens) and _set_number(tokens) == number:
+                    rows.append((number, len(tokens), tokens.tobytes()))
+                    _remember(seen, number)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.int64(), pa.binary()))],
+                ["set_id", "n", "tokens"],
+            )
 
-    joined = docs.join(wanted.withColumnRenamed("print", "meant"), F.col("id").eqNullSafe(F.col("rep")) & (F.col("print") == F.col("meant")))
-    joined = joined.select("set_id", "text")
-    # Texts of one hash are told apart by the set's number.
-    read = joined.mapInArrow(run, "set_id long, found long, n long, tokens binary")
-    return read.filter("found = set_id").select("set_id", "n", "tokens").dropDuplicates(["set_id"])
+    meant = _beside(wanted.select("set_id", "rep", F.col("print").alias("meant")))
+    joined = docs.join(meant, F.col("id").eqNullSafe(F.col("rep")) & (F.col("print") == F.col("meant")))
+    read = stored(joined.select("set_id", "text").mapInArrow(run, "set_id long, n long, tokens binary"), "jaccard-tokens")
+    repeated = read.groupBy("set_id").agg(F.count("*").alias("times")).filter("times > 1")
+    return read if repeated.isEmpty() else stored(read.dropDuplicates(["set_id"]), "jaccard-tokens")
 
 
 def _links(shared: int, a: int, b: int, percent: int) -> bool:
@@ -265,11 +309,15 @@ def _stars(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             )
 
     parts = shuffle_partitions(sets.sparkSession)
-    dealt = _dealt(places).join(sets, "set_id").repartition(parts, "key", "chunk")
+    # Who is alone under a key has nobody to meet: only the others' n-grams are shuffled.
+    several = places.groupBy("key").agg(F.count("*").alias("several")).filter("several > 1").select("key")
+    meeting = stored(places.join(several, "key", "left_semi"), "jaccard-places")
+    alone = places.join(several, "key", "left_anti").select("set_id", F.col("set_id").alias("leader"), F.lit(0.0).alias("distance"))
+    dealt = sets.join(_beside(stored(_dealt(meeting), "jaccard-dealt")), "set_id").repartition(parts, "key", "chunk")
     dealt = dealt.sortWithinPartitions("key", "chunk", F.desc("hub"), F.desc("weight"), "set_id")
     found = dealt.select("key", "chunk", "set_id", "n", "tokens").mapInArrow(run, "set_id long, leader long, distance double")
     # Hubs meet each other in every chunk, with the same end.
-    return found.distinct()
+    return found.distinct().unionByName(alone)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -286,10 +334,31 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             columns = [batch.column(0), batch.column(1), pa.array(distances, pa.float64()), pa.array(linked, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "distance", "linked"])
 
-    left = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("tokens_a"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("tokens_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b")
-    return both.mapInArrow(run, "a long, b long, distance double, linked boolean")
+    return _side_by_side(pairs, sets).mapInArrow(run, "a long, b long, distance double, linked boolean")
+
+
+def _side_by_side(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, tokens_a, tokens_b) for stored ``pairs`` (a, b); other sets are not shuffled."""
+    left = _only(sets, pairs.select(F.col("a").alias("set_id"))).select(F.col("set_id").alias("a"), F.col("tokens").alias("tokens_a"))
+    right = _only(sets, pairs.select(F.col("b").alias("set_id"))).select(F.col("set_id").alias("b"), F.col("tokens").alias("tokens_b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b")
+
+
+def _apart(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n, linked, apart): for each pair the size of b, whether it links with a, and the n-grams that only one of them has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            sizes, linked, apart = [], [], []
+            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+                apart.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+                sizes.append(len(y))
+                linked.append(_links((len(x) + len(y) - len(apart[-1])) // 2, len(x), len(y), percent))
+            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()), pa.array(apart, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n", "linked", "apart"])
+
+    return _side_by_side(pairs, sets).mapInArrow(run, "a long, b long, n long, linked boolean, apart array<long>")
 
 
 def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
@@ -334,27 +403,72 @@ def _leader_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return _meeting(a, b, ["token", "block"], (F.col("component_a") != F.col("component_b")) & near & once, percent)
 
 
-def _member_links(open_: DataFrame, stars: DataFrame, index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _member_links(open_: DataFrame, stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) links between sets of stars ``open_`` (a, b, distance) whose leaders do not link.
 
-    Two sets can link only when the leaders' distance less their own is small enough, which follows from
-    answers that are there; what is left meets in the index.
+    The leader of the larger star is the centre. What sets x and y have apart from each other is what they
+    have apart from the centre less, twice, what both have so: x links with y when that is little enough. A set
+    y of the smaller star either links with the centre, or must share some of what a member x has apart. So
+    each member is described once, and those that share such n-grams are compared.
     """
     threshold = 1 - percent / 100 + 1e-9
-    rows = index.join(stars, "set_id").select(
-        "token", "leader", F.col("set_id").alias("key"), F.col("n").alias("low"), F.col("n").alias("high"), "left", "distance"
+    known = stars.groupBy("leader").agg(F.max("distance").alias("reach"), F.count("*").alias("members"))
+    both = open_.join(known.toDF("a", "reach_a", "members_a"), "a").join(known.toDF("b", "reach_b", "members_b"), "b")
+    larger = (F.col("members_a") > F.col("members_b")) | ((F.col("members_a") == F.col("members_b")) & (F.col("a") < F.col("b")))
+    asked = both.select(
+        F.when(larger, F.col("a")).otherwise(F.col("b")).alias("centre"), F.when(larger, F.col("b")).otherwise(F.col("a")).alias("leader"),
+        F.when(larger, F.col("reach_a")).otherwise(F.col("reach_b")).alias("reach"), F.col("distance").alias("between"),
     )
-    a = _side(rows, "a", "token").withColumnRenamed("leader_a", "a").join(open_, "a")
-    b = _side(rows, "b", "token").withColumnRenamed("leader_b", "b").join(open_.select("a", "b"), "b")
-    own = F.col("distance_a") + F.col("distance_b")
-    pairs = _meeting(a, b, ["token", "a", "b"], (own > 0) & (F.col("distance") - own <= threshold), percent)
-    return _verified(pairs, sets, percent).filter("linked").select("a", "b")
+    outer = asked.join(stars, "leader").filter(F.col("between") - F.col("distance") - F.col("reach") <= threshold)
+    outer = stored(outer.select(F.col("centre").alias("a"), F.col("set_id").alias("b")).distinct(), "jaccard-outer")
+    outer = stored(_apart(outer, sets, percent), "jaccard-outer")
+    direct, others = outer.filter("linked").select("a", "b"), outer.filter("NOT linked")
+    inner = stars.filter("set_id <> leader").join(others.select(F.col("a").alias("leader")), "leader", "left_semi")
+    inner = stored(inner.select(F.col("leader").alias("a"), F.col("set_id").alias("b")).distinct(), "jaccard-inner")
+    inner = stored(_apart(inner, sets, percent), "jaccard-inner")
+
+    found = _verified(stored(_sharing(inner, others, percent), "jaccard-pairs"), sets, percent)
+    return direct.unionByName(found.filter("linked").select("a", "b"))
+
+
+def _sharing(inner: DataFrame, outer: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of ``inner`` and ``outer`` sets of one centre that may have enough apart from it in common to link.
+
+    How much that is at least follows, for each set, from the sizes and from the least that the other side asks for.
+    So many n-grams are shared only if one of the rarest is, the rest left out; what nearly all have apart
+    from the centre, since only the centre lacks it, is not among these.
+    """
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        asks = (100 + percent) * F.size("apart") - (100 - percent) * F.col("n")
+        return rows.select(F.col("a").alias("centre"), F.col("b").alias("set_id"), "apart", asks.cast("long").alias("asks"), F.lit(name).alias("side"))
+
+    both = side(inner, "inner").unionByName(side(outer, "outer"))
+    least = both.groupBy("centre").agg(*[F.min(F.when(F.col("side") == name, F.col("asks"))).alias(other) for name, other in (("inner", "outer"), ("outer", "inner"))])
+    other = F.when(F.col("side") == "inner", F.col("inner")).otherwise(F.col("outer"))
+    shared = F.ceil((F.col("asks") + other) / (2 * (100 + percent)) - 1e-9)
+    tokens = both.join(least, "centre").select(
+        "centre", "side", "set_id", (F.size("apart") - shared + 1).alias("most"), F.explode("apart").alias("token")
+    )
+    often = tokens.groupBy("centre", "token").agg(F.count("*").alias("often"), F.count_if(F.col("side") == "inner").alias("inner"))
+    # What one side alone has keeps its place in the order, but leads to nobody.
+    rarest = Window.partitionBy("centre", "side", "set_id").orderBy("often", "token")
+    tokens = tokens.join(often, ["centre", "token"]).withColumn("place", F.row_number().over(rarest)).filter("place <= most AND inner BETWEEN 1 AND often - 1")
+    tokens = stored(tokens.select("centre", "side", "set_id", "token"), "jaccard-apart")
+    a = tokens.filter("side = 'inner'").select("centre", "token", F.col("set_id").alias("a"))
+    b = tokens.filter("side = 'outer'").select("centre", "token", F.col("set_id").alias("b"))
+    return a.join(b, ["centre", "token"]).select("a", "b").distinct()
+
+
+def _with_print(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(id, text, print): ``print`` is a hash of the text."""
+    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), *more)
+    return texts.withColumn("print", F.xxhash64("text"))
 
 
 def jaccard_components(
-    docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep_row: bool = False
+    docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep_print: bool = False
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row, and set_id, component and the row itself with ``keep_row``.
+    """(doc_id, n_shingles, component_id) per row, and set_id, component and the text's hash with ``keep_print``.
 
     Two rows link when 100 * shared n-grams >= percent * n-grams of either. ``component_id`` is the
     smallest id that can be reached by links, the own one included. Null, empty and blank texts have
@@ -364,9 +478,7 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]) if keep_row else F.struct(F.lit(0).alias("none"))
-    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), whole.alias("whole_row"))
-    texts = texts.withColumn("print", F.xxhash64("text"))
+    texts = _with_print(docs, id_col, text_col)
     often = _common_shingles(texts, size).filter(F.col("count") >= COMMON).orderBy(F.desc("count"), "token").limit(MOVED)
     found = often.select("token").toArrow().column("token").to_numpy().astype(np.int64).view(np.uint64)
     by_token = np.argsort(found)
@@ -376,32 +488,29 @@ def jaccard_components(
     rows = stored(_described(texts, common, size, percent, kind), "jaccard-rows")
 
     sets = rows.filter("set_id IS NOT NULL").groupBy("set_id").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "print")).alias("least"),
-        F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"),
-    ).select("set_id", F.col("least.id").alias("rep"), "least.print", "n", "prefix")
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "print")).alias("least")
+    ).select("set_id", F.col("least.id").alias("rep"), "least.print")
     sets = stored(sets, "jaccard-sets")
-    listed = sets.select("set_id", F.posexplode("prefix").alias("pos", "token"))
-    several = listed.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1")
-    shared = stored(listed.join(several, "token"), "jaccard-shared")
+    shared = stored(_listed(rows), "jaccard-shared")
     met = shared.groupBy("set_id").agg(
-        F.count("*").alias("met"), F.min(F.struct("pos", "token")).alias("least"),
+        F.count("*").alias("met"), F.min(F.struct("pos", "token")).alias("least"), F.first("n").alias("n"),
         F.max(F.struct("sets", "token"))["token"].alias("hot"), F.sum("sets").alias("others"),
-    ).select("set_id", "met", "least.pos", F.col("least.token").alias("first"), "hot", "others")
-    enough = met.join(sets.select("set_id", "n", "rep", "print"), "set_id").filter(
+    ).select("set_id", "met", "n", "least.pos", F.col("least.token").alias("first"), "hot", "others")
+    enough = met.filter(
         (F.col("met") >= _meetings(F.col("n"), percent, 1)) & (100 * (F.col("n") - F.col("pos")) >= percent * F.col("n"))
     )
-    wanted = enough.select("set_id", "rep", "print", "first", "hot", (F.col("others") / F.col("n")).alias("weight"), "n")
+    wanted = enough.join(sets, "set_id").select("set_id", "rep", "print", "first", "hot", (F.col("others") / F.col("n")).alias("weight"), "n")
     wanted = stored(wanted, "jaccard-wanted")
     # What any link asks for, also with a set of the least size that can link.
     left, n = F.col("n") - F.col("pos"), F.col("n")
     useful = _enough_left(left, n, percent * n / 100 - 1e-6, _counted(n, percent), percent)
-    index = shared.select("token", "set_id", "pos").join(wanted.select("set_id", "n"), "set_id").filter(useful)
+    index = shared.filter(useful).join(_beside(wanted.select("set_id")), "set_id", "left_semi")
     index = stored(index.select("token", "set_id", "n", left.alias("left")), "jaccard-index")
-    tokens = stored(_whole_sets(texts.select("id", "text", "print"), wanted.select("set_id", "rep", "print"), size), "jaccard-tokens")
+    tokens = _whole_sets(texts, wanted, size)
 
     stars = stored(_stars(wanted.select("set_id", F.col("first").alias("key"), "weight"), tokens, percent), "jaccard-stars")
     # Leaders once more by their most common n-gram: copies that also share rarer ones stand apart so far.
-    heads = wanted.join(stars.filter("set_id = leader").select("set_id"), "set_id", "left_semi")
+    heads = stored(wanted.join(stars.filter("set_id = leader").select("set_id"), "set_id", "left_semi"), "jaccard-heads")
     again = _stars(heads.select("set_id", F.col("hot").alias("key"), "weight"), tokens, percent)
     links = stars.select(F.col("set_id").alias("a"), F.col("leader").alias("b")).unionByName(
         again.select(F.col("set_id").alias("a"), F.col("leader").alias("b"))
@@ -411,11 +520,13 @@ def jaccard_components(
     leaders = heads.select(F.col("set_id").alias("leader"), F.col("n").alias("size")).join(
         label.toDF("leader", "component"), "leader", "left"
     ).withColumn("component", F.coalesce("component", "leader"))
-    entries = index.join(stars.select("set_id", "leader"), "set_id").groupBy("token", "leader").agg(
+    leaders = stored(leaders, "jaccard-leaders")
+    entries = index.join(_beside(stars.select("set_id", "leader")), "set_id").groupBy("token", "leader").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.max("left").alias("left")
     )
-    entries = stored(entries.join(leaders, "leader").withColumnRenamed("leader", "key"), "jaccard-entries")
-    compared = stored(_verified(_leader_pairs(entries, percent), tokens, percent), "jaccard-compared")
+    entries = stored(entries.join(_beside(leaders), "leader").withColumnRenamed("leader", "key"), "jaccard-entries")
+    pairs = stored(_leader_pairs(entries, percent), "jaccard-pairs")
+    compared = stored(_verified(pairs, tokens, percent), "jaccard-compared")
     label = stored(_joined(label, compared.filter("linked").select("a", "b")), "jaccard-labels")
 
     # Stars that are apart so far, but not so far that none of their members can link.
@@ -426,7 +537,7 @@ def jaccard_components(
     open_ = open_.join(label.toDF("a", "at_a"), "a", "left").join(label.toDF("b", "at_b"), "b", "left")
     open_ = stored(open_.filter("coalesce(at_a, a) <> coalesce(at_b, b)").select("a", "b", "distance"), "jaccard-open")
     if not open_.isEmpty():
-        label = stored(_joined(label, _member_links(open_, stars, index, tokens, percent)), "jaccard-labels")
+        label = stored(_joined(label, _member_links(open_, stars, tokens, percent)), "jaccard-labels")
 
     reps = sets.select("set_id", "rep").join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
     reps = reps.withColumn("component", F.coalesce("component", "set_id"))
@@ -435,7 +546,7 @@ def jaccard_components(
     out = rows.join(by_set, "set_id", "left").select(
         F.col("id").alias(id_col), "n_shingles",
         F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        *(["set_id", "component", "whole_row"] if keep_row else []),
+        *(["set_id", "component", "print"] if keep_print else []),
     )
     return out
 
@@ -446,9 +557,15 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_c
     Where nothing in a component has an id, one row without an id stays; of repeated rows with the
     smallest id one stays, that of the smallest set. Rows without words stay.
     """
-    found = jaccard_components(docs, size, percent, id_col, text_col, keep_row=True)
-    kept = found.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-    worded, blank = kept.filter("n_shingles > 0"), kept.filter("n_shingles = 0")
-    # All kept rows of a component have the same id, or none.
-    one = worded.groupBy("component").agg(F.min_by("whole_row", "set_id").alias("whole_row"))
+    found = jaccard_components(docs, size, percent, id_col, text_col, keep_print=True)
+    kept = found.filter((F.col("n_shingles") > 0) & F.col(id_col).eqNullSafe(F.col("component_id")))
+    # All kept rows of a component have the same id, or none; one text stands for them.
+    kept = kept.groupBy("component").agg(F.min_by(F.struct(F.col(id_col).alias("id"), "print"), "set_id").alias("spot")).select("spot")
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("whole_row")
+    rows = _with_print(docs, id_col, text_col, whole).withColumn("spot", F.struct("id", "print"))
+    # The rows are read again and shuffled once, by id and hash of the text, which a text of another component never shares.
+    one = rows.filter(F.rlike("text", F.lit(WORD))).select("spot", "whole_row").join(kept, "spot").groupBy("spot").agg(
+        F.first("whole_row").alias("whole_row")
+    )
+    blank = rows.filter(~F.rlike("text", F.lit(WORD)))
     return one.select("whole_row.*").unionByName(blank.select("whole_row.*"))
