@@ -66,3 +66,10 @@ def test_the_same_answers(spark):
     batched = batching.predict_batches(batching.batches_by_length(frame, budget=700), schema_reader)
     plain = predict(frame.withColumn("prompt", F.coalesce("prompt", F.lit(""))), schema_reader).select("row_id", "raw_text", "predict_error")
     assert sorted(map(str, batched.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_tokens_are_counted_once(spark, capsys):
+    """Sizes of classes and batches read the same written counts; nothing behind them counts again."""
+    frame = spark.createDataFrame([(k, "a b " * (k % 30)) for k in range(200)], "row_id long, prompt string")
+    batching.batches_by_length(frame).explain("formatted")
+    assert "regexp" not in capsys.readouterr().out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from verdigris.functions.cleaning import token_count
 from verdigris.operators.prediction import Predictor, _predict_batch
+from verdigris.sources.storage import stored
 
 BATCH = ["length_class", "salt", "batch"]
 # Tokens of a batch with padding, and the rows of a class and salt, about.
@@ -37,13 +38,16 @@ def batches_by_length(
     No batch of several prompts costs more than ``budget`` tokens; a longer prompt is a batch of its own.
     Rows keep their columns. Null prompts count as empty; keys may be null or repeated, and rows that are
     alike may change places. Sizes of classes are broadcast: eight for each doubling of the length.
+    Tokens are counted once: what is counted is written with its lengths and read back.
     """
-    counted = prompts.withColumn("n_tokens", token_count(F.coalesce(F.col(prompt), F.lit(""))))
-    counted = counted.withColumn("length_class", length_class(F.col("n_tokens")))
+    # Out of a generator, below which no filter is pushed: one on the class would count again.
+    length = F.explode(F.array(token_count(F.coalesce(F.col(prompt), F.lit("")))))
+    counted = prompts.select("*", length.alias("n_tokens"), F.xxhash64(F.col(key), F.col(prompt)).alias("_deal"))
+    counted = stored(counted.withColumn("length_class", length_class(F.col("n_tokens"))), "batching-counted")
     salts = counted.groupBy("length_class").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("_salts"))
     # Rows without a key spread by their text as well as they can.
     dealt = counted.join(F.broadcast(salts), "length_class").withColumn(
-        "salt", F.pmod(F.xxhash64(F.col(key), F.col(prompt)), F.col("_salts"))
+        "salt", F.pmod("_deal", F.col("_salts"))
     )
     place = F.row_number().over(Window.partitionBy("length_class", "salt").orderBy("n_tokens", key)) - 1
     size = F.greatest(F.lit(budget) / F.col("length_class"), F.lit(1)).cast("long")
