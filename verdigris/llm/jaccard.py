@@ -560,12 +560,12 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_c
     found = jaccard_components(docs, size, percent, id_col, text_col, keep_print=True)
     kept = found.filter((F.col("n_shingles") > 0) & F.col(id_col).eqNullSafe(F.col("component_id")))
     # All kept rows of a component have the same id, or none; one text stands for them.
-    kept = kept.groupBy("component").agg(F.min_by(F.struct(F.col(id_col).alias("id"), "print"), "set_id").alias("spot")).select("spot")
+    kept = kept.groupBy("component").agg(F.min_by(F.struct(F.col(id_col).alias("id"), "print"), "set_id").alias("meant")).select("meant")
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("whole_row")
     rows = _with_print(docs, id_col, text_col, whole).withColumn("spot", F.struct("id", "print"))
     # The rows are read again and shuffled once, by id and hash of the text, which a text of another component never shares.
-    one = rows.filter(F.rlike("text", F.lit(WORD))).select("spot", "whole_row").join(kept, "spot").groupBy("spot").agg(
-        F.first("whole_row").alias("whole_row")
-    )
+    # Grouped as the join has dealt them: by ``meant``, since the other side may be cast for the join.
+    worded = rows.filter(F.rlike("text", F.lit(WORD))).select("spot", "whole_row")
+    one = worded.join(kept, F.col("spot") == F.col("meant")).groupBy("meant").agg(F.first("whole_row").alias("whole_row"))
     blank = rows.filter(~F.rlike("text", F.lit(WORD)))
     return one.select("whole_row.*").unionByName(blank.select("whole_row.*"))
