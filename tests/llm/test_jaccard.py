@@ -133,7 +133,7 @@ def test_sets_beyond_a_star_meet_members_by_what_both_have_apart_from_its_leader
     rows = _outskirts()
     found = jaccard.jaccard_components(make_docs(rows), 3, 90).collect()
     assert sorted(map(tuple, found), key=str) == brute(rows, 3, 90)
-    # 60 members times 20 sets beyond them before.
+    # The old member step passes this too: the stars here leave it little to do.
     assert len(compared) == 1 or compared[-1] < 200
 
 
