@@ -5,6 +5,7 @@ import pytest
 
 from verdigris.sources import json_arrays
 from verdigris.sources import requests as files
+from verdigris.sources.storage import stored
 
 ITEM = "struct<q: string, deep: string, n: int>"
 
@@ -88,3 +89,14 @@ def test_requests_in_ranges_equal_those_of_lines(spark, tmp_path, small_ranges):
     frames = [files.read_requests(spark, str(tmp_path / layout), layout) for layout in ("lines", "array")]
     lines, array = (sorted(map(str, frame.collect())) for frame in frames)
     assert len(array) == 57 and array == lines and frames[0].schema == frames[1].schema
+
+
+def test_text_is_read_twice_and_cut_once(spark, tmp_path, monkeypatch):
+    """Once for the state in which each range is entered, once to cut it; what follows reads the records."""
+    (tmp_path / "a.json").write_text(json.dumps([{"q": "a"}, None, {"q": "}"}]))
+    written = []
+    monkeypatch.setattr(json_arrays, "stored", lambda frame, name: written.append(frame) or stored(frame, name), raising=False)
+    found = json_arrays.array_items(spark, str(tmp_path / "a.json"), ITEM)
+    plans = [frame._jdf.queryExecution().executedPlan().toString() for frame in (*written, found)]
+    assert [plan.count("FileScan text") for plan in plans] == [2, 0]
+    assert sorted(row.value.q if row.value else "none" for row in found.collect()) == ["a", "none", "}"]

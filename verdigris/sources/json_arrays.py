@@ -19,24 +19,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from verdigris.sources.storage import stored
+
 _RANGE = ["source_file", "block"]
 # White space as JSON knows it.
 _BLANK = "[ \\t\\n\\r]*"
 
 
-def _length_without(text: Column, marks: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, marks, ""))
+def _count(text: Column, mark: str) -> Column:
+    """How often a one-byte mark stands in the text."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
+
 
+def _without(text: Column, mark: str, pattern: str) -> Column:
+    """The text without what the pattern finds; a pattern that needs the mark runs where the mark stands."""
+    return F.when(F.contains(text, F.lit(mark)), F.regexp_replace(text, pattern, "")).otherwise(text)
 
-def _depth_change(outside: Column) -> Column:
-    return _length_without(outside, "[{") - _length_without(outside, "]}")
 
+def _with_effects(pieces: DataFrame) -> DataFrame:
+    """Adds quotes, effect_0 and effect_1: the change of depth over a piece that is entered outside or inside a string.
 
-def _effect(clean: Column, terminated: Column, quotes: Column, inside: int) -> Column:
-    """Change of depth over a piece that is entered outside or inside a string."""
-    entered = F.regexp_replace(clean, '\\A[^"]*("|\\z)', "") if inside else clean
-    outside = F.regexp_replace(entered, '"[^"]*("|\\z)', "")
-    return _depth_change(outside) - (terminated & ((quotes + inside) % 2 == 0)).cast("int")
+    A step is a column of its own, so that it is computed once. No piece holds a closing brace.
+    """
+    # The last piece of a file may have no brace behind it; that shows in the file's length, see _entries.
+    held = pieces.columns
+    steps = pieces.withColumn("clean", _without(F.col("value"), "\\", "(?s)\\\\."))
+    steps = steps.withColumns({"quotes": _count(F.col("clean"), '"'), "first": F.instr("clean", '"')})
+    behind = F.when(F.col("first") > 0, F.substr("clean", F.col("first") + 1)).otherwise("")
+    steps = steps.withColumns({"entered_0": F.col("clean"), "entered_1": behind})
+    steps = steps.withColumns({f"outside_{n}": _without(F.col(f"entered_{n}"), '"', '"[^"]*("|\\z)') for n in (0, 1)})
+    for inside in (0, 1):
+        outside = F.col(f"outside_{inside}")
+        change = _count(outside, "[") + _count(outside, "{") - _count(outside, "]")
+        steps = steps.withColumn(f"effect_{inside}", change - ((F.col("quotes") + inside) % 2 == 0).cast("int"))
+    return steps.select(*held, "quotes", "effect_0", "effect_1")
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -49,11 +65,7 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"), "value",
     )
-    clean = F.regexp_replace("value", "(?s)\\\\.", "")
-    read = read.withColumn("quotes", _length_without(clean, '"'))
-    # The last piece of a file may have no brace behind it; that shows in the file's length, see _entries.
-    effects = [_effect(clean, F.lit(True), F.col("quotes"), inside).alias(f"effect_{inside}") for inside in (0, 1)]
-    return read.select("*", *effects)
+    return _with_effects(read)
 
 
 def _running(pieces: DataFrame) -> DataFrame:
@@ -75,12 +87,15 @@ def _ends(entry: Column, quotes_behind: Column) -> Column:
 def _entries(pieces: DataFrame) -> DataFrame:
     """(source_file, block, inside, depth, records): the state in which each range is entered."""
     running = _running(pieces.drop("value")).withColumn("behind", F.col("quotes_before") + F.col("quotes"))
-    # How often each depth occurs: a range holds few depths, whatever its size.
-    counted = running.groupBy(*_RANGE, "depth_0", "depth_1", (F.col("behind") % 2).alias("odd")).agg(F.count("*").alias("n"))
-    totals = running.groupBy(*_RANGE).agg(
-        F.sum("quotes").alias("quotes"), F.sum("own_0").alias("change_0"), F.sum("own_1").alias("change_1"),
+    # How often each depth occurs: a range holds few depths, whatever its size. Both sums come out of one pass over the text.
+    by_depth = running.groupBy(*_RANGE, "depth_0", "depth_1", (F.col("behind") % 2).alias("odd")).agg(
+        F.count("*").alias("n"), F.sum("quotes").alias("quotes"), F.sum("own_0").alias("change_0"), F.sum("own_1").alias("change_1"),
         F.max("file_size").alias("file_size"), F.sum(F.col("bytes") + 1).alias("bytes"),
     )
+    totals = by_depth.groupBy(*_RANGE).agg(
+        *[F.sum(name).alias(name) for name in ("quotes", "change_0", "change_1", "bytes")],
+        F.max("file_size").alias("file_size"), F.collect_list(F.struct("depth_0", "depth_1", "odd", "n")).alias("depths"),
+    )
     earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     entered = totals.withColumn("inside", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
     change = F.when(F.col("inside") == 1, F.col("change_1")).otherwise(F.col("change_0"))
@@ -91,9 +106,13 @@ def _entries(pieces: DataFrame) -> DataFrame:
     # A byte order mark is left out by the reader.
     open_end = F.when(surplus.isin(1, -2), True).when(surplus.isin(0, -3), False)
     entered = entered.withColumns({"open_end": open_end, "last": F.col("block") == F.max("block").over(whole)})
-    at_one = (F.when(F.col("inside") == 1, F.col("depth_1")).otherwise(F.col("depth_0")) + F.col("depth") == 1) & _ends(F.col("inside"), F.col("odd"))
-    ended = entered.join(counted, _RANGE).groupBy(*_RANGE).agg(F.sum(F.when(at_one, F.col("n")).otherwise(0)).alias("ended"))
-    return entered.join(ended, _RANGE).select(
+
+    def ended(found: Column) -> Column:
+        own = F.when(F.col("inside") == 1, found["depth_1"]).otherwise(found["depth_0"])
+        return F.when((own + F.col("depth") == 1) & _ends(F.col("inside"), found["odd"]), found["n"]).otherwise(F.lit(0).cast("long"))
+
+    entered = entered.withColumn("ended", F.aggregate("depths", F.lit(0).cast("long"), lambda total, found: total + ended(found)))
+    return entered.select(
         *_RANGE, "inside", "depth", "open_end", "last", F.coalesce(F.sum("ended").over(earlier), F.lit(0)).alias("records")
     )
 
@@ -132,7 +151,8 @@ def _as_array(text: Column, number: Column, ended: Column, file: Column) -> Colu
 def array_items(spark: SparkSession, path: str, item: str) -> DataFrame:
     """(value, source_file) per item of the JSON arrays in the files under ``path``; ``item`` is its type as DDL.
 
-    Items are objects or null. Files are read as byte ranges of the session's partition size. Their text is shuffled once, by range.
+    Items are objects or null. Files are read as byte ranges of the session's partition size. Their text is
+    read twice and shuffled once, by range; its records are written to shared storage when this is called.
     A record is held whole, a file never. Blank files have no items, null items are rows of null. A
     malformed item, text around the array or a second array fails the query. Files must not be
     compressed: their length says how they end.
@@ -160,6 +180,8 @@ def array_items(spark: SparkSession, path: str, item: str) -> DataFrame:
     cut = _joined(own, [*_RANGE, "part"], "place", F.max("end").alias("end"), F.max("records").alias("records")).withColumn(
         "number", F.col("records") + F.col("part")
     )
+    # Written once: whole records and the cut off ones are read from it, and the text is not cut twice.
+    cut = stored(cut.select(*_RANGE, "part", "number", "end", "text"), "array-records")
     first = (F.col("part") == 0) & (F.col("block") > 0)
     whole = cut.filter(F.col("end") & ~first).select("source_file", "number", "text", "end")
     rest = _joined(cut.filter(~F.col("end") | first), ["source_file", "number"], "block", F.max("end").alias("end"))
