@@ -153,3 +153,31 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 200), (3, 2)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 160)}
+
+
+def test_leaders_too_far_apart_do_not_meet(make_docs, monkeypatch):
+    """Texts with four words each of their own have common n-grams among their rarest, but none links with another."""
+    rows = []
+    for number in range(40):
+        words = [f"w{place}" for place in range(200)]
+        for place in range(4):
+            words[number + 50 * place] = f"own{number}x{place}"
+        rows.append((number, " ".join(words)))
+    rows += [(number + 100, text + " end") for number, text in rows[:10]]
+    compared = []
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *more: compared.append(pairs.count()) or verified(pairs, *more))
+    found = jaccard.jaccard_components(make_docs(rows), 5, 80).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows, 5, 80)
+    assert compared[0] < 100
+
+
+def test_signatures_differ_in_no_more_than_the_sets():
+    pick = random.Random(5)
+    for size in (1, 40, 900, 5000):
+        words = [f"w{pick.randint(0, 9999)}" for _ in range(size)]
+        other = [f"v{k}" if pick.random() < 0.1 else word for k, word in enumerate(words)]
+        a, b = (jaccard.shingles(" ".join(text), 3) for text in (words, other))
+        differ = sum(int(x).bit_count() for x in (jaccard.signature(a) ^ jaccard.signature(b)).view("u8"))
+        assert differ <= len(set(a.tolist()) ^ set(b.tolist()))
+        assert size != 900 or differ > 100

@@ -1,12 +1,14 @@
 """N-gram Jaccard join with set-relation skipping.
 
 Sets of word n-grams that share enough must share several of their rarest (the prefix filter), so an
-index lists, by n-gram, the sets that have it in their prefix. Two relations skip most of the work:
+index lists, by n-gram, the sets that have it in their prefix. Three relations skip most of the work:
 
 * Index level: a set with too few listed n-grams that others have leaves the index at once; places so
   late in a prefix that too little is left to share are not listed; lists are cut into blocks by set
   size, and blocks too far apart are never joined; two entries of a list meet only when what follows
   their places in both sets is enough to link.
+* Pair level: leaders that meet under a crowded n-gram are told apart by signatures, short parities whose
+  difference is at most that of the sets, before a row is made for them.
 * Answer level: sets highly similar to a leader form a star around it, and links found so far make
   components. A list within one component is skipped, and stars of one component never meet. Leaders
   are compared; from their distance and the members' own, by the triangle inequality of 1 - Jaccard,
@@ -46,6 +48,9 @@ LEADERS = 32
 # Sets of one n-gram that form stars in one task, and central sets that every such task sees first.
 DEALT = 256
 HUBS = 4
+# Bits of a set's signature, and entries of an n-gram beyond which they are compared by it before they meet.
+SIGNATURE = 1024
+CROWDED = 8
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
@@ -187,6 +192,16 @@ def _described(docs: DataFrame, common, size: int, percent: int, kind: str) -> D
     return docs.mapInArrow(run, f"id {kind}, print long, n_shingles long, set_id long, prefix array<long>")
 
 
+def signature(tokens: np.ndarray) -> np.ndarray:
+    """Bit i says whether the set has an odd number of the n-grams that are dealt to i.
+
+    An n-gram that two sets share is in both signatures or in neither, so these differ in no more bits than the
+    sets have n-grams apart.
+    """
+    odd = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % SIGNATURE, minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _remember(seen: set, number: int | None) -> None:
     if len(seen) > REMEMBERED:
         seen.clear()
@@ -216,7 +231,7 @@ def _only(sets: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(set_id, n, tokens) of the wanted (set_id, rep, print), read again from the texts.
+    """(set_id, n, tokens, signature) of the wanted (set_id, rep, print), read again from the texts.
 
     A row with a null or repeated id meets only the sets whose text has its hash, so no id is a group of pairs.
     Equal texts under one id are given once by a task, and once in all: only if some are left, sets are shuffled.
@@ -225,23 +240,24 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in slices(batches, SLICE):
-            rows: list[tuple[int, int, bytes]] = []
+            rows: list[tuple[int, int, bytes, np.ndarray]] = []
             for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if number in seen:
                     continue
                 tokens = shingles(text, size)
                 # Texts of one hash are told apart by the set's number.
                 if len(tokens) and _set_number(tokens) == number:
-                    rows.append((number, len(tokens), tokens.tobytes()))
+                    rows.append((number, len(tokens), tokens.tobytes(), signature(tokens)))
                     _remember(seen, number)
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.int64(), pa.binary()))],
-                ["set_id", "n", "tokens"],
+                [pa.array(column, kind) for column, kind in zip(zip(*rows) if rows else [[]] * 4, kinds)],
+                ["set_id", "n", "tokens", "signature"],
             )
 
     meant = _beside(wanted.select("set_id", "rep", F.col("print").alias("meant")))
     joined = docs.join(meant, F.col("id").eqNullSafe(F.col("rep")) & (F.col("print") == F.col("meant")))
-    read = stored(joined.select("set_id", "text").mapInArrow(run, "set_id long, n long, tokens binary"), "jaccard-tokens")
+    read = stored(joined.select("set_id", "text").mapInArrow(run, "set_id long, n long, tokens binary, signature array<long>"), "jaccard-tokens")
     repeated = read.groupBy("set_id").agg(F.count("*").alias("times")).filter("times > 1")
     return read if repeated.isEmpty() else stored(read.dropDuplicates(["set_id"]), "jaccard-tokens")
 
@@ -375,32 +391,57 @@ def _side(entries: DataFrame, side: str, *shared: str) -> DataFrame:
     return entries.select(*[F.col(c) if c in shared else F.col(c).alias(f"{c}_{side}") for c in entries.columns])
 
 
-def _meeting(a: DataFrame, b: DataFrame, on: list[str], more: Column, percent: int) -> DataFrame:
+def _meeting(a: DataFrame, b: DataFrame, on: list[str], more: Column, percent: int, last: Column) -> DataFrame:
     """(key_a, key_b) of entries that meet often enough at places that leave enough to link.
 
     Entries have key, low, high (sizes of the sets behind them) and left (the most that follows their place).
+    ``last`` is asked where everything else holds.
     """
     smaller = F.least("low_a", "low_b")
     waits = _counted(smaller, percent)
     left = _enough_left(F.least("left_a", "left_b"), F.col("low_a"), F.col("low_b"), waits, percent)
-    met = a.join(b, on).filter(more & _near_sizes("a", "b", percent) & left)
+    met = a.join(b, on).filter(more & _near_sizes("a", "b", percent) & left & last)
     met = met.groupBy("key_a", "key_b").agg(F.count("*").alias("met"), F.min(smaller).alias("smallest"))
     return met.filter(F.col("met") >= _counted(F.col("smallest"), percent)).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
 
 
-def _leader_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b) stars of different components whose members may link; ``entries`` are their lists by n-gram."""
+def _may_be_near(percent: int) -> Column:
+    """Whether the signatures of two leaders, if they are known, leave it open that members of their stars link.
+
+    Such leaders are no further apart than a link and both reaches; at a distance d, sets have d / (2 - d) of their
+    sizes' sum apart.
+    """
+    furthest = F.least(F.lit(1 - percent / 100 + 1e-9) + F.col("reach_a") + F.col("reach_b"), F.lit(1.0))
+    words = [F.bit_count(F.col("signature_a")[n].bitwiseXOR(F.col("signature_b")[n])) for n in range(SIGNATURE // 64)]
+    apart = sum(words[1:], words[0])
+    return F.col("signature_a").isNull() | (apart <= furthest / (2 - furthest) * (F.col("size_a") + F.col("size_b")) + 1e-6)
+
+
+def _leader_pairs(entries: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """(a, b) stars of different components whose members may link; ``entries`` are their lists by n-gram.
+
+    ``signs`` (key, reach, signature) keep leaders of a crowded n-gram from meeting that are too far apart.
+    """
     # Blocks by size: members' sizes differ from the leader's by percent at most.
     widest = (percent / 100) ** 3
-    mixed = entries.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    live = entries.join(mixed.select("token"), "token", "left_semi").withColumn(
+    mixed = entries.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("listed"))
+    live = entries.join(mixed.filter("x < y").select("token", "listed"), "token").withColumn(
         "block", F.floor(F.log("size") / F.lit(-np.log(widest)) + 1e-9)
     )
-    a = _side(live, "a", "token", "block")
-    b = _side(live.withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block")))), "b", "token", "block")
+    crowded = F.col("listed") > CROWDED
+    # Signatures come to the entries where these are joined, unless there are too many to broadcast.
+    signs = _beside(signs)
+
+    def signed(rows: DataFrame) -> DataFrame:
+        met = rows.repartition("token", "block").join(signs, "key")
+        return met.withColumn("signature", F.when(crowded, F.col("signature"))).drop("listed")
+
+    a = _side(signed(live), "a", "token", "block")
+    b = _side(signed(live.withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"))))), "b", "token", "block")
     near = (F.col("size_a") <= F.col("size_b")) & (F.col("size_a") >= widest * F.col("size_b") - 1e-6)
     once = (F.col("size_a") < F.col("size_b")) | (F.col("key_a") < F.col("key_b"))
-    return _meeting(a, b, ["token", "block"], (F.col("component_a") != F.col("component_b")) & near & once, percent)
+    more = (F.col("component_a") != F.col("component_b")) & near & once
+    return _meeting(a, b, ["token", "block"], more, percent, _may_be_near(percent))
 
 
 def _member_links(open_: DataFrame, stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -525,12 +566,13 @@ def jaccard_components(
         F.min("n").alias("low"), F.max("n").alias("high"), F.max("left").alias("left")
     )
     entries = stored(entries.join(_beside(leaders), "leader").withColumnRenamed("leader", "key"), "jaccard-entries")
-    pairs = stored(_leader_pairs(entries, percent), "jaccard-pairs")
+    reach = stars.groupBy("leader").agg(F.max("distance").alias("reach"))
+    signs = reach.join(tokens.select(F.col("set_id").alias("leader"), "signature"), "leader").withColumnRenamed("leader", "key")
+    pairs = stored(_leader_pairs(entries, stored(signs, "jaccard-signs"), percent), "jaccard-pairs")
     compared = stored(_verified(pairs, tokens, percent), "jaccard-compared")
     label = stored(_joined(label, compared.filter("linked").select("a", "b")), "jaccard-labels")
 
     # Stars that are apart so far, but not so far that none of their members can link.
-    reach = stars.groupBy("leader").agg(F.max("distance").alias("reach"))
     open_ = compared.filter("NOT linked").join(reach.toDF("a", "reach_a"), "a").join(reach.toDF("b", "reach_b"), "b")
     both = F.col("reach_a") + F.col("reach_b")
     open_ = open_.filter((both > 0) & (F.col("distance") <= 1 - percent / 100 + 1e-9 + both))
