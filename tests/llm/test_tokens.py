@@ -1,4 +1,6 @@
+import gc
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -7,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from verdigris.llm import packing, token_counts, token_files, tokens
+from verdigris.llm import jaccard, packing, token_counts, token_files, tokens
 from verdigris.sources.storage import scratch_path
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -42,6 +44,15 @@ def test_forgetting_changes_nothing(odd_texts, monkeypatch):
     assert found == library_ids(BYTE, odd_texts[:300])
 
 
+def test_a_step_of_another_purpose_gives_the_vocabulary_back():
+    """Else a worker holds what the packing and the join of one pipeline remember, side by side."""
+    held = weakref.ref(tokens.encoder_for(tokens.read_vocabulary(BYTE)))
+    assert held() is tokens.encoder_for(tokens.read_vocabulary(BYTE))
+    jaccard.shingles("a b c", 2)
+    gc.collect()
+    assert held() is None
+
+
 def test_whole_tokens_are_proved(odd_texts):
     whole = token_counts.whole_tokens(tokens.read_vocabulary(BYTE))
     some = sorted(whole)[::97]

@@ -217,7 +217,7 @@ class Decoder:
 
 def coder_for(kind: type, vocabulary: str) -> Encoder | Decoder:
     """The worker's encoder or decoder."""
-    cache = worker_cache()
+    cache = worker_cache("tokens")
     key = (kind.__name__, hash(vocabulary))
     if key not in cache:
         cache[key] = kind(vocabulary)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdigris.llm.common import SLICE, WORD, shuffle_partitions, slices, text_of, worker_cache
+from verdigris.llm.common import SLICE, WORD, release_worker_cache, shuffle_partitions, slices, text_of, worker_cache
 from verdigris.llm.components import components
 from verdigris.sources.storage import stored
 
@@ -70,7 +70,7 @@ def shingles(text: str, size: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    known = worker_cache().setdefault("word-hashes", _WordHashes())
+    known = worker_cache("words").setdefault("word-hashes", _WordHashes())
     hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     count = max(1, len(words) - size + 1)
     mixed = np.full(count, len(words) if len(words) < size else size, np.uint64)
@@ -297,6 +297,7 @@ def _stars(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_cache()
         key, last, leaders = None, None, []
         for batch in slices(batches, 64):
             rows: list[tuple[int, int, float]] = []
@@ -340,6 +341,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) with their distance and whether they link, from the whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_cache()
         for batch in slices(batches, 256):
             distances, linked = [], []
             for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
@@ -364,6 +366,7 @@ def _apart(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, n, linked, apart): for each pair the size of b, whether it links with a, and the n-grams that only one of them has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_cache()
         for batch in slices(batches, 256):
             sizes, linked, apart = [], [], []
             for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):

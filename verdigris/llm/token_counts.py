@@ -76,7 +76,7 @@ def count_tokens(
     shared = spark.sparkContext.broadcast((vocabulary, whole_tokens(vocabulary)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache()
+        cache = worker_cache("tokens")
         key = ("counter", hash(shared.value[0]))
         if key not in cache:
             cache[key] = PieceCounter(*shared.value)

@@ -135,7 +135,7 @@ class PieceEncoder:
 
 
 def encoder_for(vocabulary: str) -> PieceEncoder:
-    cache = worker_cache()
+    cache = worker_cache("tokens")
     key = ("encoder", hash(vocabulary))
     if key not in cache:
         cache[key] = PieceEncoder(vocabulary)
