@@ -44,6 +44,31 @@ def test_forgetting_changes_nothing(odd_texts, monkeypatch):
     assert found == library_ids(BYTE, odd_texts[:300])
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_texts_cut_together_give_the_ids_of_the_library(path):
+    """White space of one to three bytes, letters that lowering or a mark behind would change, special strings in any case."""
+    pick = random.Random(2)
+    marks = [" ", "  ", "\n", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u3000", "\u200b", "J\u030c", "K", "H\u0331", "it's", "IT'S", ",", ".)", "'", "_", "é", "İ", "Σ", "ß", "7", "ﬁ", "word"]
+    texts = ["".join(pick.choice(marks) for _ in range(pick.randint(0, 12))) for _ in range(4_000)]
+    texts += ["<|STARTOFTEXT|> a", "x<|endOFtext|>,y", "a <|endoftext|>b", "", "J", "\u030cx"]
+    encoder = tokens.PieceEncoder(tokens.read_vocabulary(path))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)] == library_ids(path, texts)
+
+
+def test_a_word_is_remembered_once_whatever_marks_follow_and_looked_up_once_a_batch():
+    encoder = tokens.PieceEncoder(tokens.read_vocabulary(WORD))
+    asked = []
+
+    class Known(dict):
+        def get(self, piece, default=None):
+            asked.append(piece)
+            return super().get(piece, default)
+
+    encoder.known = Known()
+    encoder.encode(["One one, ONE! one one;"] * 50)
+    assert sorted(asked) == [" one", "!", ",", ";", "one"] and sorted(encoder.known) == sorted(asked)
+
+
 def test_a_step_of_another_purpose_gives_the_vocabulary_back():
     """Else a worker holds what the packing and the join of one pipeline remember, side by side."""
     held = weakref.ref(tokens.encoder_for(tokens.read_vocabulary(BYTE)))

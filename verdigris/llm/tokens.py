@@ -1,9 +1,10 @@
 """Whole texts to token ids with the public vocabularies, each distinct piece encoded once.
 
 A text is cut where the vocabulary's own pre-tokenizer cuts it in any case: between a piece of
-non-white characters, with the one blank before it, and the white space around. Ids of a piece do
-not depend on its neighbours, so they are remembered; only pieces not seen before go to the library.
-A text that holds a special string goes to the library whole.
+non-white characters, with the one blank before it, and the white space around, and between a plain
+letter and a mark. Ids of a piece do not depend on its neighbours, so they are remembered; only pieces
+not seen before go to the library. The texts of a batch are cut together, on their bytes, and the
+distinct pieces of the batch are looked up once. A text that holds a special string goes to the library whole.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from array import array
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 from verdigris.llm.common import worker_cache
@@ -30,6 +32,14 @@ BYTE_PATTERN = regex.compile(
 # A piece that is one word of Latin letters, with a blank before and marks behind it or not: its pre-tokens are
 # the word with the blank and the marks, and neither normalisation nor case folding does more than lower().
 _PLAIN = re.compile("( ?)([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*&%$#|()]*)")
+# The same white space in bytes: single ones, and characters of two and three as numbers.
+_WHITE_BYTE = np.isin(np.arange(256), [*range(0x09, 0x0E), 0x20])
+_WHITE_LEAD = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+_WHITE_TWO = np.array([0xC285, 0xC2A0])
+_WHITE_THREE = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
+_UPPER_BYTE = np.isin(np.arange(256), np.arange(ord("A"), ord("Z") + 1))
+_LETTER_BYTE = _UPPER_BYTE | np.isin(np.arange(256), np.arange(ord("a"), ord("z") + 1))
+_MARK_BYTE = np.isin(np.arange(256), list(b".,;:!?*&%$#|()"))
 # Pieces remembered by a worker before it forgets the older half: a bound on memory, not on the work.
 REMEMBERED = 500_000
 
@@ -89,48 +99,88 @@ class PieceEncoder:
         word = blank + word if self.keeps_white else word.lower()
         if not word.isascii():
             word = word.encode("utf-8").decode("latin-1")
-        found = [token.id for token in self.library.model.tokenize(word.translate(self.letters))]
+        found = self._merged(word.translate(self.letters))
         if not marks:
-            return array("I", found).tobytes()
+            return found
         if marks not in self.marks:
             forget_half(self.marks, REMEMBERED)
             self.marks[marks] = self.whole([marks])[0]
-        return array("I", found).tobytes() + self.marks[marks]
+        return found + self.marks[marks]
+
+    def _merged(self, letters: str) -> bytes:
+        return array("I", [token.id for token in self.library.model.tokenize(letters)]).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
         """Plain words go to the model alone, everything else through the whole library."""
         known, rest = self.known, []
+        blank = self.letters[ord(" ")] if self.keeps_white else ""
         for piece in pieces:
-            plain = _PLAIN.fullmatch(piece)
-            if plain:
+            word = piece[1:] if piece[:1] == " " else piece
+            if word.isascii() and word.isalpha():
+                known[piece] = self._merged((blank if word is not piece else "") + (word if self.keeps_white else word.lower()))
+            elif plain := _PLAIN.fullmatch(piece):
                 known[piece] = self._plain(*plain.groups())
             else:
                 rest.append(piece)
         known.update(zip(rest, self.whole(rest)))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _cuts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Where pieces of the texts that begin at ``starts`` begin in ``data``, ascending."""
+        white = _WHITE_BYTE[data]
+        longer = np.flatnonzero(_WHITE_LEAD[data])
+        if len(longer):
+            padded = np.concatenate([data, np.zeros(2, np.uint8)]).astype(np.int32)
+            two = (padded[longer] << 8) | padded[longer + 1]
+            three = longer[np.isin((two << 8) | padded[longer + 2], _WHITE_THREE)]
+            two = longer[np.isin(two, _WHITE_TWO)]
+            for step, places in ((0, two), (1, two), (0, three), (1, three), (2, three)):
+                white[places + step] = True
+        begins = np.zeros(len(data), bool)
+        begins[starts] = True
+        word = np.flatnonzero(white[:-1] & ~white[1:] & ~begins[1:]) + 1
+        # The last white character before a word stands alone, or with the word if it is a blank.
+        before = data[word - 1]
+        begins[word[before != ord(" ")]] = True
+        length = np.where(before < 0x80, 1, np.where(data[word - 2] == 0xC2, 2, 3))
+        begins[word - length] = True
+        begins[1:] |= ~white[:-1] & white[1:]
+        begins[1:] |= _LETTER_BYTE[data[:-1]] & _MARK_BYTE[data[1:]]
+        return np.flatnonzero(begins)
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        texts = texts.to_pylist() if isinstance(texts, pa.Array) else texts
         forget_half(self.known, REMEMBERED)
-        get, join = self.known.get, b"".join
-        found: list[bytes] = []
-        open_: list[tuple[int, list, list[int], list[str]]] = []
-        for number, text in enumerate(texts):
-            if any(mark in text for mark in self.specials):
-                found += self.whole([text])
-                continue
-            pieces = self.pieces.findall(text)
-            parts = list(map(get, pieces))
-            try:
-                found.append(join(parts))
-            except TypeError:  # pieces not seen before are None
-                holes = [place for place, part in enumerate(parts) if part is None]
-                open_.append((number, parts, holes, [pieces[place] for place in holes]))
-                found.append(b"")
-        self._learn(list({piece for *_, pieces in open_ for piece in pieces}))
-        for number, parts, holes, pieces in open_:
-            for place, piece in zip(holes, pieces):
-                parts[place] = self.known[piece]
-            found[number] = join(parts)
+        # Whole texts for the library, by number: also where a special string would come about by lowering.
+        odd = {number: text for number, text in enumerate(texts) if any(mark in text or mark in text.lower() for mark in self.specials)}
+        raw = [b"" if number in odd else text.encode("utf-8") for number, text in enumerate(texts)]
+        bounds = np.concatenate([[0], np.cumsum([len(each) for each in raw], dtype=np.int64)])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        if not len(data):
+            return self._with_whole([b""] * len(texts), odd)
+        if not self.keeps_white:
+            # A letter before one of several bytes stays: with what follows it may be another letter.
+            lowered = _UPPER_BYTE[data]
+            lowered[:-1] &= data[1:] < 0x80
+            data = data | (lowered.astype(np.uint8) << 5)
+        cuts = self._cuts(data, bounds[:-1][bounds[:-1] < bounds[1:]])
+        ends = np.append(cuts, len(data))
+        pieces = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)).dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        found = list(map(self.known.get, distinct))
+        holes = [place for place, ids in enumerate(found) if ids is None]
+        if holes:
+            self._learn([distinct[place] for place in holes])
+            for place in holes:
+                found[place] = self.known[distinct[place]]
+        ids = pa.array(found, pa.large_binary()).take(pieces.indices)
+        at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[np.searchsorted(ends, bounds)]
+        held = memoryview(ids.buffers()[2] or b"")
+        return self._with_whole([bytes(held[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], odd)
+
+    def _with_whole(self, found: list[bytes], odd: dict[int, str]) -> list[bytes]:
+        for number, text in odd.items():
+            found[number] = self.whole([text])[0]
         return found
 
 
