@@ -1,6 +1,8 @@
 import random
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from verdigris.llm import quality
@@ -80,3 +82,27 @@ def test_accuracy_on_the_tables(spark, sf_dir):
     model = quality.train_quality_model(docs, labels.filter("doc_id % 2 = 0"))
     found = quality.score_quality(docs, model).join(labels.filter("doc_id % 2 = 1"), "doc_id").filter("NOT base_failed").collect()
     assert sum(r.kept == bool(r.quality) for r in found) >= 0.9 * len(found) and found
+
+
+def test_products_of_lines_equal_dense_ones():
+    pick = np.random.default_rng(3)
+    # Empty lines, one that is longer than a part, and the end of a part within a line.
+    lengths = np.array([0, 3, quality.PART + 9, 0, 40, quality.PART - 20, 100, 1, 2 * quality.PART, 0])
+    places = [np.sort(pick.choice(4 * quality.PART, n, replace=False)) for n in lengths]
+    values = [pick.random(n).astype(np.float32) for n in lengths]
+    vector = pick.random(4 * quality.PART).astype(np.float32)
+    found = quality._Lines(lengths, np.concatenate(places), np.concatenate(values)).times(vector)
+    assert np.allclose(found, [vector[p] @ v for p, v in zip(places, values)], rtol=1e-3)
+
+
+def test_fitting_never_holds_the_sample_dense(spark, make_docs):
+    """The driver holds the features that rows have, not rows by features."""
+    docs = make_docs([(n, " ".join(f"w{(n * k) % 97}" for k in range(60)) + (" good" if n % 2 else " #bad")) for n in range(600)])
+    labels = spark.createDataFrame([(n, n % 2, 0) for n in range(600)], "doc_id long, quality int, toxic int")
+    tracemalloc.start()
+    try:
+        assert quality.train_quality_model(docs, labels) is not None
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 600 * 2 * quality.BUCKETS * 4 / 2

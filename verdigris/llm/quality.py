@@ -31,6 +31,8 @@ SAMPLE_ROWS = 3_000
 HELD_OUT = 4  # one in so many
 # Hashed features: so many for words and as many for characters.
 BUCKETS = 1 << 12
+# Numbers of the sample that are multiplied together: they fit into a processor's cache.
+PART = 1 << 16
 # A text is kept when it is good with this probability at least.
 KEEP_FROM = 0.5
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -104,17 +106,52 @@ class QualityModel:
         return float(1 / (1 + np.exp(-np.clip(self.slope * score + self.shift, -50, 50))))
 
 
-def _descend(rows: np.ndarray, good: np.ndarray, weight: np.ndarray, steps: int = 400) -> tuple[np.ndarray, float]:
+class _Lines:
+    """Lines of a matrix by their non-zero numbers, for products with a vector; the matrix is never dense.
+
+    Held in parts of about ``PART`` numbers, so that what a product makes on the way stays small.
+    """
+
+    def __init__(self, lengths: np.ndarray, places: np.ndarray, values: np.ndarray):
+        self.lines, self.parts = len(lengths), []
+        filled = np.flatnonzero(lengths)
+        starts = np.cumsum(lengths[filled]) - lengths[filled]
+        cuts = np.unique(np.searchsorted(starts, np.arange(0, len(places), PART)))
+        cuts = cuts[cuts < len(filled)]
+        for first, end in zip(cuts, [*cuts[1:], len(filled)]):
+            its = slice(starts[first], starts[end] if end < len(filled) else len(places))
+            # Copies: a view would keep the whole collected table.
+            self.parts.append((filled[first:end], starts[first:end] - its.start, places[its].copy(), values[its].copy()))
+
+    def times(self, vector: np.ndarray) -> np.ndarray:
+        found = np.zeros(self.lines, np.float32)
+        for lines, starts, places, values in self.parts:
+            found[lines] = np.add.reduceat(vector.take(places, mode="clip") * values, starts)
+        return found
+
+
+def _by_row_and_column(table: pa.Table) -> tuple[_Lines, _Lines]:
+    """The rows' features, and turned over: for each feature the rows that have it."""
+    places, values = (table.column(name).combine_chunks() for name in ("places", "values"))
+    lengths = np.diff(places.offsets.to_numpy())
+    places, values = places.flatten().to_numpy(), values.flatten().to_numpy()
+    order = np.argsort(places, kind="stable")
+    row = np.repeat(np.arange(table.num_rows, dtype=np.int32), lengths)
+    columns = _Lines(np.bincount(places, minlength=2 * BUCKETS), row[order], values[order])
+    return _Lines(lengths, places, values), columns
+
+
+def _descend(rows: _Lines, columns: _Lines, good: np.ndarray, weight: np.ndarray, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weighted logistic regression with a small ridge, by accelerated gradient steps."""
-    at = np.zeros(rows.shape[1], np.float32)
+    at = np.zeros(columns.lines, np.float32)
     bias = speed_bias = 0.0
     speed = np.zeros_like(at)
     weight = (weight / weight.sum()).astype(np.float32)
     rate, ridge = 4.0, 1e-5
     for _ in range(steps):
         ahead, ahead_bias = at + 0.9 * speed, bias + 0.9 * speed_bias
-        off = weight * (1 / (1 + np.exp(-np.clip(rows @ ahead + ahead_bias, -50, 50))) - good)
-        speed = 0.9 * speed - rate * (rows.T @ off + ridge * ahead)
+        off = weight * (1 / (1 + np.exp(-np.clip(rows.times(ahead) + ahead_bias, -50, 50))) - good)
+        speed = 0.9 * speed - rate * (columns.times(off) + ridge * ahead)
         speed_bias = 0.9 * speed_bias - rate * float(off.sum())
         at, bias = at + speed, bias + speed_bias
     return at, bias
@@ -143,9 +180,9 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for text in batch.column(2).to_pylist():
             numbers, distinct = _numbered(_WORDS.findall(text))
             row = features(text, numbers, distinct)
-            places.append(np.flatnonzero(row).astype(np.int32))
+            places.append(np.flatnonzero(row).astype(np.int16))
             values.append(row[places[-1]])
-        columns = [batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))]
+        columns = [batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int16())), pa.array(values, pa.list_(pa.float32()))]
         yield pa.RecordBatch.from_arrays(columns, ["tag", "good", "places", "values"])
 
 
@@ -172,25 +209,23 @@ def train_quality_model(
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     # Broadcast: ``sample_rows`` ids at most.
     rows = texts.join(F.broadcast(chosen), "id").select("tag", "good", "text")
-    found = rows.mapInArrow(_feature_rows, "tag long, good boolean, places array<int>, values array<float>")
-    table = found.dropDuplicates(["tag"]).toArrow()
-    good = table.column("good").to_numpy(zero_copy_only=False).astype(np.float32)
+    found = rows.mapInArrow(_feature_rows, "tag long, good boolean, places array<short>, values array<float>")
+    table = found.dropDuplicates(["tag"]).toArrow().sort_by("tag")
+    good = table.column("good").to_numpy().astype(np.float32)
     if not 0 < good.sum() < len(good):
         return None
-    order = np.argsort(table.column("tag").to_numpy(zero_copy_only=False))
-    dense = np.zeros((len(good), 2 * BUCKETS), np.float32)
-    places, values = table.column("places"), table.column("values")
-    for row in range(len(good)):
-        dense[row, places[row].values.to_numpy(zero_copy_only=False)] = values[row].values.to_numpy(zero_copy_only=False)
-    dense, good = dense[order], good[order]
     weight = np.where(good > 0.5, totals[True] / good.sum(), totals[False] / (1 - good).sum()).astype(np.float64)
     held = np.arange(len(good)) % HELD_OUT == 0
     if len(set(good[held])) < 2 or len(set(good[~held])) < 2:
         held[:] = False
-    weights, bias = _descend(dense[~held], good[~held], np.where(good > 0.5, 1 / good.sum(), 1 / (1 - good).sum())[~held])
+    fitted, calibrated = table.filter(pa.array(~held)), table.filter(pa.array(held))
+    del table
+    (rows, columns), (rest, _) = _by_row_and_column(fitted), _by_row_and_column(calibrated)
+    del fitted, calibrated
+    weights, bias = _descend(rows, columns, good[~held], np.where(good > 0.5, 1 / good.sum(), 1 / (1 - good).sum())[~held])
     slope, shift = (1.0, 0.0)
     if held.any():
-        slope, shift = _calibrate(dense[held] @ weights + bias, good[held], weight[held])
+        slope, shift = _calibrate(rest.times(weights) + bias, good[held], weight[held])
     return QualityModel(weights, bias, slope, shift)
 
 
