@@ -218,3 +218,14 @@ def test_packing_of_nothing(make_docs):
 def test_cutting_and_best_fit():
     assert packing.cut_lengths(10, 4) == [2, 4, 4] and packing.cut_lengths(8, 4) == [4, 4] and packing.cut_lengths(3, 4) == [3]
     assert sorted(map(sorted, packing.best_fit([6, 5, 4, 3, 2], 10))) == [[0, 2], [1, 3, 4]]
+
+
+def test_what_is_asked_for_again_outlives_what_is_not(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    encoder, learned = tokens.PieceEncoder(tokens.read_vocabulary(BYTE)), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda pieces: (learned.extend(pieces), learn(pieces)))
+    for number in range(40):
+        encoder.encode(["often " + " ".join("abcdefghij"[number % 10] * (number // 10 + 1) + letter for letter in "klmnopqr")])
+        assert len(encoder.known) + len(encoder.older) <= 40 + 2 * 9
+    assert learned.count("often") == 1 and len(learned) > 300

@@ -9,6 +9,7 @@ distinct pieces of the batch are looked up once. A text that holds a special str
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
@@ -86,44 +87,61 @@ class PieceEncoder:
         self.keeps_white = described["pre_tokenizer"]["type"] == "ByteLevel"
         self.pieces = _BYTE_PIECES if self.keeps_white else _WORD_PIECES
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # The letter that stands for each byte in the vocabulary's own strings.
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.table = "".join(self.letters[byte] for byte in range(256))
         self.marks: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(each.ids, "<u4").tobytes() for each in found]
 
-    def _plain(self, blank: str, word: str, marks: str) -> bytes:
-        """The ids of one word and the marks behind it, straight from the vocabulary's model."""
-        word = blank + word if self.keeps_white else word.lower()
-        if not word.isascii():
-            word = word.encode("utf-8").decode("latin-1")
-        found = self._merged(word.translate(self.letters))
-        if not marks:
-            return found
-        if marks not in self.marks:
-            forget_half(self.marks, REMEMBERED)
-            self.marks[marks] = self.whole([marks])[0]
-        return found + self.marks[marks]
-
-    def _merged(self, letters: str) -> bytes:
-        return array("I", [token.id for token in self.library.model.tokenize(letters)]).tobytes()
-
     def _learn(self, pieces: list[str]) -> None:
         """Plain words go to the model alone, everything else through the whole library."""
-        known, rest = self.known, []
-        blank = self.letters[ord(" ")] if self.keeps_white else ""
+        known, rest, model = self.known, [], self.library.model.tokenize
+        keeps, table, blank = self.keeps_white, self.table, self.letters[ord(" ")]
         for piece in pieces:
-            word = piece[1:] if piece[:1] == " " else piece
-            if word.isascii() and word.isalpha():
-                known[piece] = self._merged((blank if word is not piece else "") + (word if self.keeps_white else word.lower()))
-            elif plain := _PLAIN.fullmatch(piece):
-                known[piece] = self._plain(*plain.groups())
-            else:
-                rest.append(piece)
+            marks, word = "", piece
+            letters = piece[1:] if piece[0] == " " else piece
+            if not (letters.isascii() and letters.isalpha()):
+                plain = _PLAIN.fullmatch(piece)
+                if plain is None:
+                    rest.append(piece)
+                    continue
+                if plain[3]:
+                    marks, word = plain[3], piece[: plain.start(3)]
+            # The ids of one word, straight from the vocabulary's model, in which a letter stands for each byte.
+            if not keeps:
+                word = word.lstrip(" ").lower()
+            if not word.isascii():
+                word = codecs.charmap_decode(word.encode("utf-8"), "strict", table)[0]
+            elif word[0] == " ":
+                word = blank + word[1:]
+            ids = array("I", [token.id for token in model(word)]).tobytes()
+            if marks:
+                if marks not in self.marks:
+                    forget_half(self.marks, REMEMBERED)
+                    self.marks[marks] = self.whole([marks])[0]
+                ids += self.marks[marks]
+            known[piece] = ids
         known.update(zip(rest, self.whole(rest)))
 
+    def _remembered(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece. What was asked for since half of the memory was filled outlives the rest."""
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        found = list(map(self.known.get, pieces))
+        holes = [place for place, ids in enumerate(found) if ids is None]
+        if holes:
+            asked = [pieces[place] for place in holes]
+            before = list(map(self.older.get, asked))
+            self.known.update((piece, ids) for piece, ids in zip(asked, before) if ids is not None)
+            self._learn([piece for piece, ids in zip(asked, before) if ids is None])
+            for place, piece in zip(holes, asked):
+                found[place] = self.known[piece]
+        return found
+
     def _cuts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Where pieces of the texts that begin at ``starts`` begin in ``data``, ascending."""
         white = _WHITE_BYTE[data]
@@ -150,7 +168,6 @@ class PieceEncoder:
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         texts = texts.to_pylist() if isinstance(texts, pa.Array) else texts
-        forget_half(self.known, REMEMBERED)
         # Whole texts for the library, by number: also where a special string would come about by lowering.
         odd = {number: text for number, text in enumerate(texts) if any(mark in text or mark in text.lower() for mark in self.specials)}
         raw = [b"" if number in odd else text.encode("utf-8") for number, text in enumerate(texts)]
@@ -166,13 +183,7 @@ class PieceEncoder:
         cuts = self._cuts(data, bounds[:-1][bounds[:-1] < bounds[1:]])
         ends = np.append(cuts, len(data))
         pieces = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)).dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        found = list(map(self.known.get, distinct))
-        holes = [place for place, ids in enumerate(found) if ids is None]
-        if holes:
-            self._learn([distinct[place] for place in holes])
-            for place in holes:
-                found[place] = self.known[distinct[place]]
+        found = self._remembered(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
         ids = pa.array(found, pa.large_binary()).take(pieces.indices)
         at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[np.searchsorted(ends, bounds)]
         held = memoryview(ids.buffers()[2] or b"")
