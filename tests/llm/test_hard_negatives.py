@@ -97,3 +97,35 @@ def test_query_against_sql(spark):
     register_tables(database, sf_dir)
     found = queries.op11_hard_negatives(spark, sf_dir).toPandas()
     assert len(found) > 0 and difference(found, database.sql(queries.oracle_sql()["op11_hard_negatives"]).df()) is None
+
+
+def test_blocks_times_shards_are_never_broadcast(spark, shapes, monkeypatch):
+    """The pairs of blocks and shards outgrow what a join is planned by, the requests."""
+    monkeypatch.setattr(hard_negatives, "HELD", 2)
+    docs = spark.createDataFrame([(n, vector, n % 3) for n, vector in enumerate(shapes.tolist())], "id long, vector array<double>, label long")
+    rows = docs.select(F.col("id").alias("row"), "id", "label", hard_negatives.quantised("vector", 256).alias("vector")).localCheckpoint()
+    requests = rows.select(
+        "row", F.lit(0).alias("place"), "vector", F.lit(-(1 << 62)).alias("least"), F.lit(1 << 62).alias("most"), "label", F.lit(False).alias("same")
+    )
+    trees = hard_negatives.build_trees(rows, 20).localCheckpoint()
+    found = hard_negatives.search(trees, 20, requests, 40, 3)
+    assert found.groupBy("row").agg(F.count("*").alias("n")).filter("n <> 3").count() == 0
+    assert len(found.collect()) == 3 * len(shapes)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "MapInArrow" in plan and "Broadcast" not in plan and "Join" not in plan
+
+
+def test_few_tasks_hold_several_trees(mine, shapes, spark, monkeypatch):
+    for name, value in (("SHARD", 20), ("BLOCK", 10), ("HELD", 30)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    monkeypatch.setattr(hard_negatives, "shuffle_partitions", lambda _: 1)
+    labels = np.random.default_rng(5).integers(0, 3, len(shapes)).tolist()
+    rows = [(n // 2 or None, vector, label) for n, (vector, label) in enumerate(zip(shapes.tolist(), labels))]
+    assert mine(rows) == brute(rows)
+
+
+@pytest.mark.parametrize("least, most, size", [(0, 0, 1), (-128, 127, 1), (-1, 128, 2), (-256, 256, 2), (-(1 << 31), 5, 4), (0, 1 << 31, 8), (-(1 << 63), (1 << 63) - 1, 8)])
+def test_narrow_matrices_hold_the_same_integers(least, most, size):
+    matrix = np.array([[least, most]], np.int64)
+    kept = hard_negatives.narrow(matrix)
+    assert kept.dtype.kind == "i" and kept.dtype.itemsize == size and (kept.astype(np.int64) == matrix).all()

@@ -5,11 +5,12 @@
    equal, so inner products follow distances. A node has a centre and the largest distance of what it
    covers; its children are centred on points more than half that distance apart and cover the rest
    within half of it. Points that cover nothing else, and small nodes, lie open in their parent.
-2. *Descent.* Requests visit every shard, in blocks. A request asks for the best rows between two scores.
+2. *Descent.* Shards are dealt to groups, a task each. A task holds the trees of its group while requests pass
+   by in blocks; only blocks are repeated, once per group. A request asks for the best rows between two scores.
    Centre and covering radius bound all inner products of a node; the node with the best bound is opened
    first, and a node is skipped when it lies outside what is still wanted. Open points are scored exactly,
    in integers. The first pass finds each anchor's positives, the second the negatives of each.
-3. *Merge.* A shard returns as many rows per request as are wanted; the best of all shards are kept.
+3. *Merge.* A group returns as many rows per request as are wanted; the best of all groups are kept.
 """
 
 from __future__ import annotations
@@ -24,11 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verdigris.llm.common import shuffle_partitions
 from verdigris.sources.storage import stored
 
 # Rows of a shard, and anchors of a block, about.
 SHARD = 4_096
 BLOCK = 128
+# Trees that a task holds at most.
+HELD = 16
 # Points up to which a node is not divided.
 OPEN = 32
 # Integers up to here are exact as doubles; scores must leave room for percentages in 64 bits.
@@ -57,9 +61,9 @@ class Tree:
             placed += len(open_)
             waiting += groups
         self.norm, self.radii, self.spans = np.array(norm), np.array(radii), np.array(spans, np.int64)
-        self.centres = points[np.array(centres, np.int64)]
         place = np.concatenate(order) if order else np.zeros(0, np.int64)
-        self.points, self.rows, self.ids, self.null, self.labels = points[place], rows[place], ids[place], null[place], labels[place]
+        self.centres, self.points = narrow(points[np.array(centres, np.int64)]), narrow(points[place])
+        self.rows, self.ids, self.null, self.labels = rows[place], ids[place], null[place], labels[place]
 
     @classmethod
     def restored(cls, arrays: dict[str, np.ndarray]) -> Tree:
@@ -120,11 +124,29 @@ class Tree:
         point = np.concatenate([found[1], first + column])
         score = np.concatenate([found[2], scores[row, column]])
         found[:] = best(asked, point, score, (self.ids[point], self.null[point]), wanted)
-        # The last of a full set is what others must reach.
-        full = np.flatnonzero(np.bincount(found[0], minlength=len(least)) == wanted)
-        if len(full):
-            ends = np.searchsorted(found[0], full, "right") - 1
-            least[full] = np.maximum(least[full], found[2][ends])
+        ask_more(least, found[0], found[2], wanted)
+
+
+def find_in_all(trees: list[Tree], queries: np.ndarray, asks: list[np.ndarray], wanted: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ask, score, id, whether it is null) of the best ``wanted`` points of all trees; what one holds raises what is asked of the next."""
+    query, least, *rest = asks
+    least = least.copy()
+    asked, score, ids, null = (np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, bool))
+    for tree in trees:
+        ask, point, more = tree.find(queries, [query, least, *rest], wanted)
+        ids, null = np.concatenate([ids, tree.ids[point]]), np.concatenate([null, tree.null[point]])
+        asked, place, score = best(np.concatenate([asked, ask]), np.arange(len(ids)), np.concatenate([score, more]), (ids, null), wanted)
+        ids, null = ids[place], null[place]
+        ask_more(least, asked, score, wanted)
+    return asked, score, ids, null
+
+
+def ask_more(least: np.ndarray, asked: np.ndarray, score: np.ndarray, wanted: int) -> None:
+    """The last of a full set is what others must reach."""
+    full = np.flatnonzero(np.bincount(asked, minlength=len(least)) == wanted)
+    if len(full):
+        ends = np.searchsorted(asked, full, "right") - 1
+        least[full] = np.maximum(least[full], score[ends])
 
 
 def lift(points: np.ndarray) -> tuple[float, np.ndarray]:
@@ -179,6 +201,11 @@ def as_matrix(vectors: pa.Array) -> np.ndarray:
     return matrix
 
 
+def narrow(matrix: np.ndarray) -> np.ndarray:
+    """The same integers in the fewest bytes that hold them all."""
+    return matrix.astype(np.min_scalar_type(min(int(matrix.min(initial=0)), -1 - int(matrix.max(initial=0)))))
+
+
 def exact(queries: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both with as many columns, in a type that holds their inner products exactly: doubles, else 64-bit integers."""
     width = max(queries.shape[1], points.shape[1])
@@ -235,34 +262,38 @@ def search(trees: DataFrame, shards: int, requests: DataFrame, blocks: int, want
         table = _sorted(table, "row", "place")
         rows, first, query = np.unique(table.column("row").to_numpy(), return_index=True, return_inverse=True)
         raw = _packed(
-            queries=as_matrix(table.column("vector").chunk(0).take(pa.array(first))), query=query,
+            queries=narrow(as_matrix(table.column("vector").chunk(0).take(pa.array(first)))), query=query,
             **{name: table.column(name).to_numpy(zero_copy_only=False) for name in ("row", "place", "least", "most", "label", "same")},
         )
-        return pa.table({"block": pa.array([raw], pa.binary())})
+        return pa.table({"raw": pa.array([raw], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, tree = None, None
+        held, standing = None, []
         for batch in batches:
-            for shard, raw, block in zip(*(batch.column(name) for name in ("shard", "tree", "block"))):
-                if shard.as_py() != held:
-                    held, tree = shard.as_py(), Tree.restored(_unpacked(raw.as_py()))
-                asked = _unpacked(block.as_py())
-                ask, point, score = tree.find(
-                    asked["queries"], [asked[name] for name in ("query", "least", "most", "label", "same", "row")], wanted
+            for group, block, raw in zip(*(batch.column(name) for name in ("group", "block", "raw"))):
+                if group.as_py() != held:
+                    held, standing = group.as_py(), []
+                arrays = _unpacked(raw.as_py())
+                if not block.as_py():
+                    standing.append(Tree.restored(arrays))
+                    continue
+                ask, score, ids, null = find_in_all(
+                    standing, arrays["queries"], [arrays[name] for name in ("query", "least", "most", "label", "same", "row")], wanted
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(asked["row"][ask]), pa.array(asked["place"][ask]),
-                        pa.array(tree.ids[point], mask=tree.null[point]), pa.array(score),
-                    ],
+                    [pa.array(arrays["row"][ask]), pa.array(arrays["place"][ask]), pa.array(ids, mask=null), pa.array(score)],
                     ["row", "place", "id", "score"],
                 )
 
     dealt = requests.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
-    packed = dealt.groupBy("part").applyInArrow(pack, "block binary")
-    # A block goes to every shard: a stated set of requests against all rows.
-    sent = packed.select("block", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    found = sent.join(trees, "shard").select("shard", "tree", "block").mapInArrow(run, "row long, place int, id long, score long")
+    packed = dealt.groupBy("part").applyInArrow(pack, "raw binary")
+    groups = min(shards, max(shuffle_partitions(requests.sparkSession), -(-shards // HELD)))
+    # A block goes to every group: a stated set of requests against all rows. As a join this may be planned as a
+    # broadcast, by the size before blocks are repeated; dealt out like this it never passes through the driver.
+    sent = packed.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.lit(True).alias("block"), "raw")
+    standing = trees.select((F.col("shard") % groups).alias("group"), F.lit(False).alias("block"), F.col("tree").alias("raw"))
+    met = standing.union(sent).repartitionById(groups, "group").sortWithinPartitions("group", "block")
+    found = met.mapInArrow(run, "row long, place int, id long, score long")
     order = Window.partitionBy("row", "place").orderBy(F.desc("score"), F.asc_nulls_last("id"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= wanted)
 
